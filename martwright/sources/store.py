@@ -5,7 +5,7 @@ commit log. Readers follow the log, so all tables of a run appear at once, and a
 failed, or lost executors half-way, leaves nothing anyone reads.
 
     staging/run=<id>/<table>           conformed extracts
-    history/<table>/run=<id>/state=*   versions left open, and versions closed in the run
+    history/<table>/run=<id>/kept_as=*   versions left open, and versions closed in the run
     marts/run=<id>/<mart>
     commits/                           run id, run time, load time
 
@@ -63,19 +63,19 @@ class Store:
 
     def write_versions(self, run: str, table: str, versions: DataFrame) -> None:
         """Keep what a run made of the open versions: those still open and those it closed."""
-        state = F.when(F.col(VALID_TO).isNull(), "open").otherwise("closed")
+        kept_as = F.when(F.col(VALID_TO).isNull(), "open").otherwise("closed")
         path = f"{self.root}/history/{table}/run={run}"
-        versions.withColumn("state", state).write.mode("overwrite").partitionBy("state").parquet(path)
+        versions.withColumn("kept_as", kept_as).write.mode("overwrite").partitionBy("kept_as").parquet(path)
 
     def open_versions(self, run: str, table: str) -> DataFrame:
-        return self._read(history_schema(table), f"{self.root}/history/{table}/run={run}/state=open")
+        return self._read(history_schema(table), f"{self.root}/history/{table}/run={run}/kept_as=open")
 
     def history(self, runs: list[str], table: str) -> DataFrame:
         """All versions as of the last of ``runs``: the open ones it left and all that were closed."""
         closed = StructType(history_schema(table).fields + [StructField("run", StringType())])
         base = f"{self.root}/history/{table}"
-        versions = self._read(closed, f"{base}/run=*/state=closed", basePath=base)
-        counted = versions.filter(F.col("run").isin(runs)).drop("run", "state")
+        versions = self._read(closed, f"{base}/run=*/kept_as=closed", basePath=base)
+        counted = versions.filter(F.col("run").isin(runs)).drop("run", "kept_as")
         return counted.unionByName(self.open_versions(runs[-1], table))
 
     def write_mart(self, run: str, mart: str, df: DataFrame) -> None:
