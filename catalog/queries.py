@@ -146,7 +146,7 @@ def fact(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    policies = s.mart(spark, sf_dir, "dim_policies")
+    policies = s.stored_mart(spark, sf_dir, "dim_policies")
     return build_fact("fct_contributions", s.contributions(spark, sf_dir), policies, s.RUN_TS, asof_join_by_day)
 
 
@@ -220,12 +220,12 @@ def run_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = with_loaded_at(s.mart(spark, sf_dir, "fct_claims"), s.LOADED_AT)
+    rows = with_loaded_at(s.stored_mart(spark, sf_dir, "fct_claims"), s.LOADED_AT)
     return rows.groupBy("etl_loaded_at").agg(F.count("*").alias("n"))
 
 
 def single_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = with_loaded_at(s.mart(spark, sf_dir, "fct_contributions"), s.LOADED_AT)
+    rows = with_loaded_at(s.stored_mart(spark, sf_dir, "fct_contributions"), s.LOADED_AT)
     stamps = [q.single_value(rows.select(F.col(c).alias("stamp")), "stamp") for c in rows.columns[-2:]]
     return stamps[0].unionAll(stamps[1])
 
@@ -298,19 +298,17 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.freshness(with_loaded_at(s.mart(spark, sf_dir, "fct_contributions"), s.LOADED_AT))
+    return reports.freshness(with_loaded_at(s.stored_mart(spark, sf_dir, "fct_contributions"), s.LOADED_AT))
 
 
 def faulty_fund_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = s.faulty_staging(spark, sf_dir, "stg_contributions")
+    rows = s.FaultyTables(spark, sf_dir)["stg_contributions"]
     return reports.fund_split_exceptions({"fct_contributions": rows})
 
 
 def faulty_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    faulty = s.faulty_mart(spark, sf_dir, "fct_contributions")
-    return reports.leakage_exceptions(
-        {"fct_contributions": faulty, "dim_policies": s.mart(spark, sf_dir, "dim_policies")}
-    )
+    faulty = s.FaultyTables(spark, sf_dir)["fct_contributions"]
+    return reports.leakage_exceptions({"fct_contributions": faulty, **s.marts(spark, sf_dir, "dim_policies")})
 
 
 def leakage_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,37 +345,24 @@ def dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def violations(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Violations of one check on the faulty tables."""
     found = next(c for c in checks() if c.name == name)
-    return found.rows(_Faulty(spark, sf_dir))
+    return found.rows(s.FaultyTables(spark, sf_dir))
 
 
 def suite_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summarize(s.faulty_tables(spark, sf_dir))
+    return summarize(s.FaultyTables(spark, sf_dir))
 
 
 def strict_current(name: str, key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q.one_current_strict(s.faulty_mart(spark, sf_dir, name).filter(F.col(key).isNotNull()), key)
+    return q.one_current_strict(s.FaultyTables(spark, sf_dir)[name].filter(F.col(key).isNotNull()), key)
 
 
 def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gaps left when versions that lasted less than a day are taken out of the history."""
-    dim = s.mart(spark, sf_dir, "dim_policies")
+    dim = s.stored_mart(spark, sf_dir, "dim_policies")
     long = dim.filter(F.col("valid_to") >= F.col("valid_from") + F.expr("INTERVAL 36 HOURS"))
     return q.scd_gaps(long, "policy_id")
 
 
-class _Faulty(dict):
-    """Faulty tables, built when a check asks for one."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        super().__init__()
-        self.spark, self.sf_dir = spark, sf_dir
-
-    def __missing__(self, name: str) -> DataFrame:
-        build = s.faulty_staging if name.startswith("stg_") else s.faulty_mart
-        self[name] = build(self.spark, self.sf_dir, name)
-        return self[name]
-
-
 def registry() -> dict[str, Query]:
     found: dict[str, Query] = {
         "fund_totals_asof": fund_totals,

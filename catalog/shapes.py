@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +39,19 @@ def work_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/martwright-{uuid.uuid4().hex}"
 
 
+_stored: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table written once per application, as marts and staging are; read back by its users."""
+    at = (spark.sparkContext.applicationId, sf_dir, name)
+    if at not in _stored:
+        path = f"{work_folder(spark)}/{name}"
+        build().write.parquet(path)
+        _stored[at] = path
+    return spark.read.parquet(_stored[at])
+
+
 # --- policies, from events -------------------------------------------------------------
 
 
@@ -207,6 +221,7 @@ def participants_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Plan of a mart; a fact joins the stored dimension."""
     if name == "dim_policies":
         return dim_policies(policies_history(spark, sf_dir), RUN_TS)
     if name == "dim_participants":
@@ -216,11 +231,15 @@ def mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "dim_date":
         return dim_date(spark, RUN_TS)
     staged = sources(spark, sf_dir)[FACTS[name][0]]
-    return build_fact(name, staged, mart(spark, sf_dir, "dim_policies"), RUN_TS)
+    return build_fact(name, staged, stored_mart(spark, sf_dir, "dim_policies"), RUN_TS)
+
+
+def stored_mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return stored(spark, sf_dir, name, lambda: mart(spark, sf_dir, name))
 
 
 def marts(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    return {name: mart(spark, sf_dir, name) for name in names}
+    return {name: stored_mart(spark, sf_dir, name) for name in names}
 
 
 # --- faulty copies: every check of the suite must find something ----------------------------
@@ -300,7 +319,7 @@ def _faulty_versions(dim: DataFrame, key: str, surrogate: str) -> DataFrame:
 
 def faulty_mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A mart with faults."""
-    df = mart(spark, sf_dir, name)
+    df = stored_mart(spark, sf_dir, name)
     if name == "dim_policies":
         return _faulty_versions(df, "policy_id", "policy_sk")
     if name == "dim_participants":
@@ -326,11 +345,19 @@ def faulty_mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _null_where(df, number % 1000 == 13, key).drop("__n")
 
 
-def faulty_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All tables the suite needs, with faults; marts are built from clean sources."""
-    staged = {f"stg_{s}": faulty_staging(spark, sf_dir, f"stg_{s}") for s in SOURCES}
-    names = ["dim_policies", "dim_participants", "dim_product", "dim_date", *FACTS]
-    return staged | {name: faulty_mart(spark, sf_dir, name) for name in names}
+class FaultyTables(dict):
+    """All tables the suite needs, with faults, each stored when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        build = faulty_staging if name.startswith("stg_") else faulty_mart
+        self[name] = stored(
+            self.spark, self.sf_dir, f"faulty_{name}", lambda: build(self.spark, self.sf_dir, name)
+        )
+        return self[name]
 
 
 def as_text(df: DataFrame) -> DataFrame:

@@ -2,25 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martwright.functions.audit import utc_naive
+from martwright.functions.frames import for_each
 from martwright.operators.history import assert_unique_key, first_load, merge_open, scd2_replay
 from martwright.plans.dimensions import NATURAL_KEYS, TRACKED, dim_date, dim_participants, dim_policies, dim_product
 from martwright.plans.facts import FACTS, build_fact
-from martwright.plans.suite import Check, GateError, checks, gate, summarize
+from martwright.plans.suite import GateError, checks, count_violations, gate
 from martwright.schemas import MARTS, SOURCES, conform
 from martwright.sources.landing import land, scan_latest
 from martwright.sources.publish import export_audit, load_jdbc
 from martwright.sources.store import Store
 
-#: Independent writes that may run side by side, to fill a cluster while one drains.
-PARALLEL_WRITES = 4
-
 
 @dataclass
 class Run:
@@ -42,15 +39,20 @@ def run_daily(
     ``{root}/raw`` is taken. Raises ``GateError``, with nothing published, if a check fails."""
     store = Store(spark, root)
     earlier = store.commits()
-    if earlier and earlier[-1].run_ts >= _naive(run_ts):
+    if earlier and earlier[-1].run_ts >= utc_naive(run_ts):
         raise ValueError(f"a run at {earlier[-1].run_ts} was already published; {run_ts} isn't later")
     run, raw = store.run_id(run_ts), f"{store.root}/raw"
+    last = earlier[-1].run if earlier else None
 
-    _each(sources or {}, lambda table: land(sources[table], raw, table, run_date))
-    _each(SOURCES, lambda t: store.write_staging(run, t, conform(scan_latest(spark, raw, t), SOURCES[t])))
-    staged = {table: store.staging(run, table) for table in SOURCES}
+    def take_in(table: str) -> None:
+        if sources:
+            land(sources[table], raw, table, run_date)
+        store.write_staging(run, table, conform(scan_latest(spark, raw, table), SOURCES[table]))
+        if table in NATURAL_KEYS:
+            _keep_history(store, run, last, table, run_ts)
 
-    _each(NATURAL_KEYS, lambda table: _keep_history(store, run, table, staged[table], run_ts))
+    for_each(SOURCES, take_in)
+    staged = {table: store.staging(run, table) for table in SOURCES}
     runs = [c.run for c in earlier] + [run]
     _build_marts(store, run, staged, {t: store.history(runs, t) for t in NATURAL_KEYS}, run_ts)
 
@@ -74,13 +76,11 @@ def rebuild(
     return {mart: store.mart(run, mart) for mart in MARTS}
 
 
-def _keep_history(store: Store, run: str, table: str, staged: DataFrame, run_ts: datetime) -> None:
-    key = NATURAL_KEYS[table]
+def _keep_history(store: Store, run: str, last: str | None, table: str, run_ts: datetime) -> None:
+    key, staged = NATURAL_KEYS[table], store.staging(run, table)
     assert_unique_key(staged, key)
-    earlier = store.commits()
-    if earlier:
-        before = store.open_versions(earlier[-1].run, table)
-        versions = merge_open(before, staged, key, TRACKED[table], run_ts)
+    if last:
+        versions = merge_open(store.open_versions(last, table), staged, key, TRACKED[table], run_ts)
     else:
         versions = first_load(staged, key, run_ts)
     store.write_versions(run, table, versions)
@@ -89,25 +89,26 @@ def _keep_history(store: Store, run: str, table: str, staged: DataFrame, run_ts:
 def _build_marts(
     store: Store, run: str, staged: dict[str, DataFrame], histories: dict[str, DataFrame], run_ts: datetime
 ) -> None:
-    dimensions = {
-        "dim_policies": dim_policies(histories["policies"], run_ts),
+    """Facts read the policies as written, so the dimension isn't computed once per fact."""
+    store.write_mart(run, "dim_policies", dim_policies(histories["policies"], run_ts))
+    policies = store.mart(run, "dim_policies")
+    marts = {
         "dim_participants": dim_participants(histories["participants"], staged["participants"], run_ts),
         "dim_product": dim_product(staged["policies"], run_ts),
         "dim_date": dim_date(store.spark, run_ts),
+        **{mart: build_fact(mart, staged[source], policies, run_ts) for mart, (source, _) in FACTS.items()},
     }
-    _each(dimensions, lambda mart: store.write_mart(run, mart, dimensions[mart]))
-    policies = store.mart(run, "dim_policies")
-    _each(FACTS, lambda mart: store.write_mart(run, mart, build_fact(mart, staged[FACTS[mart][0]], policies, run_ts)))
+    for_each(marts, lambda mart: store.write_mart(run, mart, marts[mart]))
 
 
 def _check(store: Store, run: str, staged: dict[str, DataFrame]) -> int:
+    """Run the suite. Rows behind a failed check are kept in quarantine before the error is raised."""
     tables = {f"stg_{t}": df for t, df in staged.items()} | {m: store.mart(run, m) for m in MARTS}
-    suite = checks()
     try:
-        return gate(summarize(tables, suite))
+        return gate(count_violations(tables))
     except GateError as error:
-        failed: list[Check] = [c for c in suite if c.name in error.failed]
-        _each(failed, lambda c: store.quarantine(run, c.name, c.rows(tables)))
+        failed = [c for c in checks() if c.name in error.failed]
+        for_each(failed, lambda c: store.quarantine(run, c.name, c.rows(tables)))
         raise
 
 
@@ -120,20 +121,10 @@ def _publish(
     loaded_at: datetime | None,
     jdbc_url: str | None,
 ) -> Run:
-    _each(MARTS, lambda mart: export_audit(store.mart(run, mart), f"{store.root}/audit", mart, run_date))
+    for_each(MARTS, lambda mart: export_audit(store.mart(run, mart), f"{store.root}/audit", mart, run_date))
     store.commit(run_ts, loaded_at or datetime.now(timezone.utc))
     published = store.published()
     if jdbc_url:
         for mart, df in published.items():
             load_jdbc(df, mart, jdbc_url)
     return Run(run, passed, published)
-
-
-def _each(items: Iterable, job: Callable) -> None:
-    """Run a job per item, several at a time; the first failure is raised."""
-    with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
-        list(pool.map(job, items))
-
-
-def _naive(ts: datetime) -> datetime:
-    return ts.astimezone(timezone.utc).replace(tzinfo=None) if ts.tzinfo else ts

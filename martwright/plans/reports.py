@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martwright.functions.frames import union_all
 from martwright.operators import quality as q
 from martwright.plans.facts import FACTS
 
@@ -110,4 +109,4 @@ def sample_rows(df: DataFrame, n: int, order: str) -> DataFrame:
 
 def _count_each(tables: Marts) -> DataFrame:
     counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n") for name, df in tables.items()]
-    return reduce(DataFrame.unionAll, counts)
+    return union_all(counts)

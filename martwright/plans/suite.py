@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martwright.functions.frames import PARALLEL_JOBS, for_each, union_all
 from martwright.operators import quality as q
 
 Tables = dict[str, DataFrame]
@@ -67,9 +68,9 @@ class Check:
     per_row: tuple[str, Callable[[], Column]] | None = None
 
     def counted(self, tables: Tables) -> DataFrame:
-        if self.count:
-            return self.count(tables)
-        return self.rows(tables).agg(F.count("*").alias("violations"))
+        total = F.count("*").alias("violations")
+        counts = self.count(tables) if self.count else self.rows(tables).agg(total)
+        return counts.select(F.lit(self.name).alias("check_name"), "violations")
 
 
 def checks() -> list[Check]:
@@ -110,9 +111,7 @@ def summarize(tables: Tables, suite: list[Check] | None = None) -> DataFrame:
     All rules on single rows of a table share one pass over it.
     """
     suite = checks() if suite is None else suite
-    counts = [
-        c.counted(tables).select(F.lit(c.name).alias("check_name"), "violations") for c in suite if not c.per_row
-    ]
+    counts = [c.counted(tables) for c in suite if not c.per_row]
     by_table: dict[str, list[Check]] = {}
     for c in suite:
         if c.per_row:
@@ -121,7 +120,16 @@ def summarize(tables: Tables, suite: list[Check] | None = None) -> DataFrame:
         totals = tables[table].agg(*[F.count_if(c.per_row[1]()).alias(c.name) for c in same])
         pairs = [F.struct(F.lit(c.name).alias("check_name"), F.col(c.name).alias("violations")) for c in same]
         counts.append(totals.select(F.inline(F.array(*pairs))))
-    return reduce(DataFrame.unionAll, counts)
+    return union_all(counts)
+
+
+def count_violations(tables: Tables, suite: list[Check] | None = None) -> dict[str, int]:
+    """Violations per check: the summary in several parts that are planned and run side by side."""
+    suite = checks() if suite is None else suite
+    per_row, others = [c for c in suite if c.per_row], [c for c in suite if not c.per_row]
+    parts = [part for part in (per_row, *(others[i :: PARALLEL_JOBS] for i in range(PARALLEL_JOBS))) if part]
+    rows = for_each(parts, lambda part: summarize(tables, part).collect())  # one small row per check
+    return {row.check_name: row.violations for part in rows for row in part}
 
 
 class GateError(RuntimeError):
@@ -132,13 +140,12 @@ class GateError(RuntimeError):
         super().__init__("failed checks: " + ", ".join(f"{name} ({n})" for name, n in sorted(failed.items())))
 
 
-def gate(summary: DataFrame) -> int:
-    """Raise if any check of the summary has violations, else return how many checks passed."""
-    rows = summary.collect()  # one small row per check
-    failed = {r.check_name: r.violations for r in rows if r.violations}
+def gate(violations: dict[str, int]) -> int:
+    """Raise if any check has violations, else return how many checks passed."""
+    failed = {name: n for name, n in violations.items() if n}
     if failed:
         raise GateError(failed)
-    return len(rows)
+    return len(violations)
 
 
 def _is_null(column: str) -> Column:
