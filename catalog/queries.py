@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from catalog import shapes as s
 from martwright.functions.audit import run_stamp, with_loaded_at
+from martwright.functions.frames import for_each, union_all
 from martwright.functions.keys import surrogate_key
 from martwright.operators import quality as q
 from martwright.operators.asof import asof_join, asof_join_by_day
@@ -42,9 +43,12 @@ def landed_root(spark: SparkSession, sf_dir: str) -> str:
             "policies": s.policies(spark, sf_dir, until=s.FIRST_DAY),
             "contributions": newest["contributions"].drop("payment_method"),
         }
-        for name in SOURCES:
+
+        def land(name: str) -> None:
             landing.land(older[name].select(*reversed(older[name].columns)), root, name, s.FIRST_DAY)
             landing.land(newest[name], root, name, s.SECOND_DAY)
+
+        for_each(SOURCES, land)
         _landed[at] = root
     return _landed[at]
 
@@ -63,10 +67,7 @@ def land_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = landed_root(spark, sf_dir)
     counts = [landing.landed_counts(spark, root, t).select(F.lit(t).alias("table_name"), "*") for t in SOURCES]
-    united = counts[0]
-    for more in counts[1:]:
-        united = united.unionAll(more)
-    return united
+    return union_all(counts)
 
 
 def scan_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,7 +228,7 @@ def load_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def single_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = with_loaded_at(s.stored_mart(spark, sf_dir, "fct_contributions"), s.LOADED_AT)
     stamps = [q.single_value(rows.select(F.col(c).alias("stamp")), "stamp") for c in rows.columns[-2:]]
-    return stamps[0].unionAll(stamps[1])
+    return union_all(stamps)
 
 
 # --- publishing ---------------------------------------------------------------------------
@@ -336,7 +337,7 @@ def dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
         df.select(F.lit(name).alias("dependency"), F.col(df.columns[0]).alias("determinant"), "n_values")
         for name, df in (("brand-type", brands), ("product-category", products), ("agent-branch", agents))
     ]
-    return labelled[0].unionAll(labelled[1]).unionAll(labelled[2])
+    return union_all(labelled)
 
 
 # --- checks -------------------------------------------------------------------------------

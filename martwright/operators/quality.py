@@ -33,12 +33,11 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, field: str)
     return child.filter(F.col(column).isNotNull()).join(known, F.col(column) == F.col("__known"), "left_anti")
 
 
-def count_orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    """Number of rows ``relationships`` returns, as one row; joins distinct values, not rows."""
-    values = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("__rows"))
-    return relationships(values, column, parent, field).agg(
-        F.coalesce(F.sum("__rows"), F.lit(0)).cast("bigint").alias("violations")
-    )
+def orphan_counts(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
+    """Values of ``column`` not found in ``parent``, with their ``violations``: the number of rows that
+    ``relationships`` returns, but distinct values are joined instead of rows."""
+    values = child.groupBy(column).agg(F.count("*").alias("violations"))
+    return relationships(values, column, parent, field)
 
 
 def accepted_values(df: DataFrame, column: str, values: list[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
@@ -14,7 +15,7 @@ from martwright.plans.dimensions import NATURAL_KEYS, TRACKED, dim_date, dim_par
 from martwright.plans.facts import FACTS, build_fact
 from martwright.plans.suite import GateError, checks, count_violations, gate
 from martwright.schemas import MARTS, SOURCES, conform
-from martwright.sources.landing import land, scan_latest
+from martwright.sources.landing import extract_files, land, scan_latest
 from martwright.sources.publish import export_audit, load_jdbc
 from martwright.sources.store import Store
 
@@ -47,6 +48,9 @@ def run_daily(
     def take_in(table: str) -> None:
         if sources:
             land(sources[table], raw, table, run_date)
+        newest = max(extract_files(spark, raw, table))
+        if newest > str(run_date):
+            warnings.warn(f"{table}: extract of {newest} stays the latest until that day has passed", stacklevel=2)
         store.write_staging(run, table, conform(scan_latest(spark, raw, table), SOURCES[table]))
         if table in NATURAL_KEYS:
             _keep_history(store, run, last, table, run_ts)

@@ -59,18 +59,21 @@ VERSIONED = {"dim_policies": "policy_id", "dim_participants": "participant_id"}
 
 @dataclass(frozen=True)
 class Check:
-    """A rule on named tables. ``rows`` gives its violations, ``count`` one row with their number."""
+    """A rule on named tables; ``rows`` gives its violations."""
 
     name: str
     rows: Callable[[Tables], DataFrame]
-    count: Callable[[Tables], DataFrame] | None = None
+    #: Rows with a column ``violations`` that add up to the number of violations, where that is
+    #: cheaper to get than the violations.
+    tally: Callable[[Tables], DataFrame] | None = None
     #: (table, condition) of a rule on single rows: counted together with the table's others.
     per_row: tuple[str, Callable[[], Column]] | None = None
 
-    def counted(self, tables: Tables) -> DataFrame:
-        total = F.count("*").alias("violations")
-        counts = self.count(tables) if self.count else self.rows(tables).agg(total)
-        return counts.select(F.lit(self.name).alias("check_name"), "violations")
+    def tallied(self, tables: Tables) -> DataFrame:
+        name = F.lit(self.name).alias("check_name")
+        if self.tally:
+            return self.tally(tables).select(name, "violations")
+        return self.rows(tables).select(name, F.lit(1).cast("bigint").alias("violations"))
 
 
 def checks() -> list[Check]:
@@ -91,7 +94,7 @@ def checks() -> list[Check]:
             Check(
                 f"relationships_{child}_{c}",
                 partial(_orphans, q.relationships, child, c, parent, field),
-                count=partial(_orphans, q.count_orphans, child, c, parent, field),
+                tally=partial(_orphans, q.orphan_counts, child, c, parent, field),
             )
         )
     for table, c, values in ACCEPTED:
@@ -108,19 +111,20 @@ def checks() -> list[Check]:
 def summarize(tables: Tables, suite: list[Check] | None = None) -> DataFrame:
     """One row per check, ``check_name`` and ``violations``, as a single query.
 
-    All rules on single rows of a table share one pass over it.
+    All rules on single rows of a table share one pass over it; what the others find is added up
+    in one aggregate over all of them.
     """
     suite = checks() if suite is None else suite
-    counts = [c.counted(tables) for c in suite if not c.per_row]
-    by_table: dict[str, list[Check]] = {}
+    per_row: dict[str, list[Check]] = {}
     for c in suite:
         if c.per_row:
-            by_table.setdefault(c.per_row[0], []).append(c)
-    for table, same in by_table.items():
+            per_row.setdefault(c.per_row[0], []).append(c)
+    found = [c.tallied(tables) for c in suite if not c.per_row]
+    for table, same in per_row.items():
         totals = tables[table].agg(*[F.count_if(c.per_row[1]()).alias(c.name) for c in same])
-        pairs = [F.struct(F.lit(c.name).alias("check_name"), F.col(c.name).alias("violations")) for c in same]
-        counts.append(totals.select(F.inline(F.array(*pairs))))
-    return union_all(counts)
+        found.append(totals.select(_as_rows({c.name: F.col(c.name) for c in same})))
+    none = found[0].sparkSession.range(1).select(_as_rows({c.name: F.lit(0).cast("bigint") for c in suite}))
+    return union_all([none, *found]).groupBy("check_name").agg(F.sum("violations").alias("violations"))
 
 
 def count_violations(tables: Tables, suite: list[Check] | None = None) -> dict[str, int]:
@@ -148,6 +152,11 @@ def gate(violations: dict[str, int]) -> int:
     return len(violations)
 
 
+def _as_rows(violations: dict[str, Column]) -> Column:
+    pairs = [F.struct(F.lit(name).alias("check_name"), n.alias("violations")) for name, n in violations.items()]
+    return F.inline(F.array(*pairs))
+
+
 def _is_null(column: str) -> Column:
     return F.col(column).isNull()
 

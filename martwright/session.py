@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 #: Malformed values must raise in staging casts (ANSI), skewed joins must be split and
-#: small shuffles merged at run time (AQE). ``initialPartitionNum`` starts wide, so that
-#: a shuffle of tens of TB gets partitions that fit in memory; AQE merges what is small.
+#: small shuffles merged at run time (AQE).
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -16,10 +15,33 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
-CLUSTER_SETTINGS = SETTINGS | {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
-    "spark.sql.files.maxPartitionBytes": "256m",
-}
+_PARTITION_BYTES = 256 * 1024**2
+_MOST_PARTITIONS = 50_000
+
+
+def cluster_settings(shuffled_bytes: int) -> dict[str, str]:
+    """Settings for a job whose largest shuffle moves about ``shuffled_bytes``.
+
+    AQE merges small partitions and splits skewed ones in joins, but doesn't split evenly large
+    ones: a shuffle must start with enough of them to fit in an executor's memory.
+    """
+    partitions = min(max(shuffled_bytes // _PARTITION_BYTES, 200), _MOST_PARTITIONS)
+    return SETTINGS | {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(_PARTITION_BYTES),
+    }
+
+
+def object_store_settings(endpoint: str, key: str, secret: str, tls: bool = False) -> dict[str, str]:
+    """Access to an S3-like store that is addressed by path; any other Hadoop path works without."""
+    return {
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.access.key": key,
+        "spark.hadoop.fs.s3a.secret.key": secret,
+        "spark.hadoop.fs.s3a.path.style.access": "true",
+        "spark.hadoop.fs.s3a.connection.ssl.enabled": str(tls).lower(),
+    }
 
 
 def build_session(app_name: str = "martwright", settings: dict[str, str] | None = None) -> SparkSession:

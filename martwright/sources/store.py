@@ -91,6 +91,13 @@ class Store:
         last = self.commits()[-1]
         return {mart: with_loaded_at(self.mart(last.run, mart), last.loaded_at) for mart in MARTS}
 
+    def create_views(self) -> None:
+        """Views ``stg_<source>`` and one per mart, of the last run that passed, for ad hoc SQL."""
+        last = self.commits()[-1]
+        staged = {f"stg_{table}": self.staging(last.run, table) for table in SOURCES}
+        for name, df in (staged | self.published()).items():
+            df.createOrReplaceTempView(name)
+
     def quarantine(self, run: str, check: str, violations: DataFrame) -> None:
         violations.write.mode("overwrite").parquet(f"{self.root}/quarantine/run={run}/{check}")
 

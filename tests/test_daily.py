@@ -9,6 +9,7 @@ from catalog import shapes
 from martwright.plans.daily import rebuild, run_daily
 from martwright.plans.suite import GateError
 from martwright.schemas import MARTS, SOURCES
+from martwright.session import cluster_settings, object_store_settings
 from martwright.sources.publish import export_audit, jdbc_column_types, jdbc_options, publish
 from martwright.sources.store import Store
 
@@ -46,6 +47,9 @@ def test_first_run_publishes_all_marts(spark, clean, tmp_path):
     for fact, source in (("fct_contributions", "contributions"), ("fct_claims", "claims")):
         assert run.marts[fact].count() == clean[source].count()
         assert run.marts[fact].filter("policy_sk is null").count() == 0
+    Store(spark, str(tmp_path)).create_views()
+    found = spark.sql("SELECT count(*) FROM fct_claims JOIN stg_claims USING (claim_id) WHERE etl_loaded_at IS NOT NULL")
+    assert found.first()[0] == clean["claims"].count()
 
 
 def test_a_change_opens_a_version_and_old_facts_keep_theirs(spark, clean, tmp_path):
@@ -105,7 +109,8 @@ def test_a_future_day_stays_the_latest(spark, clean, tmp_path):
     root = str(tmp_path)
     run_daily(spark, root, "2024-03-01", RUNS[0], clean)
     one = clean["claims"].limit(1)
-    run = run_daily(spark, root, DAYS[0], RUNS[1], clean | {"claims": one})
+    with pytest.warns(UserWarning, match="claims: extract of 2024-03-01 stays the latest"):
+        run = run_daily(spark, root, DAYS[0], RUNS[1], clean | {"claims": one})
     assert run.marts["fct_claims"].count() == clean["claims"].count()
 
 
@@ -150,3 +155,11 @@ def test_serving_table_options():
         "participant_sk VARCHAR(64), participant_id VARCHAR(20), full_name VARCHAR(200), ic_number VARCHAR(20), "
         "state VARCHAR(50), gender VARCHAR(1)"
     )
+
+
+def test_settings_follow_the_size_of_the_shuffle():
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert cluster_settings(10)[name] == "200"
+    assert cluster_settings(2 * 1024**4)[name] == "8192"
+    assert cluster_settings(100 * 1024**4)[name] == "50000"
+    assert object_store_settings("http://store", "k", "s")["spark.hadoop.fs.s3a.path.style.access"] == "true"

@@ -77,13 +77,15 @@ def test_null_is_left_to_not_null(spark):
     assert q.not_null(child, "c").count() == 1
     assert [tuple(r) for r in q.unique(child, "c").collect()] == [("b", 2)]
     assert [r.c for r in q.relationships(child, "c", parent, "p").collect()] == ["b", "b"]
-    assert q.count_orphans(child, "c", parent, "p").first().violations == 2
+    assert [tuple(r) for r in q.orphan_counts(child, "c", parent, "p").collect()] == [("b", 2)]
     assert [tuple(r) for r in q.accepted_values(child, "c", ["a"]).collect()] == [("b", 2)]
 
 
-def test_no_orphans_counts_zero(spark):
-    child = spark.createDataFrame([("a",)], "c string")
-    assert q.count_orphans(child, "c", child, "c").first().violations == 0
+def test_summary_names_checks_without_violations(spark):
+    clean = spark.createDataFrame([("a",)], "policy_id string")
+    suite = [c for c in checks() if c.name in ("unique_stg_policies_policy_id", "not_null_stg_policies_policy_id")]
+    found = {r.check_name: r.violations for r in summarize({"stg_policies": clean}, suite).collect()}
+    assert found == {"unique_stg_policies_policy_id": 0, "not_null_stg_policies_policy_id": 0}
 
 
 def test_split_tolerates_a_cent(spark):
