@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Versions of one key from which ``asof_join_by_day`` pays off. Comparing a fact with each of so
+#: many versions costs more than joining it a second time.
+LONG_HISTORY = 500
+
+AsofJoin = Callable[[DataFrame, DataFrame, str, str, list[str]], DataFrame]
+
 
 def asof_join(
     fact: DataFrame, dim: DataFrame, key: str, date_col: str, take: list[str], how: str = "left"
@@ -41,3 +49,9 @@ def asof_join_by_day(fact: DataFrame, dim: DataFrame, key: str, date_col: str, t
     days = fact.select(key, date_col).distinct()
     resolved = asof_join(days, dim, key, date_col, take, how="inner")
     return fact.join(resolved, [key, date_col], "left").select(*fact.columns, *take)
+
+
+def asof_join_for(dim: DataFrame, key: str) -> AsofJoin:
+    """The join that suits ``dim``, by the longest history in it: one aggregate over its keys."""
+    longest = dim.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    return asof_join_by_day if longest > LONG_HISTORY else asof_join

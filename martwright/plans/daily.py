@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martwright.functions.audit import utc_naive
 from martwright.functions.frames import for_each
+from martwright.operators.asof import asof_join_for
 from martwright.operators.history import assert_unique_key, first_load, merge_open, scd2_replay
 from martwright.plans.dimensions import NATURAL_KEYS, TRACKED, dim_date, dim_participants, dim_policies, dim_product
 from martwright.plans.facts import FACTS, build_fact
@@ -50,7 +51,7 @@ def run_daily(
             land(sources[table], raw, table, run_date)
         newest = max(extract_files(spark, raw, table))
         if newest > str(run_date):
-            warnings.warn(f"{table}: extract of {newest} stays the latest until that day has passed", stacklevel=2)
+            warnings.warn(f"{table}: extract of {newest} stays the latest until that day has passed")
         store.write_staging(run, table, conform(scan_latest(spark, raw, table), SOURCES[table]))
         if table in NATURAL_KEYS:
             _keep_history(store, run, last, table, run_ts)
@@ -96,11 +97,12 @@ def _build_marts(
     """Facts read the policies as written, so the dimension isn't computed once per fact."""
     store.write_mart(run, "dim_policies", dim_policies(histories["policies"], run_ts))
     policies = store.mart(run, "dim_policies")
+    resolve = asof_join_for(policies, "policy_id")
     marts = {
         "dim_participants": dim_participants(histories["participants"], staged["participants"], run_ts),
         "dim_product": dim_product(staged["policies"], run_ts),
         "dim_date": dim_date(store.spark, run_ts),
-        **{mart: build_fact(mart, staged[source], policies, run_ts) for mart, (source, _) in FACTS.items()},
+        **{mart: build_fact(mart, staged[source], policies, run_ts, resolve) for mart, (source, _) in FACTS.items()},
     }
     for_each(marts, lambda mart: store.write_mart(run, mart, marts[mart]))
 

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 
 from martwright.functions.audit import run_stamp
-from martwright.operators.asof import asof_join
+from martwright.operators.asof import AsofJoin, asof_join
 from martwright.schemas import as_mart
 
 # Fact -> (source, date that decides the version).
@@ -20,9 +19,9 @@ FACTS = {
 
 
 def build_fact(
-    mart: str, staged: DataFrame, policies: DataFrame, run_ts: datetime, resolve: Callable[..., DataFrame] = asof_join
+    mart: str, staged: DataFrame, policies: DataFrame, run_ts: datetime, resolve: AsofJoin = asof_join
 ) -> DataFrame:
-    """``resolve`` is ``asof_join``, or ``asof_join_by_day`` where keys are very hot."""
+    """``resolve`` is the as-of join to use; ``asof_join_for`` picks one by the dimension."""
     date_col = FACTS[mart][1]
     resolved = resolve(staged, policies, "policy_id", date_col, ["policy_sk"])
     return as_mart(resolved.select("*", run_stamp(run_ts)), mart)

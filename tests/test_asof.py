@@ -4,7 +4,8 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from martwright.operators.asof import asof_join, asof_join_by_day
+from martwright.operators import asof
+from martwright.operators.asof import asof_join, asof_join_by_day, asof_join_for
 
 DIM = "k string, sk string, valid_from timestamp_ntz, valid_to timestamp_ntz"
 
@@ -100,3 +101,10 @@ def test_aqe_splits_a_hot_key_of_the_fact_side(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_the_longest_history_decides(spark, two, monkeypatch):
+    assert asof_join_for(two, "k") is asof_join
+    assert asof_join_for(two.limit(0), "k") is asof_join
+    monkeypatch.setattr(asof, "LONG_HISTORY", 1)
+    assert asof_join_for(two, "k") is asof_join_by_day
