@@ -16,7 +16,7 @@ from martwright.plans.dimensions import NATURAL_KEYS, TRACKED, dim_date, dim_par
 from martwright.plans.facts import FACTS, build_fact
 from martwright.plans.suite import GateError, checks, count_violations, gate
 from martwright.schemas import MARTS, SOURCES, conform
-from martwright.sources.landing import extract_files, land, scan_latest
+from martwright.sources.landing import extract_days, land, scan_latest
 from martwright.sources.publish import export_audit, load_jdbc
 from martwright.sources.store import Store
 
@@ -36,9 +36,13 @@ def run_daily(
     sources: dict[str, DataFrame] | None = None,
     loaded_at: datetime | None = None,
     jdbc_url: str | None = None,
+    audit_copy: bool = True,
 ) -> Run:
     """One day, under ``root``. ``sources`` are landed first; without them, what lies in
-    ``{root}/raw`` is taken. Raises ``GateError``, with nothing published, if a check fails."""
+    ``{root}/raw`` is taken. Raises ``GateError``, with nothing published, if a check fails.
+
+    The marts of every run are kept anyway; ``audit_copy`` puts a second copy into dated folders.
+    """
     store = Store(spark, root)
     earlier = store.commits()
     if earlier and earlier[-1].run_ts >= utc_naive(run_ts):
@@ -49,7 +53,7 @@ def run_daily(
     def take_in(table: str) -> None:
         if sources:
             land(sources[table], raw, table, run_date)
-        newest = max(extract_files(spark, raw, table))
+        newest = max(extract_days(spark, raw, table))
         if newest > str(run_date):
             warnings.warn(f"{table}: extract of {newest} stays the latest until that day has passed")
         store.write_staging(run, table, conform(scan_latest(spark, raw, table), SOURCES[table]))
@@ -62,7 +66,14 @@ def run_daily(
     _build_marts(store, run, staged, {t: store.history(runs, t) for t in NATURAL_KEYS}, run_ts)
 
     passed = _check(store, run, staged)
-    return _publish(store, run, run_date, run_ts, passed, loaded_at, jdbc_url)
+    if audit_copy:
+        for_each(MARTS, lambda mart: export_audit(store.mart(run, mart), f"{store.root}/audit", mart, run_date))
+    store.commit(run_ts, loaded_at or datetime.now(timezone.utc))
+    published = store.published()
+    if jdbc_url:
+        for mart, df in published.items():
+            load_jdbc(df, mart, jdbc_url)
+    return Run(run, passed, published)
 
 
 def rebuild(
@@ -116,21 +127,3 @@ def _check(store: Store, run: str, staged: dict[str, DataFrame]) -> int:
         failed = [c for c in checks() if c.name in error.failed]
         for_each(failed, lambda c: store.quarantine(run, c.name, c.rows(tables)))
         raise
-
-
-def _publish(
-    store: Store,
-    run: str,
-    run_date: date,
-    run_ts: datetime,
-    passed: int,
-    loaded_at: datetime | None,
-    jdbc_url: str | None,
-) -> Run:
-    for_each(MARTS, lambda mart: export_audit(store.mart(run, mart), f"{store.root}/audit", mart, run_date))
-    store.commit(run_ts, loaded_at or datetime.now(timezone.utc))
-    published = store.published()
-    if jdbc_url:
-        for mart, df in published.items():
-            load_jdbc(df, mart, jdbc_url)
-    return Run(run, passed, published)

@@ -8,19 +8,21 @@ and the groups are united by name.
 from __future__ import annotations
 
 import re
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from martwright.functions.frames import for_each
+
 # Fixed value: the day folder directly above the file.
 EXTRACT_DATE = r"/([0-9]{4}-[0-9]{2}-[0-9]{2})/[^/]+$"
 
 _DIALECT = {"header": True, "quote": '"', "escape": '"'}
 _KEEP_SPACES = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-_HEADER_READERS = 16
+_FILES = {"pathGlobFilter": "*.csv"}
 
 
 def extract_date(path: Column | None = None) -> Column:
@@ -40,13 +42,21 @@ def land(df: DataFrame, root: str, table: str, run_date: date | str, rows_per_fi
     return path
 
 
-def extract_files(spark: SparkSession, root: str, table: str) -> dict[str, list[str]]:
-    """Files of each landed day, from the file listing alone: no job, no content read."""
-    listing = spark.read.option("pathGlobFilter", "*.csv").text(f"{root}/{table}/*")
+def extract_days(spark: SparkSession, root: str, table: str) -> dict[str, list[str]]:
+    """Landed days and their folders; folders that aren't named after a day come under ''.
+
+    Only folder names are listed: a table may have far more files than the driver should hold.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        raise FileNotFoundError(f"no extract under {root}/{table}")
     days: dict[str, list[str]] = {}
-    for path in sorted(listing.inputFiles()):
-        found = re.search(EXTRACT_DATE, path)
-        days.setdefault(found.group(1) if found else "", []).append(path)
+    for entry in files.listStatus(path):
+        if entry.isDirectory():
+            folder = entry.getPath().toString()
+            found = re.search(EXTRACT_DATE, f"{folder}/any file")
+            days.setdefault(found.group(1) if found else "", []).append(folder)
     return days
 
 
@@ -56,18 +66,15 @@ def scan_extracts(spark: SparkSession, root: str, table: str, dates: list[str] |
     One scan per distinct header, however many days there are. A column some days lack is
     NULL there.
     """
-    days = extract_files(spark, root, table)
-    if dates is not None:
-        days = {day: files for day, files in days.items() if day in dates}
-    with ThreadPoolExecutor(_HEADER_READERS) as pool:
-        headers = list(pool.map(lambda files: _header(spark, files), days.values()))
+    days = extract_days(spark, root, table)
+    wanted = [folders for day, folders in days.items() if dates is None or day in dates]
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for header, files in zip(headers, days.values()):
+    for header, folders in zip(for_each(wanted, lambda folders: _header(spark, folders)), wanted):
         if header:
-            by_header.setdefault(header, []).extend(files)
+            by_header.setdefault(header, []).extend(folders)
     if not by_header:
         raise FileNotFoundError(f"no extract with a header under {root}/{table}")
-    scans = [_read(spark, header, files) for header, files in by_header.items()]
+    scans = [_read(spark, header, folders) for header, folders in by_header.items()]
     united = scans[0]
     for scan in scans[1:]:
         united = united.unionByName(scan, allowMissingColumns=True)
@@ -78,9 +85,10 @@ def scan_extracts(spark: SparkSession, root: str, table: str, dates: list[str] |
 def scan_latest(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Rows of the newest day that has rows.
 
-    Walks back over the day folders, so older days aren't read, however many there are.
+    Walks back over the day folders, so older days are neither listed nor read, however many
+    there are.
     """
-    days = extract_files(spark, root, table)
+    days = extract_days(spark, root, table)
     scan = None
     for day in sorted(days, reverse=True):
         header = _header(spark, days[day])
@@ -108,21 +116,22 @@ def landed_counts(spark: SparkSession, root: str, table: str, dates: list[str] |
     return scan_extracts(spark, root, table, dates).groupBy("extract_date").agg(F.count("*").alias("row_count"))
 
 
-def _header(spark: SparkSession, files: list[str]) -> tuple[str, ...]:
-    """Column names of a day, from the first of its files that isn't empty."""
-    for path in files:
-        names = spark.read.options(**_DIALECT).csv(path).columns
-        if names:
-            return tuple(names)
-    return ()
+def _header(spark: SparkSession, folders: list[str]) -> tuple[str, ...]:
+    """Column names of a day, from the first line of its files; none if they are all empty."""
+    try:
+        return tuple(spark.read.options(**_DIALECT, **_FILES).csv(folders).columns)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return ()
 
 
-def _read(spark: SparkSession, header: tuple[str, ...], files: list[str]) -> DataFrame:
-    """Files that share ``header``. Spark maps CSV columns by position, so a file whose header
+def _read(spark: SparkSession, header: tuple[str, ...], folders: list[str]) -> DataFrame:
+    """Folders that share ``header``. Spark maps CSV columns by position, so a file whose header
     differs must raise (``enforceSchema`` off) rather than swap its columns silently."""
     schema = StructType([StructField(name, StringType()) for name in header])
-    reader = spark.read.options(**_DIALECT, multiLine=True, enforceSchema=False).schema(schema)
-    return reader.csv(files).select(
+    reader = spark.read.options(**_DIALECT, **_FILES, multiLine=True, enforceSchema=False).schema(schema)
+    return reader.csv(folders).select(
         *[F.col(f"`{name}`") for name in header],
         F.col("_metadata.file_path").alias("filename"),
         extract_date().alias("extract_date"),

@@ -82,6 +82,9 @@ def test_path_without_a_day_sorts_lowest(spark, root):
 
 
 def test_missing_extracts_raise(spark, root):
+    with pytest.raises(FileNotFoundError):
+        landing.extract_days(spark, root, "t")
+    os.makedirs(f"{root}/t/2024-01-02")
     put(root, "t", "2024-01-01", "")
     with pytest.raises(FileNotFoundError):
         landing.scan_extracts(spark, root, "t")
@@ -89,6 +92,16 @@ def test_missing_extracts_raise(spark, root):
         landing.scan_latest(spark, root, "t")
 
 
+def test_empty_files_and_folders_are_passed_over(spark, root):
+    put(root, "t", "2024-01-01", "id\n1\n")
+    put(root, "t", "2024-01-02", "", "part-0")
+    put(root, "t", "2024-01-02", "id\n2\n", "part-1")
+    put(root, "t", "2024-01-03", "")
+    os.makedirs(f"{root}/t/2024-01-04")
+    assert [r.id for r in landing.scan_latest(spark, root, "t").collect()] == ["2"]
+    assert sorted(r.id for r in landing.scan_extracts(spark, root, "t").collect()) == ["1", "2"]
+
+
 def test_text_survives_landing(spark, root):
     rows = [("1", ' spaced "quoted" ', "0101"), ("2", "two\nlines, and a comma", None), ("3", "back\\slash", "é")]
     df = spark.createDataFrame(rows, "id string, text string, code string")
@@ -113,7 +126,7 @@ def test_empty_extract_keeps_its_header(spark, root):
 
 def test_files_stay_small(spark, root):
     landing.land(spark.range(0, 1000, 1, 1), root, "t", "2024-01-01", rows_per_file=100)
-    assert len(landing.extract_files(spark, root, "t")["2024-01-01"]) == 10
+    assert len(landing.scan_latest(spark, root, "t").inputFiles()) == 10
     assert landing.scan_latest(spark, root, "t").count() == 1000
 
 
