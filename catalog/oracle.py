@@ -542,6 +542,26 @@ QUERIES = {
 }
 
 
+# Times that may be the end of time are shown as text.
+_ENDS_AS_TEXT = {
+    **dict.fromkeys(
+        ["dim_policies", "dim_participants", "scd2_replay"]
+        + [f"dq_not_null_dim_policies_{c}" for c in ("policy_sk", "policy_id")]
+        + [f"dq_not_null_dim_participants_{c}" for c in ("participant_sk", "participant_id")],
+        ["valid_from", "valid_to"],
+    ),
+    **dict.fromkeys([f"dq_unique_combination_dim_{d}" for d in ("policies", "participants")], ["valid_from"]),
+    **dict.fromkeys(
+        [f"dq_no_scd_overlap_dim_{d}" for d in ("policies", "participants")],
+        ["a_valid_from", "a_valid_to", "b_valid_from", "b_valid_to"],
+    ),
+}
+
+
 def oracle() -> dict[str, str]:
     prelude = ",\n".join(f"{name} AS ({sql})" for name, sql in CTES.items())
-    return {name: f"WITH {prelude}\n{sql.strip()}" for name, sql in QUERIES.items()}
+    queries = dict(QUERIES)
+    for name, columns in _ENDS_AS_TEXT.items():
+        texts = ", ".join(f"cast({c} AS varchar) AS {c}" for c in columns)
+        queries[name] = f"SELECT * REPLACE ({texts}) FROM ({queries[name]})"
+    return {name: f"WITH {prelude}\n{sql.strip()}" for name, sql in queries.items()}

@@ -364,6 +364,15 @@ def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.scd_gaps(long, "policy_id")
 
 
+# Columns that may hold the end of time, which clients that count nanoseconds can't take.
+_ENDS = ["valid_from", "valid_to", "a_valid_from", "a_valid_to", "b_valid_from", "b_valid_to"]
+
+
+def _ends_as_text(query: Query, spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = query(spark, sf_dir)
+    return df.withColumns({c: F.col(c).cast("string") for c in _ENDS if c in df.columns})
+
+
 def registry() -> dict[str, Query]:
     found: dict[str, Query] = {
         "fund_totals_asof": fund_totals,
@@ -417,4 +426,4 @@ def registry() -> dict[str, Query]:
     }
     for check in checks():
         found[f"dq_{check.name}"] = partial(violations, check.name)
-    return found
+    return {name: partial(_ends_as_text, query) for name, query in found.items()}

@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,11 +46,16 @@ _stored: dict[tuple[str, str, str], str] = {}
 def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A table written once per application, as marts and staging are; read back by its users."""
     at = (spark.sparkContext.applicationId, sf_dir, name)
-    if at not in _stored:
-        path = f"{work_folder(spark)}/{name}"
-        build().write.parquet(path)
-        _stored[at] = path
-    return spark.read.parquet(_stored[at])
+    if at in _stored:
+        try:
+            return spark.read.parquet(_stored[at])
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    path = f"{work_folder(spark)}/{name}"
+    build().write.parquet(path)
+    _stored[at] = path
+    return spark.read.parquet(path)
 
 
 # --- policies, from events -------------------------------------------------------------

@@ -1,5 +1,7 @@
 """Every named query gives what its SQL oracle gives."""
 
+from datetime import datetime
+
 import compare
 import pytest
 
@@ -24,6 +26,8 @@ def test_query(name, spark, small, duck):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     columns, rows = compare.spark_result(df)
+    # A client that counts nanoseconds ends in 2262.
+    assert all(v.year < 2262 for row in rows for v in row if isinstance(v, datetime))
     expected_columns, expected = compare.oracle_result(duck, ORACLE[name])
     assert columns == expected_columns
     assert rows == expected
