@@ -89,6 +89,13 @@ def fund_leakage(fact: DataFrame, dim: DataFrame, key: str = "policy_sk") -> Dat
     )
 
 
+def leak_counts(fact: DataFrame, dim: DataFrame, key: str = "policy_sk") -> DataFrame:
+    """The number of rows ``fund_leakage`` returns, as ``violations`` per policy version: facts are
+    counted before they are joined."""
+    counts = fact.filter(F.col("pif_amount") != 0).groupBy(key).agg(F.count("*").alias("violations"))
+    return counts.join(dim.filter(~F.col("has_pif")).select(key), key)
+
+
 def dependency(df: DataFrame, determinant: str, dependent: str) -> DataFrame:
     """Values of ``determinant`` that occur with more than one value of ``dependent``."""
     groups = df.groupBy(determinant).agg(F.countDistinct(dependent).alias("n_values"))

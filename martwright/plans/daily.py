@@ -106,16 +106,25 @@ def _build_marts(
     store: Store, run: str, staged: dict[str, DataFrame], histories: dict[str, DataFrame], run_ts: datetime
 ) -> None:
     """Facts read the policies as written, so the dimension isn't computed once per fact."""
-    store.write_mart(run, "dim_policies", dim_policies(histories["policies"], run_ts))
-    policies = store.mart(run, "dim_policies")
-    resolve = asof_join_for(policies, "policy_id")
-    marts = {
-        "dim_participants": dim_participants(histories["participants"], staged["participants"], run_ts),
-        "dim_product": dim_product(staged["policies"], run_ts),
-        "dim_date": dim_date(store.spark, run_ts),
-        **{mart: build_fact(mart, staged[source], policies, run_ts, resolve) for mart, (source, _) in FACTS.items()},
-    }
-    for_each(marts, lambda mart: store.write_mart(run, mart, marts[mart]))
+
+    def policies_and_facts() -> None:
+        store.write_mart(run, "dim_policies", dim_policies(histories["policies"], run_ts))
+        policies = store.mart(run, "dim_policies")
+        resolve = asof_join_for(policies, "policy_id")
+        for_each(
+            FACTS,
+            lambda mart: store.write_mart(run, mart, build_fact(mart, staged[FACTS[mart][0]], policies, run_ts, resolve)),
+        )
+
+    def participants() -> None:
+        dim = dim_participants(histories["participants"], staged["participants"], run_ts)
+        store.write_mart(run, "dim_participants", dim)
+
+    def product_and_date() -> None:
+        store.write_mart(run, "dim_product", dim_product(staged["policies"], run_ts))
+        store.write_mart(run, "dim_date", dim_date(store.spark, run_ts))
+
+    for_each([policies_and_facts, participants, product_and_date], lambda build: build())
 
 
 def _check(store: Store, run: str, staged: dict[str, DataFrame]) -> int:

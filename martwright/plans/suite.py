@@ -104,7 +104,7 @@ def checks() -> list[Check]:
         add(f"no_scd_overlap_{table}", q.scd_overlap, table, args=(key,))
         add(f"exactly_one_current_version_{table}", q.one_current, table, args=(key,))
     add("fund_split_invariant", q.fund_split, "stg_contributions", per_row=("stg_contributions", q.split_is_off))
-    add("no_pif_leakage", q.fund_leakage, "fct_contributions", "dim_policies")
+    add("no_pif_leakage", q.fund_leakage, "fct_contributions", "dim_policies", tally=_leaks)
     return found
 
 
@@ -161,5 +161,9 @@ def _is_null(column: str) -> Column:
     return F.col(column).isNull()
 
 
+def _leaks(tables: Tables) -> DataFrame:
+    return q.leak_counts(tables["fct_contributions"], tables["dim_policies"])
+
+
 def _orphans(rule, child: str, column: str, parent: str, field: str, tables: Tables) -> DataFrame:
     return rule(tables[child], column, tables[parent], field)

@@ -100,6 +100,7 @@ def test_leakage_skips_unknown_pif(spark):
     fact = spark.createDataFrame([("1", "p", "a", Decimal(1)), ("2", "p", "b", Decimal(1)), ("3", "p", "a", Decimal(0))], "contribution_id string, policy_id string, policy_sk string, pif_amount decimal(12,2)")
     policies = spark.createDataFrame([("a", False), ("b", None)], "policy_sk string, has_pif boolean")
     assert [r.contribution_id for r in q.fund_leakage(fact, policies).collect()] == ["1"]
+    assert [tuple(r) for r in q.leak_counts(fact, policies).collect()] == [("a", 1)]
 
 
 def test_the_suite_has_the_50_checks():
