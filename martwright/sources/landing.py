@@ -24,6 +24,9 @@ _DIALECT = {"header": True, "quote": '"', "escape": '"'}
 _KEEP_SPACES = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 _FILES = {"pathGlobFilter": "*.csv"}
 
+#: Bytes of a file above which it is worth a look whether several tasks may read it.
+LARGE_FILE = 128 * 1024**2
+
 
 def extract_date(path: Column | None = None) -> Column:
     """Date of the day folder a file lies in; '' where the path has none."""
@@ -33,7 +36,7 @@ def extract_date(path: Column | None = None) -> Column:
 def land(df: DataFrame, root: str, table: str, run_date: date | str, rows_per_file: int = 1_000_000) -> str:
     """Write one day's extract. The same day is replaced, other days stay.
 
-    A quoted value may hold a newline, so a CSV file can't be split between tasks; files are
+    A quoted value may hold a newline, and such a file can't be split between tasks; files are
     kept small instead.
     """
     path = f"{root}/{table}/{run_date}"
@@ -130,9 +133,24 @@ def _read(spark: SparkSession, header: tuple[str, ...], folders: list[str]) -> D
     """Folders that share ``header``. Spark maps CSV columns by position, so a file whose header
     differs must raise (``enforceSchema`` off) rather than swap its columns silently."""
     schema = StructType([StructField(name, StringType()) for name in header])
-    reader = spark.read.options(**_DIALECT, **_FILES, multiLine=True, enforceSchema=False).schema(schema)
+    whole = not _large_and_splittable(spark, folders)
+    reader = spark.read.options(**_DIALECT, **_FILES, multiLine=whole, enforceSchema=False).schema(schema)
     return reader.csv(folders).select(
         *[F.col(f"`{name}`") for name in header],
         F.col("_metadata.file_path").alias("filename"),
         extract_date().alias("extract_date"),
     )
+
+
+def _large_and_splittable(spark: SparkSession, folders: list[str]) -> bool:
+    """Whether there are large files that hold one record per line throughout.
+
+    A record that goes on in the next line leaves a line with an odd number of quotes. Looking
+    for one is a plain scan by all tasks, where a file that can't be split is parsed by one.
+    """
+    files = spark.read.format("binaryFile").options(**_FILES).load(folders)
+    if files.filter(F.col("length") > LARGE_FILE).isEmpty():
+        return False
+    lines = spark.read.options(**_FILES).text(folders)
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return lines.filter(quotes % 2 == 1).isEmpty()

@@ -130,6 +130,28 @@ def test_files_stay_small(spark, root):
     assert landing.scan_latest(spark, root, "t").count() == 1000
 
 
+def test_large_files_are_split_unless_a_record_spans_lines(spark, root, monkeypatch):
+    plain = "".join(f'{i},"quoted ""{i}"", text"\n' for i in range(5000))
+    put(root, "t", "2024-01-01", "id,text\n" + plain)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        small = landing.scan_latest(spark, root, "t")
+        assert small.rdd.getNumPartitions() == 1
+        monkeypatch.setattr(landing, "LARGE_FILE", 1000)
+        split = landing.scan_latest(spark, root, "t")
+        assert split.rdd.getNumPartitions() > 4
+        assert sorted(map(tuple, split.collect())) == sorted(map(tuple, small.collect()))
+        assert split.filter("text = 'quoted \"7\", text'").count() == 1
+        put(root, "t", "2024-01-02", "id,text\n" + plain + '5000,"two\nlines"\n')
+        spanning = landing.scan_latest(spark, root, "t")
+        assert spanning.rdd.getNumPartitions() == 1
+        assert spanning.count() == 5001 and spanning.filter("text = 'two\nlines'").count() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_conform_types_once_and_fills_missing_columns(spark, root):
     put(
         root,
