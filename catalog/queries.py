@@ -247,21 +247,25 @@ def publish_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two daily runs, the second one with everything changed that changes, then row counts of the
-    published marts beside those of their sources."""
-    root = s.work_folder(spark)
+def daily_sources(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]]:
+    """Sources of two days. On the first, all policies are active and nobody has moved yet."""
     sources = s.sources(spark, sf_dir)
     known = sources["policies"].select("policy_id")
-    tx = sources["agency_transactions"].join(known, "policy_id", "left_semi")
-    sources["agency_transactions"] = tx.select(*SOURCES["agency_transactions"].names)
-    # On the first day a policy or participant has the data of its first extract.
-    first = sources | {
+    transactions = sources["agency_transactions"].join(known, "policy_id", "left_semi")
+    second = sources | {"agency_transactions": transactions.select(*SOURCES["agency_transactions"].names)}
+    first = second | {
         "participants": s.participants(spark, sf_dir, second=False),
         "policies": sources["policies"].withColumn("status", F.lit("Active")),
     }
+    return [first, second]
+
+
+def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two daily runs, then row counts of the published marts beside those of their sources."""
+    root = s.work_folder(spark)
+    first, second = daily_sources(spark, sf_dir)
     run_daily(spark, root, s.FIRST_DAY, s.RUN_TS.replace(day=15), first, s.LOADED_AT.replace(day=15))
-    run = run_daily(spark, root, s.SECOND_DAY, s.RUN_TS, sources, s.LOADED_AT)
+    run = run_daily(spark, root, s.SECOND_DAY, s.RUN_TS, second, s.LOADED_AT)
     origins = {fact: FACTS[fact][0] for fact in FACTS} | {
         "dim_policies": "policies",
         "dim_participants": "participants",
@@ -274,7 +278,9 @@ def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- reports ------------------------------------------------------------------------------
 
 
-def report(build: Callable[[reports.Marts], DataFrame], names: tuple[str, ...], spark: SparkSession, sf_dir: str):
+def report(
+    build: Callable[[reports.Marts], DataFrame], names: tuple[str, ...], spark: SparkSession, sf_dir: str
+) -> DataFrame:
     return build(s.marts(spark, sf_dir, *names))
 
 

@@ -19,7 +19,6 @@ from martwright.functions.audit import timestamp
 from martwright.operators.history import scd2_replay
 from martwright.plans.dimensions import TRACKED, dim_date, dim_participants, dim_policies, dim_product
 from martwright.plans.facts import FACTS, build_fact
-from martwright.schemas import SOURCES, conform
 
 RUN_TS = datetime(2024, 1, 31, 2, 0, 0)
 LOADED_AT = datetime(2024, 1, 31, 2, 15, 30)
@@ -204,15 +203,22 @@ def agency_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_SOURCES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "participants": participants,
+    "policies": policies,
+    "contributions": contributions,
+    "claims": claims,
+    "agency_transactions": agency_transactions,
+}
+
+
+def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A source as of the latest extract."""
+    return _SOURCES[name](spark, sf_dir)
+
+
 def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The five sources as of the latest extract."""
-    return {
-        "participants": participants(spark, sf_dir),
-        "policies": policies(spark, sf_dir),
-        "contributions": contributions(spark, sf_dir),
-        "claims": claims(spark, sf_dir),
-        "agency_transactions": agency_transactions(spark, sf_dir),
-    }
+    return {name: source(spark, sf_dir, name) for name in _SOURCES}
 
 
 # --- histories and marts ------------------------------------------------------------------
@@ -236,7 +242,7 @@ def mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return dim_product(policies(spark, sf_dir), RUN_TS)
     if name == "dim_date":
         return dim_date(spark, RUN_TS)
-    staged = sources(spark, sf_dir)[FACTS[name][0]]
+    staged = source(spark, sf_dir, FACTS[name][0])
     return build_fact(name, staged, stored_mart(spark, sf_dir, "dim_policies"), RUN_TS)
 
 
@@ -275,13 +281,13 @@ def _faulty_transactions(df: DataFrame, key: str, n: int) -> DataFrame:
 
 def faulty_staging(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``stg_<source>`` with faults."""
-    source = name.removeprefix("stg_")
-    df = sources(spark, sf_dir)[source]
-    if source == "participants":
+    of = name.removeprefix("stg_")
+    df = source(spark, sf_dir, of)
+    if of == "participants":
         key = _number("participant_id")
         df = df.unionByName(df.filter(key % 100 == 0))
         return _null_where(df, key % 200 == 9, "participant_id")
-    if source == "policies":
+    if of == "policies":
         key = F.col("__n")
         df = df.withColumn("__n", _number("policy_id"))
         df = df.withColumn("participant_id", _shifted("participant_id", 1_000_000, key % 40 == 3))
@@ -289,11 +295,11 @@ def faulty_staging(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         df = _null_where(df, key % 70 == 8, "participant_id")
         df = df.unionByName(df.filter(key % 50 == 0))
         return _null_where(df, key % 60 == 7, "policy_id").drop("__n")
-    if source == "contributions":
+    if of == "contributions":
         off = F.when(_number("contribution_id") % 1000 == 7, F.lit("0.02").cast("decimal(12,2)")).otherwise(0)
         df = df.withColumn("prf_amount", (F.col("prf_amount") + off).cast("decimal(12,2)"))
         return _faulty_transactions(df, "contribution_id", 100)
-    if source == "claims":
+    if of == "claims":
         key = _number("claim_id")
         df = df.withColumn("fund_type", F.when(key % 400 == 1, "INVALID_FUND").otherwise(F.col("fund_type")))
         df = df.withColumn("status", F.when(key % 300 == 2, "Lost").otherwise(F.col("status")))
@@ -368,7 +374,3 @@ class FaultyTables(dict):
 
 def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-
-
-def conformed(df: DataFrame, source: str) -> DataFrame:
-    return conform(df, SOURCES[source])

@@ -111,10 +111,8 @@ def _build_marts(
         store.write_mart(run, "dim_policies", dim_policies(histories["policies"], run_ts))
         policies = store.mart(run, "dim_policies")
         resolve = asof_join_for(policies, "policy_id")
-        for_each(
-            FACTS,
-            lambda mart: store.write_mart(run, mart, build_fact(mart, staged[FACTS[mart][0]], policies, run_ts, resolve)),
-        )
+        facts = {f: build_fact(f, staged[source], policies, run_ts, resolve) for f, (source, _) in FACTS.items()}
+        for_each(facts, lambda fact: store.write_mart(run, fact, facts[fact]))
 
     def participants() -> None:
         dim = dim_participants(histories["participants"], staged["participants"], run_ts)

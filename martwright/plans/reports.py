@@ -20,9 +20,10 @@ def star_view(marts: Marts, fact: str) -> DataFrame:
         "policy_sk", "product_name", "has_pif", F.col("status").alias("policy_status")
     )
     product = marts["dim_product"].select("product_name", "product_sk", "product_category")
-    day = marts["dim_date"].drop("dbt_run_started_at", "etl_loaded_at").withColumnRenamed("date_day", FACTS[fact][1])
+    on = FACTS[fact][1]
+    day = marts["dim_date"].drop("dbt_run_started_at", "etl_loaded_at").withColumnRenamed("date_day", on)
     rows = marts[fact].drop("dbt_run_started_at", "etl_loaded_at")
-    return rows.join(policy, "policy_sk", "left").join(product, "product_name", "left").join(day, FACTS[fact][1], "left")
+    return rows.join(policy, "policy_sk", "left").join(product, "product_name", "left").join(day, on, "left")
 
 
 def policies_with_participant(marts: Marts) -> DataFrame:
@@ -108,5 +109,6 @@ def sample_rows(df: DataFrame, n: int, order: str) -> DataFrame:
 
 
 def _count_each(tables: Marts) -> DataFrame:
-    counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n") for name, df in tables.items()]
-    return union_all(counts)
+    return union_all(
+        [df.agg(F.count("*").alias("n")).select(F.lit(t).alias("table_name"), "n") for t, df in tables.items()]
+    )

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Noting the Python call site of every column expression slows down the building of plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _PARTITION_BYTES = 256 * 1024**2

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog import shapes
+from catalog.queries import daily_sources
 from martwright.plans.daily import rebuild, run_daily
 from martwright.plans.suite import GateError
-from martwright.schemas import MARTS, SOURCES
+from martwright.schemas import MARTS
 from martwright.session import cluster_settings, object_store_settings
 from martwright.sources.publish import export_audit, jdbc_column_types, jdbc_options, publish
 from martwright.sources.store import Store
@@ -19,12 +20,7 @@ RUNS = [datetime(2024, 2, d, 2) for d in (1, 2, 3, 4)]
 
 @pytest.fixture(scope="module")
 def clean(spark, small):
-    sources = shapes.sources(spark, small)
-    known = sources["policies"].select("policy_id")
-    sources["agency_transactions"] = (
-        sources["agency_transactions"].join(known, "policy_id", "left_semi").select(*SOURCES["agency_transactions"].names)
-    )
-    return sources
+    return daily_sources(spark, small)[1]
 
 
 def rows(df):
