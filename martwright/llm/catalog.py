@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from martwright.llm import (
+    jaccard_join,
     license_scan,
     packing,
     quality_classifier,
     quality_rules,
+    substring_dedup,
     token_counts,
     toxicity,
     url_filter,
@@ -21,6 +23,14 @@ from martwright.llm.tables import read
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removed_spans(read(spark, sf_dir, "documents"))
+
+
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(read(spark, sf_dir, "documents"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(read(spark, sf_dir, "documents"))
 
