@@ -92,7 +92,7 @@ def units(docs: DataFrame, params: DedupParams) -> DataFrame:
     return ranked.mapInArrow(run, UNITS)
 
 
-def repeats(docs: DataFrame, work: tables.Workspace, params: DedupParams = DedupParams()) -> DataFrame:
+def repeats(docs: DataFrame, params: DedupParams = DedupParams()) -> DataFrame:
     """``rank, print, begin, end, words, units, kept_rank, kept_begin`` of each stretch to remove.
 
     ``kept_*`` is where the first occurrence of the stretch's first unit stands. Only the first
@@ -103,18 +103,18 @@ def repeats(docs: DataFrame, work: tables.Workspace, params: DedupParams = Dedup
     first = F.min(F.struct("rank", "place", "begin")).alias("first")
     firsts = all_units.groupBy(*digest).agg(first, F.count("*").alias("n")).filter("n > 1").drop("n")
     later = all_units.join(firsts, digest).filter(F.struct("rank", "place") > F.struct("first.rank", "first.place"))
-    found = work.store(
-        later.select(
-            "rank",
-            F.expr("shiftright(place, 32)").alias("print"),
-            F.expr("place & 4294967295").alias("unit"),
-            *["begin", "end", "words"],
-            F.struct("first.rank", "first.begin").alias("kept"),
-        ).distinct()
+    found = later.select(
+        "rank",
+        F.expr("shiftright(place, 32)").alias("print"),
+        F.expr("place & 4294967295").alias("unit"),
+        *["begin", "end", "words"],
+        F.struct("first.rank", "first.begin").alias("kept"),
     )
+    # One shuffle by document serves all that follows. Repeated rows give a unit more than once.
+    by_unit = Window.partitionBy("rank", "print").orderBy("unit")
+    found = found.withColumn("before", F.lag("unit").over(by_unit)).filter("before is null or before <> unit")
     # Neighbouring units differ from their number among the repeats of a document by the same amount.
-    number = F.row_number().over(Window.partitionBy("rank", "print").orderBy("unit"))
-    runs = found.withColumn("run", F.col("unit") - number).groupBy("rank", "print", "run")
+    runs = found.withColumn("run", F.col("unit") - F.row_number().over(by_unit)).groupBy("rank", "print", "run")
     stretches = runs.agg(
         F.min("begin").cast("long").alias("begin"),
         F.max("end").cast("long").alias("end"),
@@ -137,7 +137,7 @@ def removed_spans(docs: DataFrame, params: DedupParams = DedupParams()) -> DataF
     and empty texts and texts without a letter or digit have no units.
     """
     known = lambda c: F.when(F.col(c) != _LAST, F.col(c))
-    return repeats(docs, tables.Workspace(docs.sparkSession), params).select(
+    return repeats(docs, params).select(
         known("rank").alias("doc_id"),
         "begin",
         "end",
@@ -153,7 +153,6 @@ def remove_repeats(docs: DataFrame, params: DedupParams = DedupParams()) -> Data
 
     What stood between a stretch and the words around it stays, such as line breaks.
     """
-    work = tables.Workspace(docs.sparkSession)
     columns, schema = docs.columns, docs.schema
     rank, print_, spans = (tables.unused(n, docs) for n in ("rank", "print", "spans"))
 
@@ -164,7 +163,7 @@ def remove_repeats(docs: DataFrame, params: DedupParams = DedupParams()) -> Data
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, print_])
 
     cuts = (
-        repeats(docs.select("doc_id", "text"), work, params)
+        repeats(docs.select("doc_id", "text"), params)
         .groupBy(F.col("rank").alias(rank), F.col("print").alias(print_))
         .agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias(spans))
     )
