@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from martwright.llm import (
+    decontamination,
     jaccard_join,
     license_scan,
     packing,
@@ -43,6 +44,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = token_counts.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), scores, public_tokenizers.PATTERN)
