@@ -41,20 +41,22 @@ class Workspace:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.folder = spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
-        self._tables = 0
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
         self._files(self.folder, "deleteOnExit")
 
     def store(self, df: DataFrame) -> DataFrame:
-        self._tables += 1
-        path = f"{self.folder}/{self._tables}"
+        path = f"{self.folder}/{uuid.uuid4().hex}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        stored = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(stored)] = stored, path
+        return stored
 
     def drop(self, *stored: DataFrame) -> None:
+        """Remove tables that ``store`` returned; others are left alone."""
         for df in stored:
-            for path in {file.rpartition("/")[0] for file in df.inputFiles()}:
-                if f"/{self.folder.rpartition('/')[2]}/" in path:
-                    self._files(path, "delete", True)
+            _, path = self._paths.pop(id(df), (None, None))
+            if path:
+                self._files(path, "delete", True)
 
     def _files(self, path: str, call: str, *args) -> None:
         context = self.spark.sparkContext
