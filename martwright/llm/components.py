@@ -27,8 +27,11 @@ def components(work: Workspace, links: DataFrame, rounds: int = 60) -> DataFrame
             break
     else:
         raise RuntimeError(f"components weren't settled after {rounds} rounds")
-    root = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return root.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
+    linked = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root"))
+    found = work.store(linked.unionByName(roots).distinct())
+    work.drop(edges)
+    return found
 
 
 def _apart(links: DataFrame) -> DataFrame:

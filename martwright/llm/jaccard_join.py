@@ -212,6 +212,7 @@ def likely_links(sets: DataFrame, work: tables.Workspace, params: JoinParams) ->
     for level in range(params.depth):
         sizes = rows.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1")
         members = work.store(rows.join(sizes, "path"))
+        work.drop(rows)
         small = members.filter(F.col("size") <= params.bucket)
         # The same few sets meet in the buckets of most runs; they are compared once.
         same = small.groupBy("path").agg(F.sort_array(F.collect_list("key")).alias("keys"))
@@ -225,10 +226,13 @@ def likely_links(sets: DataFrame, work: tables.Workspace, params: JoinParams) ->
             links.append(work.store(_likely(blocks.join(sets, "key"), ["path", "one", "two"], params)))
         else:
             rows = work.store(_split(large.join(sets, "key"), params, at_root=False))
+        work.drop(members)
     found = links[0]
     for part in links[1:]:
         found = found.unionByName(part)
-    return found
+    united = work.store(found.distinct())
+    work.drop(*links)
+    return united
 
 
 def verified(
@@ -295,27 +299,35 @@ def classes(docs: DataFrame, work: tables.Workspace, params: JoinParams = JoinPa
     class_key, class_rank``. Ranks are ids, NULL last; a class is a component of links, and
     ``class_rank, class_key`` are those of the first document in it.
     """
-    rows = work.store(sketches(docs, params))
+    sketched = work.store(sketches(docs, params))
+    rows = work.store(sketched.select("doc_id", "key"))
     sets = work.store(
-        rows.filter("key is not null")
+        sketched.filter("key is not null")
         .groupBy("key")
         .agg(F.count("*").alias("copies"), F.min(F.expr(_RANK)).alias("rank"), F.first("sketch").alias("sketch"))
     )
+    work.drop(sketched)
     likely = likely_links(sets, work, params)
-    found = verified(docs, sets, components(work, likely), work, params)
+    narrow = work.store(sets.drop("sketch"))
+    work.drop(sets)
+    groups = components(work, likely)
+    work.drop(likely)
+    found = verified(docs, narrow, groups, work, params)
+    work.drop(groups)
     linked = components(work, found.select(F.col("key").alias("a"), F.col("label").alias("b")))
-    linked = linked.select(F.col("node").alias("key"), "root")
     totals = found.groupBy("key").agg(F.sum("links").alias("links"))
-    narrow = sets.select("key", "copies", "rank").join(totals, "key", "left").join(linked, "key", "left")
-    narrow = work.store(narrow.withColumn("root", F.coalesce("root", "key")))
-    first = narrow.groupBy("root").agg(F.min(F.struct("rank", "key")).alias("first"))
-    named = narrow.join(first, "root").select(
+    joined = narrow.join(totals, "key", "left").join(linked, F.col("key") == F.col("node"), "left").drop("node")
+    joined = work.store(joined.withColumn("root", F.coalesce("root", "key")))
+    first = joined.groupBy("root").agg(F.min(F.struct("rank", "key")).alias("first"))
+    named = joined.join(first, "root").select(
         *["key", "copies", "rank"],
         F.coalesce("links", F.lit(0)).alias("links"),
         F.col("first.key").alias("class_key"),
         F.col("first.rank").alias("class_rank"),
     )
-    return rows.select("doc_id", "key"), named
+    named = work.store(named)
+    work.drop(narrow, found, linked, joined)
+    return rows, named
 
 
 def jaccard_join(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
@@ -351,8 +363,11 @@ def first_of_each(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFra
             keys = [k for _, _, data, places in words.blocks(batch) for k in _texts(data, places, params)[0]]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, key])
 
-    _, sets = classes(docs.select("doc_id", "text"), tables.Workspace(docs.sparkSession), params)
-    chosen = sets.filter("key = class_key").select(F.col("key").alias(key), F.col("rank").alias(rank))
+    work = tables.Workspace(docs.sparkSession)
+    rows, sets = classes(docs.select("doc_id", "text"), work, params)
+    first = sets.filter("key = class_key").select(F.col("key").alias(key), F.col("rank").alias(rank))
+    chosen = work.store(first)
+    work.drop(rows, sets)
     with_key = docs.mapInArrow(keyed, tables.arrow_fields(docs, f"`{key}` binary")).withColumn(rank, F.expr(_RANK))
     kept = with_key.join(chosen, [key, rank]).dropDuplicates([key, rank])
     return kept.select(*schema.names).unionByName(with_key.filter(F.col(key).isNull()).select(*schema.names))
