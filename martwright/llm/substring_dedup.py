@@ -2,7 +2,7 @@
 
 A line is cut into units at ends of sentences and after anchor words, which a hash of the word
 picks; so a passage falls into equal units wherever it stands in a line. Units are normalised to
-their letters and digits in lower case and grouped by a 128-bit digest over all documents. The
+their letters and digits in lower case and grouped by a 96-bit digest over all documents. The
 occurrence that ranks first, by document id and place, stays. Runs of neighbouring repeats with
 enough words are removed; shorter ones, such as common phrases, are left alone.
 """
@@ -34,7 +34,7 @@ _ENDS = np.isin(np.arange(256), np.frombuffer(ENDS, np.uint8))
 #: Rank of a document without an id: after all others.
 _LAST = (1 << 63) - 1
 
-UNITS = "high long, low long, rank long, place long, begin int, end int, words int"
+UNITS = "high long, low int, rank long, place long, words int, begin int, end int"
 
 
 def cut_units(data: np.ndarray, places: np.ndarray, params: DedupParams) -> tuple[words.Words, np.ndarray, np.ndarray]:
@@ -79,12 +79,12 @@ def units(docs: DataFrame, params: DedupParams) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(
                     {
                         "high": words.stretches(hashed, cuts[:-1], cuts[1:]).view(np.int64),
-                        "low": words.stretches(words.mix(hashed + np.uint64(97)), cuts[:-1], cuts[1:]).view(np.int64),
+                        "low": words.stretches(words.mix(hashed + np.uint64(97)), cuts[:-1], cuts[1:]).astype(np.int32),
                         "rank": ids[row + text],
                         "place": prints(data, places)[text] | unit,
+                        "words": np.diff(cuts).astype(np.int32),
                         "begin": (chars[found.starts[cuts[:-1]]] - chars[places[text]]).astype(np.int32),
                         "end": (chars[found.ends[cuts[1:] - 1]] - chars[places[text]]).astype(np.int32),
-                        "words": np.diff(cuts).astype(np.int32),
                     }
                 )
 
@@ -92,41 +92,31 @@ def units(docs: DataFrame, params: DedupParams) -> DataFrame:
     return ranked.mapInArrow(run, UNITS)
 
 
-def repeats(docs: DataFrame, params: DedupParams = DedupParams()) -> DataFrame:
-    """``rank, print, begin, end, words, units, kept_rank, kept_begin`` of each stretch to remove.
+def repeats(docs: DataFrame, params: DedupParams, spans: bool) -> DataFrame:
+    """``rank, print, first_unit, last_unit, words`` of each stretch to remove.
 
-    ``kept_*`` is where the first occurrence of the stretch's first unit stands. Only the first
-    place is grouped per digest, combined before the shuffle, and the join back can be split; so a
-    line that stands in a third of all documents is no bottleneck.
+    With ``spans`` also its characters ``begin, end``, and ``kept_rank, kept_begin``, where the first
+    occurrence of its first unit stands. Only the first place is grouped per digest, combined before
+    the shuffle, and the join back can be split; so a line that stands in a third of all documents
+    is no bottleneck.
     """
     all_units, digest = units(docs, params), ["high", "low"]
-    first = F.min(F.struct("rank", "place", "begin")).alias("first")
+    more = ["begin"] if spans else []
+    first = F.min(F.struct("rank", "place", *more)).alias("first")
     firsts = all_units.groupBy(*digest).agg(first, F.count("*").alias("n")).filter("n > 1").drop("n")
     later = all_units.join(firsts, digest).filter(F.struct("rank", "place") > F.struct("first.rank", "first.place"))
-    found = later.select(
-        "rank",
-        F.expr("shiftright(place, 32)").alias("print"),
-        F.expr("place & 4294967295").alias("unit"),
-        *["begin", "end", "words"],
-        F.struct("first.rank", "first.begin").alias("kept"),
-    )
+    print_, unit = F.expr("shiftright(place, 32)").alias("print"), F.expr("place & 4294967295").alias("unit")
+    kept = ["begin", "end", F.struct("first.rank", "first.begin").alias("kept")] if spans else []
+    found = later.select("rank", print_, unit, "words", *kept)
     # One shuffle by document serves all that follows. Repeated rows give a unit more than once.
     by_unit = Window.partitionBy("rank", "print").orderBy("unit")
     found = found.withColumn("before", F.lag("unit").over(by_unit)).filter("before is null or before <> unit")
     # Neighbouring units differ from their number among the repeats of a document by the same amount.
     runs = found.withColumn("run", F.col("unit") - F.row_number().over(by_unit)).groupBy("rank", "print", "run")
-    stretches = runs.agg(
-        F.min("begin").cast("long").alias("begin"),
-        F.max("end").cast("long").alias("end"),
-        F.sum("words").alias("words"),
-        F.count("*").alias("units"),
-        F.min_by("kept", "unit").alias("kept"),
-    )
-    return stretches.filter(F.col("words") >= params.least_words).select(
-        *["rank", "print", "begin", "end", "words", "units"],
-        F.col("kept.rank").alias("kept_rank"),
-        F.col("kept.begin").cast("long").alias("kept_begin"),
-    )
+    measures = [F.min("unit").alias("first_unit"), F.max("unit").alias("last_unit"), F.sum("words").alias("words")]
+    if spans:
+        measures += [F.min("begin").alias("begin"), F.max("end").alias("end"), F.min_by("kept", "unit").alias("kept")]
+    return runs.agg(*measures).filter(F.col("words") >= params.least_words).drop("run")
 
 
 def removed_spans(docs: DataFrame, params: DedupParams = DedupParams()) -> DataFrame:
@@ -137,14 +127,14 @@ def removed_spans(docs: DataFrame, params: DedupParams = DedupParams()) -> DataF
     and empty texts and texts without a letter or digit have no units.
     """
     known = lambda c: F.when(F.col(c) != _LAST, F.col(c))
-    return repeats(docs, params).select(
+    return repeats(docs, params, spans=True).select(
         known("rank").alias("doc_id"),
-        "begin",
-        "end",
+        F.col("begin").cast("long").alias("begin"),
+        F.col("end").cast("long").alias("end"),
         F.col("words").alias("n_words"),
-        F.col("units").alias("n_units"),
-        known("kept_rank").alias("kept_doc_id"),
-        "kept_begin",
+        (F.col("last_unit") - F.col("first_unit") + 1).alias("n_units"),
+        known("kept.rank").alias("kept_doc_id"),
+        F.col("kept.begin").cast("long").alias("kept_begin"),
     )
 
 
@@ -163,9 +153,9 @@ def remove_repeats(docs: DataFrame, params: DedupParams = DedupParams()) -> Data
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, print_])
 
     cuts = (
-        repeats(docs.select("doc_id", "text"), params)
+        repeats(docs.select("doc_id", "text"), params, spans=False)
         .groupBy(F.col("rank").alias(rank), F.col("print").alias(print_))
-        .agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias(spans))
+        .agg(F.sort_array(F.collect_list(F.struct("first_unit", "last_unit"))).alias(spans))
     )
     keyed = docs.mapInArrow(printed, tables.arrow_fields(docs, f"`{print_}` long"))
     keyed = keyed.withColumn(rank, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)))
@@ -177,8 +167,18 @@ def remove_repeats(docs: DataFrame, params: DedupParams = DedupParams()) -> Data
             texts, places = batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
             for i, stretches in enumerate(places):
                 if stretches:
-                    edges = [0, *(e for s in stretches for e in (s["begin"], s["end"])), len(texts[i])]
-                    texts[i] = "".join(texts[i][a:b] for a, b in zip(edges[::2], edges[1::2]))
+                    texts[i] = _without(texts[i].encode(), [s.values() for s in stretches], params)
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.column(at).type)).select(columns)
 
     return joined.mapInArrow(cut, schema)
+
+
+def _without(text: bytes, stretches: list, params: DedupParams) -> str:
+    """The text without runs of units, given by the first and the last of each, in order."""
+    data = np.frombuffer(text, np.uint8)
+    found, _, cuts = cut_units(data, np.array([0, len(data)]), params)
+    kept, at = [], 0
+    for first, last in stretches:
+        kept.append(text[at : found.starts[cuts[first]]])
+        at = found.ends[cuts[last + 1] - 1]
+    return b"".join([*kept, text[at:]]).decode()
