@@ -23,7 +23,7 @@ class ToxicityParams:
     """``sample`` bounds the labelled documents learned from; features seen in fewer than
     ``least_documents`` of them have no weight."""
 
-    sample: int = 8000
+    sample: int = 5000
     bits: int = 18
     beginnings: tuple[int, ...] = (4, 6, 8)
     least_documents: int = 4
@@ -83,26 +83,30 @@ def fit(batches: Iterator[pa.RecordBatch], params: ToxicityParams) -> dict[str,
         used = seen >= params.least_documents
         used[0] = False
         flat, size, text = np.concatenate(rows), np.concatenate(sizes), np.concatenate(of_text)
-        del rows
+        rows.clear()
         kept = used[flat]
         size = words.sums_by(kept, np.concatenate([[0], np.cumsum(size)])).astype(np.int64)
         flat, sentence = flat[kept], np.repeat(np.arange(len(size), dtype=np.int32), size)
-        bias, weights = _descend(flat, sentence, text, y, params)
+        del kept
+        bias, weights = _descend(flat, sentence, text, y, seen / len(y), params)
     return {"weights": weights.astype(np.float32).tobytes(), "bias": np.float64(bias).tobytes()}
 
 
 def _descend(
-    flat: np.ndarray, sentence: np.ndarray, text: np.ndarray, y: np.ndarray, params: ToxicityParams
+    flat: np.ndarray,
+    sentence: np.ndarray,
+    text: np.ndarray,
+    y: np.ndarray,
+    share: np.ndarray,
+    params: ToxicityParams,
 ) -> tuple[float, np.ndarray]:
-    """Proximal gradient steps on an L1 penalty.
+    """Proximal gradient steps on an L1 penalty; ``share`` is that of documents with a feature.
 
     Weights aren't negative, so harmless words around an insult can't hide it. A frequent feature
     takes shorter steps, by the root of its document frequency, and one that occurs in few toxic
     documents stays below the penalty, so single mislabelled documents aren't learned by heart.
     """
     dims, n, docs = 1 << params.bits, len(text), len(y)
-    pairs = np.unique(flat.astype(np.int64) * docs + text[sentence])
-    share = np.bincount(pairs // docs, minlength=dims) / docs
     step = params.rate / np.sqrt(np.maximum(share, 1 / docs))
     weights, bias = np.zeros(dims), -5.0
     for _ in range(params.rounds):
