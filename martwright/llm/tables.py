@@ -101,14 +101,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, k
 
 
 def fit_in_one_task(examples: DataFrame, fit: Callable[[Iterator[pa.RecordBatch]], dict[str, bytes]]) -> dict[str, bytes]:
-    """Run ``fit`` over examples whose number a parameter of the sample bounds."""
+    """Run ``fit`` over examples whose number a parameter of the sample bounds.
+
+    Without any example Spark has no task to run, and ``fit`` makes the model of nothing here.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = fit(batches)
         yield pa.RecordBatch.from_pydict({"name": list(model), "value": list(model.values())})
 
     fitted = examples.repartition(1).mapInArrow(run, "name string, value binary")
-    return {name: bytes(value) for name, value in fitted.collect()}
+    return {name: bytes(value) for name, value in fitted.collect()} or fit(iter(()))
 
 
 def unused(name: str, df: DataFrame) -> str:
