@@ -156,6 +156,8 @@ def score(docs: DataFrame, model: dict[str, bytes], params: ToxicityParams = Tox
 
 def _scored(data: np.ndarray, places: np.ndarray, weights: np.ndarray, bias: float, params: ToxicityParams) -> list:
     found = words.find_words(data, places, words.ALNUM)
+    if not len(found.starts):
+        return [{"score": 0.0, "spans": []} for _ in places[1:]]
     opens = sentences(data, found)
     by_word = weights[features(data, found, params)].sum(axis=1)
     logit = bias + words.sums_by(by_word, np.append(opens, len(by_word)))
