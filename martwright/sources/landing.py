@@ -8,7 +8,9 @@ and the groups are united by name.
 from __future__ import annotations
 
 import re
+import warnings
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,9 +26,6 @@ _DIALECT = {"header": True, "quote": '"', "escape": '"'}
 _KEEP_SPACES = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 _FILES = {"pathGlobFilter": "*.csv"}
 
-#: Bytes of a file above which it is worth a look whether several tasks may read it.
-LARGE_FILE = 128 * 1024**2
-
 
 def extract_date(path: Column | None = None) -> Column:
     """Date of the day folder a file lies in; '' where the path has none."""
@@ -89,15 +88,17 @@ def scan_latest(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Rows of the newest day that has rows.
 
     Walks back over the day folders, so older days are neither listed nor read, however many
-    there are.
+    there are. Warns if the newest folder has no rows and an older day is taken instead.
     """
     days = extract_days(spark, root, table)
-    scan = None
+    scan, newest = None, max(days, default="")
     for day in sorted(days, reverse=True):
         header = _header(spark, days[day])
         if header:
             scan = _read(spark, header, days[day])
             if not scan.isEmpty():
+                if day != newest:
+                    warnings.warn(f"{table}: no rows found in the folder of {newest}; the extract of {day} is taken")
                 return scan
     if scan is None:
         raise FileNotFoundError(f"no extract with a header under {root}/{table}")
@@ -105,9 +106,9 @@ def scan_latest(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def latest_only(df: DataFrame, extract_day: str = "extract_date") -> DataFrame:
-    """Rows of the latest ``extract_day`` found in any frame.
+    """Rows of the latest ``extract_day`` of a frame that is partitioned by it.
 
-    The date is fetched first and then compared as a literal, which prunes files and
+    Extracts as landed have ``scan_latest``, which parses no other day. The date is fetched first and then compared as a literal, which prunes files and
     partitions; a maximum over a window would bring all rows to one task.
     """
     latest = df.agg(F.max(extract_day)).first()[0]
@@ -131,26 +132,30 @@ def _header(spark: SparkSession, folders: list[str]) -> tuple[str, ...]:
 
 def _read(spark: SparkSession, header: tuple[str, ...], folders: list[str]) -> DataFrame:
     """Folders that share ``header``. Spark maps CSV columns by position, so a file whose header
-    differs must raise (``enforceSchema`` off) rather than swap its columns silently."""
-    schema = StructType([StructField(name, StringType()) for name in header])
-    whole = not _large_and_splittable(spark, folders)
-    reader = spark.read.options(**_DIALECT, **_FILES, multiLine=whole, enforceSchema=False).schema(schema)
-    return reader.csv(folders).select(
-        *[F.col(f"`{name}`") for name in header],
-        F.col("_metadata.file_path").alias("filename"),
-        extract_date().alias("extract_date"),
-    )
-
+    differs must raise (``enforceSchema`` off) rather than swap its columns silently.
 
-def _large_and_splittable(spark: SparkSession, folders: list[str]) -> bool:
-    """Whether there are large files that hold one record per line throughout.
-
-    A record that goes on in the next line leaves a line with an odd number of quotes. Looking
-    for one is a plain scan by all tasks, where a file that can't be split is parsed by one.
+    A file in which a record spans lines is read as a whole, by one task; any other is split between
+    tasks. What a file holds decides, not its size, and each file for itself.
+    """
+    schema = StructType([StructField(name, StringType()) for name in header])
+    reader = spark.read.options(**_DIALECT, **_FILES, enforceSchema=False).schema(schema)
+    path, columns = F.col("_metadata.file_path"), [F.col(f"`{name}`") for name in header]
+    named = [*columns, path.alias("filename"), extract_date().alias("extract_date")]
+    whole = _spanning_files(spark, folders)
+    if not whole:
+        return reader.csv(folders).select(*named)
+    split = reader.csv(folders).filter(~path.isin(whole)).select(*named)
+    return split.unionByName(reader.csv([unquote(file) for file in whole], multiLine=True).select(*named))
+
+
+def _spanning_files(spark: SparkSession, folders: list[str]) -> list[str]:
+    """Files that can't be read line by line, which a plain scan by all tasks finds.
+
+    A record that goes on in the next line leaves a line with an odd number of quotes; a CR within a
+    line would be taken for its end. Files that ``land`` wrote are bounded, so the names of such
+    files are few beside their rows.
     """
-    files = spark.read.format("binaryFile").options(**_FILES).load(folders)
-    if files.filter(F.col("length") > LARGE_FILE).isEmpty():
-        return False
-    lines = spark.read.options(**_FILES).text(folders)
+    lines = spark.read.options(**_FILES, lineSep="\n").text(folders).select("value", "_metadata.file_path")
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return lines.filter(quotes % 2 == 1).isEmpty()
+    spanning = lines.filter((quotes % 2 == 1) | F.col("value").rlike("\r(?!$)"))
+    return sorted(row[0] for row in spanning.select("file_path").distinct().collect())

@@ -130,28 +130,45 @@ def test_files_stay_small(spark, root):
     assert landing.scan_latest(spark, root, "t").count() == 1000
 
 
-def test_large_files_are_split_unless_a_record_spans_lines(spark, root, monkeypatch):
+def test_files_are_split_unless_a_record_in_them_spans_lines(spark, root):
     plain = "".join(f'{i},"quoted ""{i}"", text"\n' for i in range(5000))
-    put(root, "t", "2024-01-01", "id,text\n" + plain)
+    put(root, "t", "2024-01-01", "id,text\n" + plain, "plain")
+    put(root, "t", "2024-01-01", 'id,text\n5000,"two\nlines"\n5001,"a\rb"\n', "with space")
+    whole = landing.scan_latest(spark, root, "t").collect()
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        small = landing.scan_latest(spark, root, "t")
-        assert small.rdd.getNumPartitions() == 1
-        monkeypatch.setattr(landing, "LARGE_FILE", 1000)
         split = landing.scan_latest(spark, root, "t")
         assert split.rdd.getNumPartitions() > 4
-        assert sorted(map(tuple, split.collect())) == sorted(map(tuple, small.collect()))
+        assert sorted(map(str, split.collect())) == sorted(map(str, whole)) and len(whole) == 5002
         assert split.filter("text = 'quoted \"7\", text'").count() == 1
-        put(root, "t", "2024-01-02", "id,text\n" + plain + '5000,"two\nlines"\n')
-        spanning = landing.scan_latest(spark, root, "t")
-        assert spanning.rdd.getNumPartitions() == 1
-        assert spanning.count() == 5001 and spanning.filter("text = 'two\nlines'").count() == 1
+        assert split.filter("text = 'two\nlines'").count() == 1
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_one_rule_of_parsing_whatever_the_splits(spark, root):
+    odd = ['1,"a\r\nb",x\n', "2,a\rb,x\n", "3,a,x\r\n", "\n", '4,st"ray,x\n', '5,"a"junk,x\n', '6,"q""q",x\n']
+    for n, line in enumerate(odd):
+        put(root, "t", "2024-01-01", "id,a,b\n" + line, f"f{n}")
+    first = sorted(map(str, landing.scan_latest(spark, root, "t").collect()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4")
+    try:
+        assert sorted(map(str, landing.scan_latest(spark, root, "t").collect())) == first
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert any("'a\\rb'" in r for r in first) and len(first) == 6
+
+
+def test_an_older_day_is_taken_with_a_warning(spark, root):
+    put(root, "t", "2024-01-01", "id\n1\n")
+    put(root, "t", "2024-01-02", "id\n2\n", "z")
+    os.rename(f"{root}/t/2024-01-02/z.csv", f"{root}/t/2024-01-02/z.CSV")
+    with pytest.warns(UserWarning, match="2024-01-02"):
+        assert [r.id for r in landing.scan_latest(spark, root, "t").collect()] == ["1"]
+
+
 def test_conform_types_once_and_fills_missing_columns(spark, root):
     put(
         root,
