@@ -42,8 +42,12 @@ def merge_open(
     Unchanged, or absent from the extract: the version stays as it is, its untracked columns
     included. A tracked column changed: the version is closed at ``run_ts`` and a new one
     opened. A new key: a first version is opened. One full outer join; each joined pair gives
-    its one or two versions in place, so the join isn't repeated per case.
+    its one or two versions in place, so the join isn't repeated per case. A NULL key matches
+    nothing: its open versions stay and its staged rows open first ones. Such rows go around the
+    join, where they would all meet in one task.
     """
+    keyless = open_versions.filter(F.col(key).isNull()), staged.filter(F.col(key).isNull())
+    open_versions, staged = (df.filter(F.col(key).isNotNull()) for df in (open_versions, staged))
     now, attrs = timestamp(run_ts), staged.columns
     columns = [*attrs, VALID_FROM, VALID_TO, VERSION_ID, FIRST_VERSION]
     old = open_versions.select(F.struct(*columns).alias("old"))
@@ -60,7 +64,8 @@ def merge_open(
         .when(F.col("new").isNull() | ~changed, F.array(F.col("old")))
         .otherwise(F.array(closed, opened(first=False)))
     )
-    return pairs.select(F.inline(versions))
+    merged = pairs.select(F.inline(versions)).unionByName(keyless[0].select(*columns))
+    return merged.unionByName(first_load(keyless[1], key, run_ts))
 
 
 def scd2_merge(
@@ -79,8 +84,11 @@ def scd2_replay(extracts: DataFrame, key: str, check_cols: list[str], run_ts: st
 
     ``run_ts`` names the column with the time of the run an extract row belongs to; a key
     occurs once per run, which is checked on the way. Both window steps and the check share
-    one shuffle and one sort by key and time.
+    one shuffle and one sort by key and time. As in the merge, every row with a NULL key opens a
+    first version that nothing closes, and stays out of the windows.
     """
+    keyless = extracts.filter(F.col(key).isNull())
+    extracts = extracts.filter(F.col(key).isNotNull())
     by_time = Window.partitionBy(key).orderBy(run_ts)
     previous = [F.lag(c).over(by_time).alias(f"__previous_{c}") for c in (run_ts, *check_cols)]
     attrs = [c for c in extracts.columns if c != run_ts]
@@ -89,13 +97,14 @@ def scd2_replay(extracts: DataFrame, key: str, check_cols: list[str], run_ts: st
     changed = any_distinct((F.col(c), F.col(f"__previous_{c}")) for c in check_cols)
     twice = F.raise_error(F.concat(F.lit(f"duplicate {key} in extract: "), F.col(key).cast("string")))
     kept = seen.filter(F.when(before == F.col(run_ts), twice.cast("boolean")).otherwise(before.isNull() | changed))
-    return kept.select(
+    replayed = kept.select(
         *attrs,
         F.col(run_ts).alias(VALID_FROM),
         F.lead(run_ts).over(by_time).alias(VALID_TO),
         version_id(key, run_ts).alias(VERSION_ID),
         before.isNull().alias(FIRST_VERSION),
     )
+    return replayed.unionByName(keyless.select(*attrs, *_opened(F.col(key), F.col(run_ts), first=True)))
 
 
 def mark_first(history: DataFrame, key: str) -> DataFrame:

@@ -10,6 +10,7 @@ from martwright.operators.history import (
     assert_unique_key,
     first_load,
     mark_first,
+    merge_open,
     scd2_merge,
     scd2_replay,
 )
@@ -45,7 +46,7 @@ def by_hand(extracts):
 
 def collected(history):
     return sorted(
-        (r.k, r.dbt_valid_from, r.dbt_valid_to or datetime.max, r.status or "", r.amount or -1, r.note, r.is_first_version)
+        (r.k or "", r.dbt_valid_from, r.dbt_valid_to or datetime.max, r.status or "", r.amount or -1, r.note, r.is_first_version)
         for r in history.collect()
     )
 
@@ -137,3 +138,24 @@ def test_dimension_without_the_flag(spark):
     assert sorted(map(tuple, with_flag.drop("dbt_valid_to").collect())) == sorted(
         map(tuple, without.drop("is_first_version", "dbt_valid_to").collect())
     )
+
+
+def test_replay_equals_merge_with_null_keys(spark):
+    rng = random.Random(7)
+    extracts = []
+    for day in range(4):
+        rows = [(k, rng.choice("ab"), rng.randint(1, 2), "") for k in "xyz" if rng.random() < 0.8]
+        extracts.append((day, rows + [(None, rng.choice("ab"), 1, "") for _ in range(rng.randint(0, 2))]))
+    merged = first_load(staged(spark, extracts[0][1]), "k", at(0))
+    for day, rows in extracts[1:]:
+        merged = scd2_merge(merged, staged(spark, rows), "k", ["status", "amount"], at(day))
+    again = replayed(spark, extracts)
+    assert collected(merged.select(*again.columns)) == collected(again)
+    assert again.filter("k is null").count() == sum(r[0] is None for _, rows in extracts for r in rows)
+
+
+def test_null_keys_stay_out_of_the_joins(spark):
+    rows = staged(spark, [("x", "a", 1, ""), (None, "a", 1, "")])
+    plan = merge_open(first_load(rows, "k", at(0)), rows, "k", ["status"], at(1))._jdf.queryExecution().optimizedPlan()
+    sides = [line for line in plan.toString().split("\n") if "Filter" in line]
+    assert any("isnotnull" in line for line in sides)
