@@ -69,11 +69,18 @@ def run_daily(
     if audit_copy:
         for_each(MARTS, lambda mart: export_audit(store.mart(run, mart), f"{store.root}/audit", mart, run_date))
     store.commit(run_ts, loaded_at or datetime.now(timezone.utc))
-    published = store.published()
     if jdbc_url:
-        for mart, df in published.items():
-            load_jdbc(df, mart, jdbc_url)
-    return Run(run, passed, published)
+        load_published(spark, root, jdbc_url)
+    return Run(run, passed, store.published())
+
+
+def load_published(spark: SparkSession, root: str, jdbc_url: str) -> None:
+    """Load the marts of the last run that passed into the serving database.
+
+    Each table is emptied and filled, so after a failure the load is simply called again.
+    """
+    for mart, df in Store(spark, root).published().items():
+        load_jdbc(df, mart, jdbc_url)
 
 
 def rebuild(
@@ -82,10 +89,13 @@ def rebuild(
     """Marts from raw history alone, written below ``root`` as an uncommitted run.
 
     ``extracts`` has, per source with history, the rows of all processed extracts with a column
-    ``run_ts``: a run sees the latest day only, so days it skipped mustn't be passed.
+    ``run_ts``: a run sees the latest day only, so days it skipped mustn't be passed. The run has an
+    id of its own kind, so it can't overwrite what a daily run published below the same root.
     """
     store = Store(spark, root)
-    run = store.run_id(run_ts)
+    run = f"rebuild_{store.run_id(run_ts)}"
+    if run in {c.run for c in store.commits()}:
+        raise ValueError(f"{run} is a published run")
     for table, rows in extracts.items():
         store.write_versions(run, table, scd2_replay(rows, NATURAL_KEYS[table], TRACKED[table], "run_ts"))
     _build_marts(store, run, staged, {t: store.history([run], t) for t in extracts}, run_ts)
