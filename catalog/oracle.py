@@ -317,7 +317,7 @@ def _current(dim: str, key: str) -> str:
 
 def _current_strict(dim: str, key: str) -> str:
     return f"""SELECT {key}, cast(sum(CASE WHEN is_current THEN 1 ELSE 0 END) AS bigint) AS current_version_count
-               FROM {dim} WHERE {key} IS NOT NULL GROUP BY {key}
+               FROM {dim} GROUP BY {key}
                HAVING sum(CASE WHEN is_current THEN 1 ELSE 0 END) <> 1"""
 
 
@@ -408,6 +408,7 @@ _SUMMARY = " UNION ALL ".join(
 _COUNTS = {
     "dim_policies": ("dim_policies", "policies"),
     "dim_participants": ("dim_participants", "participants"),
+    "dim_product": ("dim_product", "policies"),
     "fct_contributions": ("fct_contributions", "contributions"),
     "fct_claims": ("fct_claims", "claims"),
     "fct_agency_commissions": ("fct_agency_commissions", "agency_transactions"),
@@ -506,7 +507,7 @@ QUERIES = {
     "rpt_status": "SELECT status, count(policy_id) AS policies FROM dim_policies GROUP BY status",
     "rpt_fund_by_category": f"""
     SELECT p.product_category, {_FUND_SUMS}
-    FROM fct_contributions f JOIN dim_policies p ON f.policy_sk = p.policy_sk GROUP BY p.product_category""",
+    FROM fct_contributions f LEFT JOIN dim_policies p ON f.policy_sk = p.policy_sk GROUP BY p.product_category""",
     "rpt_claims": """
     SELECT status, fund_type, count(*) AS claims, cast(sum(count(*)) OVER (PARTITION BY status) AS bigint) AS claims_of_status,
            round(count(*) / sum(count(*)) OVER (PARTITION BY status), 6) AS share

@@ -80,8 +80,7 @@ def extract_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scan = landing.scan_extracts(spark, landed_root(spark, sf_dir), "policies")
-    return landing.latest_only(scan).drop("filename")
+    return landing.scan_latest(spark, landed_root(spark, sf_dir), "policies").drop("filename")
 
 
 def raw_tolerant_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,9 +191,9 @@ def asof_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def asof_lineitem_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each single item with the status of its customer, by key and day."""
+    """Each single item with the status of its customer."""
     versions = customer_versions(spark, sf_dir)
-    resolved = asof_join_by_day(shipped_items(spark, sf_dir), versions, "custkey", "l_shipdate", ["version_status"])
+    resolved = asof_join(shipped_items(spark, sf_dir), versions, "custkey", "l_shipdate", ["version_status"])
     return resolved.select("l_orderkey", "custkey", "l_shipdate", "l_returnflag", "version_status")
 
 
@@ -297,10 +296,10 @@ def calendar_use(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ("dim_policies", "dim_participants", *FACTS)
+    names = ("dim_policies", "dim_participants", "dim_product", *FACTS)
     origins = s.sources(spark, sf_dir)
     of = {f: origins[FACTS[f][0]] for f in FACTS}
-    of |= {"dim_policies": origins["policies"], "dim_participants": origins["participants"]}
+    of |= {"dim_product": origins["policies"], "dim_policies": origins["policies"], "dim_participants": origins["participants"]}
     return reports.row_counts(s.marts(spark, sf_dir, *names), of)
 
 
@@ -327,7 +326,7 @@ def leakage_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.trace_contribution(spark, s.marts(spark, sf_dir, "fct_contributions"), "42")
+    return reports.trace_contribution(s.marts(spark, sf_dir, "fct_contributions"), "42")
 
 
 def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,7 +359,7 @@ def suite_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def strict_current(name: str, key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q.one_current_strict(s.FaultyTables(spark, sf_dir)[name].filter(F.col(key).isNotNull()), key)
+    return q.one_current_strict(s.FaultyTables(spark, sf_dir)[name], key)
 
 
 def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:

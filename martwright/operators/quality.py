@@ -1,7 +1,8 @@
 """Checks. Each returns the violations of a rule as rows; none means the rule holds.
 
 Counts are combined before they are shuffled, so that a value with a large share of the rows
-costs one row per task. NULL is left to ``not_null``: the other checks skip it.
+costs one row per task. NULL is left to ``not_null``: the other checks skip it, but for those that
+group by a key, ``unique_combination`` and the two on current versions, where NULL is a key.
 """
 
 from __future__ import annotations

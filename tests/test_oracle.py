@@ -6,9 +6,11 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from catalog.oracle import oracle
+from catalog.queries import registry
 from conftest import SMALL
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = registry(), oracle()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +20,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
