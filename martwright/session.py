@@ -18,7 +18,6 @@ SETTINGS = {
 }
 
 _PARTITION_BYTES = 256 * 1024**2
-_MOST_PARTITIONS = 50_000
 
 
 def cluster_settings(shuffled_bytes: int) -> dict[str, str]:
@@ -27,7 +26,7 @@ def cluster_settings(shuffled_bytes: int) -> dict[str, str]:
     AQE merges small partitions and splits skewed ones in joins, but doesn't split evenly large
     ones: a shuffle must start with enough of them to fit in an executor's memory.
     """
-    partitions = min(max(shuffled_bytes // _PARTITION_BYTES, 200), _MOST_PARTITIONS)
+    partitions = max(shuffled_bytes // _PARTITION_BYTES, 200)
     return SETTINGS | {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.shuffle.partitions": str(partitions),

@@ -157,5 +157,5 @@ def test_settings_follow_the_size_of_the_shuffle():
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert cluster_settings(10)[name] == "200"
     assert cluster_settings(2 * 1024**4)[name] == "8192"
-    assert cluster_settings(100 * 1024**4)[name] == "50000"
+    assert cluster_settings(100 * 1024**4)[name] == str(100 * 4096)
     assert object_store_settings("http://store", "k", "s")["spark.hadoop.fs.s3a.path.style.access"] == "true"
