@@ -7,6 +7,7 @@ stretch of bytes has its hash by one subtraction and one product modulo 2^64.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +15,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-BLOCK_BYTES = 2 * 1024**2
+BLOCK_BYTES = 1024**2
+#: Bytes hashed at a time.
+SPAN = 1 << 18
 
 #: White space of ASCII, which separates plain words.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -48,6 +51,7 @@ def buffers(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def blocks(batch: pa.RecordBatch, name: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, places)`` of runs of rows with some ``BLOCK_BYTES`` of text."""
+    _free()
     data, places = buffers(column(batch, name))
     row, rows = 0, len(places) - 1
     while row < rows:
@@ -57,6 +61,16 @@ def blocks(batch: pa.RecordBatch, name: str = "text") -> Iterator[tuple[int, int
         row = end
 
 
+def _free() -> None:
+    """Free what earlier tasks of this worker left in cycles: functions that were shipped refer to
+    themselves, and with them to arrays. Objects of the libraries are set aside once, so that
+    looking through the rest takes little."""
+    gc.collect()
+    if not gc.get_freeze_count():
+        gc.freeze()
+    pa.default_memory_pool().release_unused()
+
+
 @dataclass
 class Words:
     """Words of some texts: where they begin and end, and ``first[i]``, the first word of text i."""
@@ -97,7 +111,7 @@ _powers: dict[str, np.ndarray] = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base and of its inverse."""
     if len(_powers.get("up", ())) < n:
-        n = max(n, 1 << 20)
+        n = max(n, SPAN)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             ladder = np.full(n, base, np.uint64)
             ladder[0] = 1
@@ -114,8 +128,8 @@ def hash_words(
     out = [np.zeros(len(starts), np.uint64) for _ in range(1 + len(prefixes))]
     i = 0
     while i < len(starts):
-        j = int(np.searchsorted(ends, starts[i] + (1 << 20), "right"))
-        if j == i:  # one word of more than a megabyte
+        j = int(np.searchsorted(ends, starts[i] + SPAN, "right"))
+        if j == i:  # one very long word
             whole = data[starts[i] : ends[i]].tobytes()
             out[0][i] = xxhash.xxh64_intdigest(whole.lower() if lower else whole)
             for k, n in enumerate(prefixes):
