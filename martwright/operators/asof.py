@@ -51,7 +51,17 @@ def asof_join_by_day(fact: DataFrame, dim: DataFrame, key: str, date_col: str, t
     return fact.join(resolved, [key, date_col], "left").select(*fact.columns, *take)
 
 
-def asof_join_for(dim: DataFrame, key: str) -> AsofJoin:
-    """The join that suits ``dim``, by the longest history in it: one aggregate over its keys."""
-    longest = dim.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    return asof_join_by_day if longest > LONG_HISTORY else asof_join
+def asof_join_split(
+    fact: DataFrame, dim: DataFrame, key: str, date_col: str, take: list[str], long_history: int = LONG_HISTORY
+) -> DataFrame:
+    """Same result as ``asof_join``, each key by the form that suits it.
+
+    Keys with more than ``long_history`` versions are found by an aggregate over ``dim`` and joined,
+    never listed, and go through ``asof_join_by_day``; one such key leaves the plan of all others as
+    it is, and where there is none, AQE drops that branch. Both read ``fact``, which should be stored.
+    """
+    versions = dim.groupBy(key).agg(F.count("*").alias("__versions"))
+    long = versions.filter(F.col("__versions") > long_history).select(key)
+    usual = asof_join(fact.join(long, key, "left_anti"), dim, key, date_col, take)
+    many = asof_join_by_day(fact.join(long, key, "left_semi"), dim, key, date_col, take)
+    return usual.unionByName(many).select(*fact.columns, *take)

@@ -7,16 +7,18 @@ from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from martwright.functions.audit import utc_naive
 from martwright.functions.frames import for_each
-from martwright.operators.asof import asof_join_for
+from martwright.operators.asof import asof_join_split
 from martwright.operators.history import assert_unique_key, first_load, merge_open, scd2_replay
 from martwright.plans.dimensions import NATURAL_KEYS, TRACKED, dim_date, dim_participants, dim_policies, dim_product
 from martwright.plans.facts import FACTS, build_fact
 from martwright.plans.suite import GateError, checks, count_violations, gate
-from martwright.schemas import MARTS, SOURCES, conform
-from martwright.sources.landing import extract_days, land, scan_latest
+from martwright.schemas import MARTS, SOURCES, TIMESTAMP, conform
+from martwright.sources.landing import extract_days, land, latest_day, scan_extracts
 from martwright.sources.publish import export_audit, load_jdbc
 from martwright.sources.store import Store
 
@@ -44,31 +46,32 @@ def run_daily(
     The marts of every run are kept anyway; ``audit_copy`` puts a second copy into dated folders.
     """
     store = Store(spark, root)
-    earlier = store.commits()
-    if earlier and earlier[-1].run_ts >= utc_naive(run_ts):
-        raise ValueError(f"a run at {earlier[-1].run_ts} was already published; {run_ts} isn't later")
+    before = store.last_commit()
+    if before and before.run_ts >= utc_naive(run_ts):
+        raise ValueError(f"a run at {before.run_ts} was already published; {run_ts} isn't later")
     run, raw = store.run_id(run_ts), f"{store.root}/raw"
-    last = earlier[-1].run if earlier else None
+    last = before.run if before else None
 
-    def take_in(table: str) -> None:
+    def take_in(table: str) -> str:
         if sources:
             land(sources[table], raw, table, run_date)
         newest = max(extract_days(spark, raw, table))
         if newest > str(run_date):
             warnings.warn(f"{table}: extract of {newest} stays the latest until that day has passed")
-        store.write_staging(run, table, conform(scan_latest(spark, raw, table), SOURCES[table]))
+        day, rows = latest_day(spark, raw, table)
+        store.write_staging(run, table, conform(rows, SOURCES[table]))
         if table in NATURAL_KEYS:
             _keep_history(store, run, last, table, run_ts)
+        return day
 
-    for_each(SOURCES, take_in)
+    extracts = dict(zip(SOURCES, for_each(SOURCES, take_in)))
     staged = {table: store.staging(run, table) for table in SOURCES}
-    runs = [c.run for c in earlier] + [run]
-    _build_marts(store, run, staged, {t: store.history(runs, t) for t in NATURAL_KEYS}, run_ts)
+    _build_marts(store, run, staged, {t: store.history(run, t) for t in NATURAL_KEYS}, run_ts)
 
     passed = _check(store, run, staged)
     if audit_copy:
         for_each(MARTS, lambda mart: export_audit(store.mart(run, mart), f"{store.root}/audit", mart, run_date))
-    store.commit(run_ts, loaded_at or datetime.now(timezone.utc))
+    store.commit(run_ts, loaded_at or datetime.now(timezone.utc), extracts)
     if jdbc_url:
         load_published(spark, root, jdbc_url)
     return Run(run, passed, store.published())
@@ -83,25 +86,60 @@ def load_published(spark: SparkSession, root: str, jdbc_url: str) -> None:
         load_jdbc(df, mart, jdbc_url)
 
 
-def rebuild(
-    spark: SparkSession, root: str, extracts: dict[str, DataFrame], staged: dict[str, DataFrame], run_ts: datetime
-) -> dict[str, DataFrame]:
-    """Marts from raw history alone, written below ``root`` as an uncommitted run.
+def rebuild(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Marts from the raw zone and the commit log alone, written below ``root`` as an uncommitted run.
 
-    ``extracts`` has, per source with history, the rows of all processed extracts with a column
-    ``run_ts``: a run sees the latest day only, so days it skipped mustn't be passed. The run has an
-    id of its own kind, so it can't overwrite what a daily run published below the same root.
+    The log says which day's extract each run took, so days that no run saw stay out. Raises if such a
+    day was landed again with other rows, since its run can't be repeated. The run has an id of its
+    own kind, so it can't overwrite what a daily run published.
     """
     store = Store(spark, root)
-    run = f"rebuild_{store.run_id(run_ts)}"
-    if run in {c.run for c in store.commits()}:
-        raise ValueError(f"{run} is a published run")
-    for table, rows in extracts.items():
-        store.write_versions(run, table, scd2_replay(rows, NATURAL_KEYS[table], TRACKED[table], "run_ts"))
-    _build_marts(store, run, staged, {t: store.history([run], t) for t in extracts}, run_ts)
+    last = store.last_commit()
+    if not last:
+        raise ValueError(f"no run was published under {root}")
+    run = f"rebuild_{last.run}"
+
+    def take_again(table: str) -> None:
+        taken = _taken(store, table)
+        changed = _landed_again(store, table, taken)
+        if changed:
+            raise ValueError(f"{table}: the extracts of these runs were landed again with other rows: {changed}")
+        staged = taken.filter(F.col("run") == last.run).drop("run", "run_ts")
+        store.write_staging(run, table, staged)
+        if table in NATURAL_KEYS:
+            replayed = scd2_replay(taken.drop("run"), NATURAL_KEYS[table], TRACKED[table], "run_ts")
+            store.write_versions(run, table, replayed)
+
+    for_each(SOURCES, take_again)
+    staged = {table: store.staging(run, table) for table in SOURCES}
+    histories = {t: store.history(run, t, earlier=False) for t in NATURAL_KEYS}
+    _build_marts(store, run, staged, histories, last.run_ts)
     return {mart: store.mart(run, mart) for mart in MARTS}
 
 
+def _taken(store: Store, table: str) -> DataFrame:
+    """Rows of the raw zone as the runs that count took them, with ``run`` and ``run_ts``: one scan per
+    header, joined with the log. History needs all runs, other sources the last one."""
+    log = store.log().select("run", "run_ts", F.col("extracts")[table].alias("extract_date"))
+    if table not in NATURAL_KEYS:
+        log = log.orderBy(F.desc("run_ts")).limit(1)
+    days = [row[0] for row in log.select("extract_date").distinct().collect()]  # names of day folders
+    rows = scan_extracts(store.spark, f"{store.root}/raw", table, days).join(log, "extract_date")
+    stamps = [StructField("run", StringType()), StructField("run_ts", TIMESTAMP)]
+    return conform(rows, StructType([*SOURCES[table].fields, *stamps]))
+
+
+def _landed_again(store: Store, table: str, taken: DataFrame) -> list[str]:
+    """Runs of ``taken`` whose staging, where it is still kept, has other rows."""
+
+    def digest(rows: DataFrame, name: str) -> DataFrame:
+        total = F.sum(F.xxhash64(*SOURCES[table].names).cast("decimal(38,0)"))
+        return rows.groupBy("run").agg(F.struct(F.count("*"), total).alias(name))
+
+    both = digest(store.committed_staging(table), "then").join(digest(taken, "now"), "run")
+    return sorted(row.run for row in both.filter(F.col("then") != F.col("now")).select("run").collect())
+
+
 def _keep_history(store: Store, run: str, last: str | None, table: str, run_ts: datetime) -> None:
     key, staged = NATURAL_KEYS[table], store.staging(run, table)
     assert_unique_key(staged, key)
@@ -120,8 +158,9 @@ def _build_marts(
     def policies_and_facts() -> None:
         store.write_mart(run, "dim_policies", dim_policies(histories["policies"], run_ts))
         policies = store.mart(run, "dim_policies")
-        resolve = asof_join_for(policies, "policy_id")
-        facts = {f: build_fact(f, staged[source], policies, run_ts, resolve) for f, (source, _) in FACTS.items()}
+        facts = {
+            f: build_fact(f, staged[source], policies, run_ts, asof_join_split) for f, (source, _) in FACTS.items()
+        }
         for_each(facts, lambda fact: store.write_mart(run, fact, facts[fact]))
 
     def participants() -> None:

@@ -21,7 +21,7 @@ FACTS = {
 def build_fact(
     mart: str, staged: DataFrame, policies: DataFrame, run_ts: datetime, resolve: AsofJoin = asof_join
 ) -> DataFrame:
-    """``resolve`` is the as-of join to use; ``asof_join_for`` picks one by the dimension."""
+    """``resolve`` is the as-of join to use; ``asof_join_split`` picks one for each key."""
     date_col = FACTS[mart][1]
     resolved = resolve(staged, policies, "policy_id", date_col, ["policy_sk"])
     return as_mart(resolved.select("*", run_stamp(run_ts)), mart)

@@ -87,29 +87,38 @@ def scan_extracts(spark: SparkSession, root: str, table: str, dates: list[str] |
 def scan_latest(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Rows of the newest day that has rows.
 
+    Warns if the newest folder has no rows and an older day is taken instead.
+    """
+    return latest_day(spark, root, table)[1]
+
+
+def latest_day(spark: SparkSession, root: str, table: str) -> tuple[str, DataFrame]:
+    """The day that ``scan_latest`` takes, and its rows.
+
     Walks back over the day folders, so older days are neither listed nor read, however many
-    there are. Warns if the newest folder has no rows and an older day is taken instead.
+    there are.
     """
     days = extract_days(spark, root, table)
-    scan, newest = None, max(days, default="")
+    scan, taken, newest = None, "", max(days, default="")
     for day in sorted(days, reverse=True):
         header = _header(spark, days[day])
         if header:
-            scan = _read(spark, header, days[day])
+            scan, taken = _read(spark, header, days[day]), day
             if not scan.isEmpty():
                 if day != newest:
                     warnings.warn(f"{table}: no rows found in the folder of {newest}; the extract of {day} is taken")
-                return scan
+                return day, scan
     if scan is None:
         raise FileNotFoundError(f"no extract with a header under {root}/{table}")
-    return scan
+    return taken, scan
 
 
 def latest_only(df: DataFrame, extract_day: str = "extract_date") -> DataFrame:
     """Rows of the latest ``extract_day`` of a frame that is partitioned by it.
 
-    Extracts as landed have ``scan_latest``, which parses no other day. The date is fetched first and then compared as a literal, which prunes files and
-    partitions; a maximum over a window would bring all rows to one task.
+    Extracts as landed have ``scan_latest``, which parses no other day. The date is fetched first and
+    then compared as a literal, which prunes files and partitions; a maximum over a window would
+    bring all rows to one task.
     """
     latest = df.agg(F.max(extract_day)).first()[0]
     return df.filter(F.col(extract_day) == F.lit(latest))

@@ -7,7 +7,7 @@ failed, or lost executors half-way, leaves nothing anyone reads.
     staging/run=<id>/<table>           conformed extracts
     history/<table>/run=<id>/kept_as=*   versions left open, and versions closed in the run
     marts/run=<id>/<mart>
-    commits/                           run id, run time, load time
+    commits/                           run id, run time, load time, the extract day taken of each source
 
 A closed version never changes. A run rewrites the open versions only; the closed ones, which
 grow for ever, are read but not copied.
@@ -21,13 +21,18 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from martwright.functions.audit import utc_naive, with_loaded_at
 from martwright.schemas import MARTS, SOURCES, TIMESTAMP, VALID_TO, history_schema
 
 _COMMITS = StructType(
-    [StructField("run", StringType()), StructField("run_ts", TIMESTAMP), StructField("loaded_at", TIMESTAMP)]
+    [
+        StructField("run", StringType()),
+        StructField("run_ts", TIMESTAMP),
+        StructField("loaded_at", TIMESTAMP),
+        StructField("extracts", MapType(StringType(), StringType())),
+    ]
 )
 
 
@@ -36,6 +41,7 @@ class Commit:
     run: str
     run_ts: datetime
     loaded_at: datetime
+    extracts: dict[str, str] | None
 
 
 class Store:
@@ -46,13 +52,15 @@ class Store:
     def run_id(run_ts: datetime) -> str:
         return utc_naive(run_ts).strftime("r%Y%m%d%H%M%S%f")
 
-    def commits(self) -> list[Commit]:
-        """Runs that count, oldest first; one row per run."""
-        log = self._read(_COMMITS, f"{self.root}/commits")
-        return [Commit(*row) for row in log.orderBy("run_ts").collect()]
+    def log(self) -> DataFrame:
+        """Runs that count, one row each. It grows for ever, so it is joined, not collected."""
+        return self._read(_COMMITS, f"{self.root}/commits")
 
-    def commit(self, run_ts: datetime, loaded_at: datetime) -> None:
-        row = [(self.run_id(run_ts), utc_naive(run_ts), utc_naive(loaded_at))]
+    def last_commit(self) -> Commit | None:
+        return next((Commit(*row) for row in self.log().orderBy(F.desc("run_ts")).limit(1).collect()), None)
+
+    def commit(self, run_ts: datetime, loaded_at: datetime, extracts: dict[str, str]) -> None:
+        row = [(self.run_id(run_ts), utc_naive(run_ts), utc_naive(loaded_at), extracts)]
         self.spark.createDataFrame(row, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
     def write_staging(self, run: str, table: str, df: DataFrame) -> None:
@@ -61,6 +69,12 @@ class Store:
     def staging(self, run: str, table: str) -> DataFrame:
         return self._read(SOURCES[table], f"{self.root}/staging/run={run}/{table}")
 
+    def committed_staging(self, table: str) -> DataFrame:
+        """Staging of all runs that count, with ``run``."""
+        staged = self._read(SOURCES[table], f"{self.root}/staging/run=r*/{table}")
+        run = F.regexp_extract(F.input_file_name(), "/run=([^/]+)/", 1)
+        return staged.select("*", run.alias("run")).join(self.log().select("run"), "run", "left_semi")
+
     def write_versions(self, run: str, table: str, versions: DataFrame) -> None:
         """Keep what a run made of the open versions: those still open and those it closed."""
         kept_as = F.when(F.col(VALID_TO).isNull(), "open").otherwise("closed")
@@ -70,13 +84,17 @@ class Store:
     def open_versions(self, run: str, table: str) -> DataFrame:
         return self._read(history_schema(table), f"{self.root}/history/{table}/run={run}/kept_as=open")
 
-    def history(self, runs: list[str], table: str) -> DataFrame:
-        """All versions as of the last of ``runs``: the open ones it left and all that were closed."""
+    def history(self, run: str, table: str, earlier: bool = True) -> DataFrame:
+        """All versions as of ``run``: the open ones it left, and those it and, if ``earlier``, the
+        runs that count had closed."""
         closed = StructType(history_schema(table).fields + [StructField("run", StringType())])
         base = f"{self.root}/history/{table}"
         versions = self._read(closed, f"{base}/run=*/kept_as=closed", basePath=base)
-        counted = versions.filter(F.col("run").isin(runs)).drop("run", "kept_as")
-        return counted.unionByName(self.open_versions(runs[-1], table))
+        counted = versions.filter(F.col("run") == run)
+        if earlier:
+            before = versions.filter(F.col("run") != run).join(self.log().select("run"), "run", "left_semi")
+            counted = counted.unionByName(before)
+        return counted.select(*history_schema(table).names).unionByName(self.open_versions(run, table))
 
     def write_mart(self, run: str, mart: str, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/marts/run={run}/{mart}")
@@ -88,12 +106,12 @@ class Store:
 
     def published(self) -> dict[str, DataFrame]:
         """The marts of the last run that passed, stamped with its load time."""
-        last = self.commits()[-1]
+        last = self.last_commit()
         return {mart: with_loaded_at(self.mart(last.run, mart), last.loaded_at) for mart in MARTS}
 
     def create_views(self) -> None:
         """Views ``stg_<source>`` and one per mart, of the last run that passed, for ad hoc SQL."""
-        last = self.commits()[-1]
+        last = self.last_commit()
         staged = {f"stg_{table}": self.staging(last.run, table) for table in SOURCES}
         for name, df in (staged | self.published()).items():
             df.createOrReplaceTempView(name)

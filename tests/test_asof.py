@@ -4,8 +4,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from martwright.operators import asof
-from martwright.operators.asof import asof_join, asof_join_by_day, asof_join_for
+from martwright.operators.asof import asof_join, asof_join_by_day, asof_join_split
 
 DIM = "k string, sk string, valid_from timestamp_ntz, valid_to timestamp_ntz"
 
@@ -103,8 +102,11 @@ def test_aqe_splits_a_hot_key_of_the_fact_side(spark):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def test_the_longest_history_decides(spark, two, monkeypatch):
-    assert asof_join_for(two, "k") is asof_join
-    assert asof_join_for(two.limit(0), "k") is asof_join
-    monkeypatch.setattr(asof, "LONG_HISTORY", 1)
-    assert asof_join_for(two, "k") is asof_join_by_day
+@pytest.mark.parametrize("long_history", [0, 1, 2, 500])
+def test_keys_with_long_histories_are_joined_apart(spark, two, long_history):
+    dim = two.unionByName(versions(spark, [("z", "only", datetime(1900, 1, 1), datetime(9999, 12, 31))]))
+    rows = facts(spark, [(1, "x", date(2024, 1, 5)), (2, "x", date(2024, 1, 6)), (3, "z", date(2024, 1, 6)), (4, "y", date(2024, 1, 6)), (5, None, date(2024, 1, 6)), (6, "x", None)])
+    joined = asof_join_split(rows, dim, "k", "day", ["sk"], long_history)
+    assert joined.columns == ["id", "k", "day", "sk"]
+    assert {r.id: r.sk for r in joined.collect()} == {1: "old", 2: "new", 3: "only", 4: None, 5: None, 6: None}
+    assert asof_join_split(rows, dim.limit(0), "k", "day", ["sk"]).filter("sk is null").count() == 6

@@ -11,6 +11,7 @@ from martwright.plans.daily import rebuild, run_daily
 from martwright.plans.suite import GateError
 from martwright.schemas import MARTS
 from martwright.session import cluster_settings, object_store_settings
+from martwright.sources.landing import land
 from martwright.sources.publish import export_audit, jdbc_column_types, jdbc_options, publish
 from martwright.sources.store import Store
 
@@ -111,28 +112,30 @@ def test_a_future_day_stays_the_latest(spark, clean, tmp_path):
 
 
 def test_extracts_that_were_dropped_in_place_are_taken(spark, clean, tmp_path):
-    from martwright.sources.landing import land
-
     for name, df in clean.items():
         land(df, f"{tmp_path}/raw", name, DAYS[0])
     assert run_daily(spark, str(tmp_path), DAYS[0], RUNS[0]).checks_passed == 50
 
 
-def test_rebuild_from_raw_history_gives_the_same_marts(spark, small, clean, tmp_path):
+def test_rebuild_from_raw_zone_and_log_gives_the_same_marts(spark, small, clean, tmp_path):
+    root = str(tmp_path)
+    with pytest.raises(ValueError, match="no run was published"):
+        rebuild(spark, root)
     later = clean["policies"].withColumn("status", F.when(F.col("has_pif"), "Matured").otherwise(F.col("status")))
-    moved = {"policies": later, "participants": clean["participants"]}
-    before = {"policies": clean["policies"], "participants": shapes.participants(spark, small, second=False)}
-    run_daily(spark, f"{tmp_path}/daily", DAYS[0], RUNS[0], clean | before)
-    run = run_daily(spark, f"{tmp_path}/daily", DAYS[1], RUNS[1], clean | moved)
-    extracts = {
-        name: before[name].withColumn("run_ts", F.lit(RUNS[0]).cast("timestamp_ntz")).unionByName(
-            moved[name].withColumn("run_ts", F.lit(RUNS[1]).cast("timestamp_ntz"))
-        )
-        for name in before
-    }
-    rebuilt = rebuild(spark, f"{tmp_path}/again", extracts, clean | moved, RUNS[1])
+    before = clean | {"participants": shapes.participants(spark, small, second=False)}
+    first = run_daily(spark, root, DAYS[0], RUNS[0], before)
+    with pytest.raises(GateError):  # a run that doesn't count; its day is landed again below
+        run_daily(spark, root, DAYS[1], RUNS[1], clean | {"claims": clean["claims"].withColumn("fund_type", F.lit("X"))})
+    run = run_daily(spark, root, DAYS[1], RUNS[2], clean | {"policies": later})
+    published = {name: rows(df) for name, df in run.marts.items()}
+    rebuilt = rebuild(spark, root)
     for name in MARTS:
         assert rows(without_stamps(rebuilt[name])) == rows(without_stamps(run.marts[name]))
+    assert rebuilt["dim_policies"].count() > first.marts["dim_policies"].count()
+    land(later.withColumn("status", F.lit("Lapsed")), f"{root}/raw", "policies", DAYS[1])
+    with pytest.raises(ValueError, match="policies: the extracts of these runs"):
+        rebuild(spark, root)
+    assert {name: rows(df) for name, df in Store(spark, root).published().items()} == published
 
 
 def test_publishing_twice_and_exporting_twice(spark, tmp_path):
