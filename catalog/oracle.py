@@ -23,6 +23,14 @@ POLICY_COLUMNS = """
     'Branch ' || cast(user_id % 16 AS varchar) AS branch
 """
 
+_POLICY_ATTRIBUTES = """policy_id, participant_id, product_name, product_category, has_pif, start_date, end_date,
+           term_years, payment_mode, status, agent_id, contribution_amount"""
+_PARTICIPANT_ATTRIBUTES = "h.participant_id, c.full_name, c.ic_number, h.state, c.date_of_birth, c.gender, c.join_date"
+_CONTRIBUTIONS = """f.contribution_id, f.policy_id, d.policy_sk, f.contribution_date, f.gross_amount, f.prf_amount,
+           f.pif_amount, f.wakalah_fee_shareholders_fund, f.payment_method"""
+_COMMISSIONS = """f.transaction_id, f.agent_id, f.policy_id, d.policy_sk, f.transaction_type, f.transaction_date,
+           f.commission_rate, f.commission_amount_shareholders_fund"""
+
 MARKER = "'_dbt_utils_surrogate_key_null_'"
 
 
@@ -51,13 +59,23 @@ def _dimension(history: str, key: str, sk: str, attributes: str, source: str = "
     FROM {history} h {source}"""
 
 
-def _asof(source: str, columns: str, day: str) -> str:
+def _asof(source: str, columns: str, day: str, dim: str = "dim_policies") -> str:
     return f"""
     SELECT {columns}, {STAMP}
-    FROM {source} f LEFT JOIN dim_policies d
+    FROM {source} f LEFT JOIN {dim} d
       ON f.policy_id = d.policy_id AND f.{day} >= d.valid_from AND f.{day} < d.valid_to"""
 
 
+def _versions(extracts: str, key: str, *tracked: str) -> str:
+    """An extract opens a version where it differs from the last one that has the key."""
+    changed = " OR ".join(f"{c} IS DISTINCT FROM lag({c}) OVER w" for c in tracked)
+    return f"""
+    SELECT * EXCLUDE (run_ts), run_ts AS dbt_valid_from,
+           lead(run_ts) OVER (PARTITION BY {key} ORDER BY run_ts) AS dbt_valid_to
+    FROM (SELECT * FROM {extracts} WINDOW w AS (PARTITION BY {key} ORDER BY run_ts)
+          QUALIFY lag(run_ts) OVER w IS NULL OR {changed})"""
+
+
 def _faulty_transactions(source: str, key: str, n: int, others: str) -> str:
     """Shift, then null policies, then repeat rows, then null ids."""
     number = f"cast({key} AS bigint)"
@@ -147,15 +165,15 @@ CTES = {
     FROM contributions_split""",
     "claims": """
     SELECT cast(event_id AS varchar) AS claim_id, cast(user_id AS varchar) AS policy_id,
-           CASE event_type WHEN 'error' THEN 'Death' ELSE 'Medical' END AS claim_type,
+           CASE event_type WHEN 'error' THEN 'Death' WHEN 'purchase' THEN 'Medical' ELSE 'Disability' END AS claim_type,
            cast(ts AS date) AS claim_date, cast(value AS decimal(12,2)) AS claim_amount, 'PRF' AS fund_type,
            CASE event_id % 4 WHEN 0 THEN 'Pending' WHEN 1 THEN 'Under Review' WHEN 2 THEN 'Approved'
                 ELSE 'Rejected' END AS status,
            CASE WHEN event_id % 4 = 2 THEN cast(ts AS date) + 14 END AS approval_date
-    FROM events WHERE event_type IN ('error', 'purchase')""",
+    FROM events""",
     "agency_transactions": """
     SELECT cast(o_orderkey AS varchar) AS transaction_id, 'A' || cast(o_custkey % 50 AS varchar) AS agent_id,
-           cast(o_custkey % 150 AS varchar) AS policy_id,
+           cast(o_custkey // 10 AS varchar) AS policy_id,
            CASE o_orderstatus WHEN 'F' THEN 'New Business' WHEN 'O' THEN 'Renewal' ELSE 'Clawback' END AS transaction_type,
            cast(o_orderdate AS date) AS transaction_date, cast(5 + o_custkey % 10 AS decimal(5,2)) AS commission_rate,
            cast(cast(o_totalprice AS decimal(12,2)) * cast(0.05 AS decimal(5,2)) AS decimal(12,2))
@@ -165,14 +183,13 @@ CTES = {
         "policies_history",
         "policy_id",
         "policy_sk",
-        """policy_id, participant_id, product_name, product_category, has_pif, start_date, end_date, term_years,
-           payment_mode, status, agent_id, contribution_amount""",
+        _POLICY_ATTRIBUTES,
     ),
     "dim_participants": _dimension(
         "participants_history",
         "participant_id",
         "participant_sk",
-        "h.participant_id, c.full_name, c.ic_number, h.state, c.date_of_birth, c.gender, c.join_date",
+        _PARTICIPANT_ATTRIBUTES,
         "LEFT JOIN participants c ON h.participant_id = c.participant_id",
     ),
     "dim_product": f"""
@@ -186,8 +203,7 @@ CTES = {
     FROM generate_series(TIMESTAMP '2020-01-01', TIMESTAMP '2047-12-31', INTERVAL 1 DAY) AS days(d)""",
     "fct_contributions": _asof(
         "contributions",
-        """f.contribution_id, f.policy_id, d.policy_sk, f.contribution_date, f.gross_amount, f.prf_amount, f.pif_amount,
-           f.wakalah_fee_shareholders_fund, f.payment_method""",
+        _CONTRIBUTIONS,
         "contribution_date",
     ),
     "fct_claims": _asof(
@@ -198,10 +214,37 @@ CTES = {
     ),
     "fct_agency_commissions": _asof(
         "agency_transactions",
-        """f.transaction_id, f.agent_id, f.policy_id, d.policy_sk, f.transaction_type, f.transaction_date,
-           f.commission_rate, f.commission_amount_shareholders_fund""",
+        _COMMISSIONS,
         "transaction_date",
     ),
+    # three daily runs
+    "daily_runs": """
+    SELECT * FROM (VALUES (TIMESTAMP '2024-01-11 02:00:00', 1), (TIMESTAMP '2024-01-21 02:00:00', 2),
+                          (TIMESTAMP '2024-01-31 02:00:00', NULL)) runs(run_ts, away)""",
+    "daily_policies": f"""
+    SELECT {POLICY_COLUMNS}, run_ts FROM events JOIN daily_runs ON ts < run_ts - INTERVAL 2 HOUR
+    WHERE away IS NULL OR user_id % 10 <> away
+    QUALIFY row_number() OVER (PARTITION BY user_id, run_ts ORDER BY ts DESC, event_id DESC) = 1""",
+    "daily_participants": """
+    SELECT p.*, run_ts FROM participants_first p, daily_runs
+    WHERE away = 1 AND cast(participant_id AS bigint) % 10 <> 1
+    UNION ALL
+    SELECT p.*, run_ts FROM participants p, daily_runs
+    WHERE away IS NULL OR (away = 2 AND cast(participant_id AS bigint) % 10 <> 2)""",
+    "daily_policies_history": _versions("daily_policies", "policy_id", "status", "agent_id", "contribution_amount"),
+    "daily_participants_history": _versions("daily_participants", "participant_id", "state"),
+    "daily_dim_policies": _dimension("daily_policies_history", "policy_id", "policy_sk", _POLICY_ATTRIBUTES),
+    "daily_dim_participants": _dimension(
+        "daily_participants_history",
+        "participant_id",
+        "participant_sk",
+        _PARTICIPANT_ATTRIBUTES,
+        "LEFT JOIN participants c ON h.participant_id = c.participant_id",
+    ),
+    "daily_fct_contributions": _asof("contributions", _CONTRIBUTIONS, "contribution_date", "daily_dim_policies"),
+    "daily_fct_agency_commissions": _asof(
+        "agency_transactions", _COMMISSIONS, "transaction_date", "daily_dim_policies"
+    ),
     # faulty copies
     "x_stg_participants": """
     SELECT * REPLACE (CASE WHEN cast(participant_id AS bigint) % 200 = 9 THEN NULL ELSE participant_id END AS participant_id)
@@ -425,10 +468,7 @@ _DAILY = {
     "dim_date": ("(SELECT count(*) FROM dim_date)", "NULL"),
     "fct_contributions": ("(SELECT count(*) FROM contributions)",) * 2,
     "fct_claims": ("(SELECT count(*) FROM claims)",) * 2,
-    "fct_agency_commissions": (
-        "(SELECT count(*) FROM agency_transactions WHERE policy_id IN (SELECT policy_id FROM policies))",
-    )
-    * 2,
+    "fct_agency_commissions": ("(SELECT count(*) FROM agency_transactions)",) * 2,
 }
 
 QUERIES = {
@@ -474,6 +514,15 @@ QUERIES = {
     FROM dim_date d LEFT JOIN contributions c ON c.contribution_date = d.date_day GROUP BY ALL""",
     **{f: f"SELECT * FROM {f}" for f in ("fct_contributions", "fct_claims", "fct_agency_commissions")},
     "fct_contributions_by_day": "SELECT * FROM fct_contributions",
+    "fct_contributions_mixed": "SELECT * FROM fct_contributions",
+    **{
+        f"daily_{mart}": f"SELECT *, {LOADED_AT} AS etl_loaded_at FROM daily_{mart}"
+        for mart in ("dim_policies", "dim_participants", "fct_contributions", "fct_agency_commissions")
+    },
+    "rebuild_dim_policies": "SELECT * FROM daily_dim_policies",
+    "stg_view_sql": """
+    SELECT p.product_category, c.status, count(*) AS claims
+    FROM claims c JOIN policies p ON c.policy_id = p.policy_id GROUP BY p.product_category, c.status""",
     "asof_lineitem": """
     SELECT version_status, l_returnflag, count(*) AS items,
            cast(sum(cast(l_extendedprice AS decimal(12,2))) AS decimal(18,2)) AS price
@@ -546,7 +595,8 @@ QUERIES = {
 # Times that may be the end of time are shown as text.
 _ENDS_AS_TEXT = {
     **dict.fromkeys(
-        ["dim_policies", "dim_participants", "scd2_replay"]
+        ["dim_policies", "dim_participants", "daily_dim_policies", "daily_dim_participants", "rebuild_dim_policies"]
+        + ["scd2_replay"]
         + [f"dq_not_null_dim_policies_{c}" for c in ("policy_sk", "policy_id")]
         + [f"dq_not_null_dim_participants_{c}" for c in ("participant_sk", "participant_id")],
         ["valid_from", "valid_to"],

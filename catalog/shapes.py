@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +24,9 @@ RUN_TS = datetime(2024, 1, 31, 2, 0, 0)
 LOADED_AT = datetime(2024, 1, 31, 2, 15, 30)
 FIRST_DAY, SECOND_DAY = "2024-01-15", "2024-01-30"
 
+#: Days of three daily runs, and the last digit of the ids that are away on each.
+DAILY_RUNS = {"2024-01-10": "1", "2024-01-20": "2", "2024-01-30": None}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -175,11 +178,11 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("Rejected")
     )
     day = F.col("ts").cast("date")
-    filed = table(spark, sf_dir, "events").filter(F.col("event_type").isin("error", "purchase"))
-    return filed.select(
+    kind = F.when(F.col("event_type") == "error", "Death").when(F.col("event_type") == "purchase", "Medical")
+    return table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("claim_id"),
         F.col("user_id").cast("string").alias("policy_id"),
-        F.when(F.col("event_type") == "error", "Death").otherwise("Medical").alias("claim_type"),
+        kind.otherwise("Disability").alias("claim_type"),
         day.alias("claim_date"),
         F.col("value").cast("decimal(12,2)").alias("claim_amount"),
         F.lit("PRF").alias("fund_type"),
@@ -195,7 +198,7 @@ def agency_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("transaction_id"),
         F.concat(F.lit("A"), (customer % 50).cast("string")).alias("agent_id"),
-        (customer % 150).cast("string").alias("policy_id"),
+        F.expr("o_custkey div 10").cast("string").alias("policy_id"),
         kind.otherwise("Clawback").alias("transaction_type"),
         F.col("o_orderdate").cast("date").alias("transaction_date"),
         (5 + customer % 10).cast("decimal(5,2)").alias("commission_rate"),
@@ -221,6 +224,32 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: source(spark, sf_dir, name) for name in _SOURCES}
 
 
+def run_time(day: str) -> datetime:
+    """The run that takes in a day: at two o'clock of the next one."""
+    return datetime.fromisoformat(day) + timedelta(days=1, hours=2)
+
+
+def sources_of_day(spark: SparkSession, sf_dir: str, day: str) -> dict[str, DataFrame]:
+    """Sources as one of ``DAILY_RUNS`` finds them: what happened until then.
+
+    Participants who are away, their policies and all that belongs to them are missing that day, so
+    they appear later, or stay away and come back. Nobody is away on the last day, which has all rows.
+    """
+    found = sources(spark, sf_dir)
+    found["participants"] = participants(spark, sf_dir, second=day > FIRST_DAY)
+    found["policies"] = policies(spark, sf_dir, until=day)
+    if DAILY_RUNS[day]:
+        for name in ("participants", "policies"):
+            found[name] = found[name].filter(~F.col("participant_id").endswith(DAILY_RUNS[day]))
+        known = found["policies"].select("policy_id")
+        for name, date_col in FACTS.values():
+            facts = found[name]
+            if name != "agency_transactions":
+                facts = facts.filter(F.col(date_col) <= F.lit(day).cast("date"))
+            found[name] = facts.join(known, "policy_id", "left_semi").select(*facts.columns)
+    return found
+
+
 # --- histories and marts ------------------------------------------------------------------
 
 
