@@ -40,6 +40,8 @@ class LeakParams:
 
 
 _PART = 4096
+#: Arrays that one group sums.
+_LANE = 128
 _ENDS = np.isin(np.arange(256), np.frombuffer(b".!?\n", np.uint8))
 
 
@@ -50,14 +52,28 @@ def _buckets(data: np.ndarray, places: np.ndarray, bits: int) -> tuple[words.Wor
 
 
 def _sum_parts(rows: DataFrame, kind: str) -> np.ndarray:
-    """Sum of arrays that came as ``part int, values binary``, part by part."""
+    """Sum of arrays that came as ``part int, values binary``, part by part.
 
-    def add(group: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(v, kind).astype(np.float64) for v in group.column("values").to_pylist())
-        return pa.table({"part": group.column("part")[:1], "values": pa.array([total.tobytes()], pa.binary())})
+    Each task gives one array per part, so their number grows with the input. They are summed over
+    ``_LANE`` neighbouring tasks first, then over as many of those sums, and so on, and no group holds
+    more than ``_LANE`` arrays until the last, of one array per ``_LANE ** 2`` tasks.
+    """
+
+    def summed(rows: DataFrame, kind: str, *by: str) -> DataFrame:
+        def add(group: pa.Table) -> pa.Table:
+            total = np.zeros(1)
+            for value in group.column("values"):
+                total = total + np.frombuffer(value.as_buffer(), kind)
+            return group.slice(0, 1).set_column(2, "values", pa.array([total.tobytes()], pa.binary()))
+
+        return rows.groupBy(*by).applyInArrow(add, "part int, lane int, values binary")
 
-    parts = sorted(rows.groupBy("part").applyInArrow(add, "part int, values binary").collect())
-    return np.concatenate([np.frombuffer(v, np.float64) for _, v in parts]) if parts else np.zeros(0)
+    lanes = F.expr(f"cast(lane div {_LANE} as int)")
+    sums = rows.select("part", F.spark_partition_id().alias("lane"), "values").withColumn("lane", lanes)
+    sums = summed(sums, kind, "part", "lane").withColumn("lane", lanes)
+    sums = summed(summed(sums, "f8", "part", "lane"), "f8", "part")
+    parts = sorted(sums.select("part", "values").collect())
+    return np.concatenate([np.frombuffer(v, "f8") for _, v in parts]) if parts else np.zeros(0)
 
 
 def document_frequencies(docs: DataFrame, bits: int) -> np.ndarray:
@@ -273,7 +289,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakP
     every = F.pmod(F.xxhash64("text"), F.lit(max(1, total // params.sample))) == 0
     work = tables.Workspace(spark)
     passages = F.explode(F.split("text", r"\n")).alias("text")
-    sample = work.store(narrow.filter(every).select(passages))
+    # Copies of a text have the same hash; one of them is enough, however many there are.
+    sample = work.store(narrow.filter(every).distinct().select(passages))
     items = benchmark.filter("text is not null").select("item_id", "text")
     passes = max(1, -(-items.count() // params.items))
     span = "item_id: bigint, cosine: double, overlap: double, answer: double, begin: bigint, end: bigint"

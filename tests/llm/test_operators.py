@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import compare
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 from conftest import SMALL
@@ -278,6 +279,23 @@ def test_decontamination_finds_every_item_of_the_given_tables(spark, odd):
     assert kept.columns[:-1] == odd.columns and kept.count() == odd.count()
 
 
+def test_arrays_are_summed_in_levels(spark, monkeypatch):
+    def arrays(batches):
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "part": pa.array([0, 1], pa.int32()),
+                        "values": [np.full(4, i, "i4").tobytes(), np.full(2, 2 * i, "i4").tobytes()],
+                    }
+                )
+
+    monkeypatch.setattr(decontamination, "_LANE", 3)
+    rows = spark.range(0, 50, 1, 50).mapInArrow(arrays, "part int, values binary")
+    assert decontamination._sum_parts(rows, "i4").tolist() == [1225] * 4 + [2450] * 2
+    assert not len(decontamination._sum_parts(rows.limit(0), "i4"))
+
+
 def test_common_subsequence():
     rng = random.Random(4)
     for _ in range(50):
