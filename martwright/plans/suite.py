@@ -57,6 +57,18 @@ ACCEPTED = [
 VERSIONED = {"dim_policies": "policy_id", "dim_participants": "participant_id"}
 
 
+@dataclass(frozen=True)
+class Marks:
+    """How violations are counted in a pass over ``table`` that all its rules share: rows that ``where``
+    holds for are marked. Violations are the marked rows or, with a ``key``, its values with more than
+    ``allowed`` of them."""
+
+    table: str
+    where: Callable[[], Column]
+    key: tuple[str, ...] = ()
+    allowed: int = 0
+
+
 @dataclass(frozen=True)
 class Check:
     """A rule on named tables; ``rows`` gives its violations."""
@@ -66,8 +78,8 @@ class Check:
     #: Rows with a column ``violations`` that add up to the number of violations, where that is
     #: cheaper to get than the violations.
     tally: Callable[[Tables], DataFrame] | None = None
-    #: (table, condition) of a rule on single rows: counted together with the table's others.
-    per_row: tuple[str, Callable[[], Column]] | None = None
+    #: For a rule on single rows, or on how often a key occurs.
+    marks: Marks | None = None
 
     def tallied(self, tables: Tables) -> DataFrame:
         name = F.lit(self.name).alias("check_name")
@@ -84,11 +96,10 @@ def checks() -> list[Check]:
 
     for table, columns in NOT_NULL.items():
         for c in columns:
-            is_null = (table, partial(_is_null, c))
-            add(f"not_null_{table}_{c}", q.not_null, table, args=(c,), per_row=is_null)
+            add(f"not_null_{table}_{c}", q.not_null, table, args=(c,), marks=Marks(table, partial(_is_null, c)))
     for table, columns in UNIQUE.items():
         for c in columns:
-            add(f"unique_{table}_{c}", q.unique, table, args=(c,))
+            add(f"unique_{table}_{c}", q.unique, table, args=(c,), marks=Marks(table, partial(_present, c), (c,), 1))
     for child, c, parent, field in RELATIONSHIPS:
         found.append(
             Check(
@@ -98,12 +109,17 @@ def checks() -> list[Check]:
             )
         )
     for table, c, values in ACCEPTED:
-        add(f"accepted_values_{table}_{c}", q.accepted_values, table, args=(c, values))
+        outside = Marks(table, partial(_outside, c, values), (c,))
+        add(f"accepted_values_{table}_{c}", q.accepted_values, table, args=(c, values), marks=outside)
     for table, key in VERSIONED.items():
-        add(f"unique_combination_{table}", q.unique_combination, table, args=([key, "valid_from"],))
+        version = (key, "valid_from")
+        same = Marks(table, partial(F.lit, True), version, 1)
+        add(f"unique_combination_{table}", q.unique_combination, table, args=(list(version),), marks=same)
         add(f"no_scd_overlap_{table}", q.scd_overlap, table, args=(key,))
-        add(f"exactly_one_current_version_{table}", q.one_current, table, args=(key,))
-    add("fund_split_invariant", q.fund_split, "stg_contributions", per_row=("stg_contributions", q.split_is_off))
+        current = Marks(table, partial(F.col, "is_current"), (key,), 1)
+        add(f"exactly_one_current_version_{table}", q.one_current, table, args=(key,), marks=current)
+    off = Marks("stg_contributions", q.split_is_off)
+    add("fund_split_invariant", q.fund_split, "stg_contributions", marks=off)
     add("no_pif_leakage", q.fund_leakage, "fct_contributions", "dim_policies", tally=_leaks)
     return found
 
@@ -111,27 +127,40 @@ def checks() -> list[Check]:
 def summarize(tables: Tables, suite: list[Check] | None = None) -> DataFrame:
     """One row per check, ``check_name`` and ``violations``, as a single query.
 
-    All rules on single rows of a table share one pass over it; what the others find is added up
-    in one aggregate over all of them.
+    All rules on single rows and on keys share one pass over their table and one aggregate over all
+    tables; what the others find is added up in one more.
     """
     suite = checks() if suite is None else suite
-    per_row: dict[str, list[Check]] = {}
-    for c in suite:
-        if c.per_row:
-            per_row.setdefault(c.per_row[0], []).append(c)
-    found = [c.tallied(tables) for c in suite if not c.per_row]
-    for table, same in per_row.items():
-        totals = tables[table].agg(*[F.count_if(c.per_row[1]()).alias(c.name) for c in same])
-        found.append(totals.select(_as_rows({c.name: F.col(c.name) for c in same})))
-    none = found[0].sparkSession.range(1).select(_as_rows({c.name: F.lit(0).cast("bigint") for c in suite}))
+    found = [c.tallied(tables) for c in suite if not c.marks]
+    marked = [c for c in suite if c.marks]
+    if marked:
+        found.append(_counted(tables, marked))
+    each = [F.struct(F.lit(c.name).alias("check_name"), F.lit(0).cast("bigint").alias("violations")) for c in suite]
+    none = found[0].sparkSession.range(1).select(F.inline(F.array(*each)))
     return union_all([none, *found]).groupBy("check_name").agg(F.sum("violations").alias("violations"))
 
 
+def _counted(tables: Tables, marked: list[Check]) -> DataFrame:
+    """``check_name, violations`` of checks with marks. A mark is the check's number and the values of its
+    key, none for a rule on single rows; equal ones are combined before they are shuffled."""
+    by_table: dict[str, list[Column]] = {}
+    for number, check in enumerate(marked, start=1):
+        marks = check.marks
+        values = F.array(*[F.col(c).cast("string") for c in marks.key]).cast("array<string>")
+        mark = F.struct(F.lit(number).alias("check"), F.lit(marks.allowed).alias("allowed"), values.alias("key"))
+        by_table.setdefault(marks.table, []).append(F.when(marks.where(), mark))
+    passes = [tables[t].select(F.inline(F.array_compact(F.array(*marks)))) for t, marks in by_table.items()]
+    counts = union_all(passes).groupBy("check", "allowed", "key").agg(F.count("*").alias("n"))
+    name = F.element_at(F.array(*[F.lit(c.name) for c in marked]), F.col("check"))
+    violations = F.when(F.size("key") == 0, F.col("n")).otherwise((F.col("n") > F.col("allowed")).cast("bigint"))
+    return counts.select(name.alias("check_name"), violations.alias("violations"))
+
+
 def count_violations(tables: Tables, suite: list[Check] | None = None) -> dict[str, int]:
     """Violations per check: the summary in several parts that are planned and run side by side."""
     suite = checks() if suite is None else suite
-    per_row, others = [c for c in suite if c.per_row], [c for c in suite if not c.per_row]
-    parts = [part for part in (per_row, *(others[i :: PARALLEL_JOBS] for i in range(PARALLEL_JOBS))) if part]
+    marked, others = [c for c in suite if c.marks], [c for c in suite if not c.marks]
+    parts = [part for part in (marked, *(others[i :: PARALLEL_JOBS] for i in range(PARALLEL_JOBS))) if part]
     rows = for_each(parts, lambda part: summarize(tables, part).collect())  # one small row per check
     return {row.check_name: row.violations for part in rows for row in part}
 
@@ -152,15 +181,18 @@ def gate(violations: dict[str, int]) -> int:
     return len(violations)
 
 
-def _as_rows(violations: dict[str, Column]) -> Column:
-    pairs = [F.struct(F.lit(name).alias("check_name"), n.alias("violations")) for name, n in violations.items()]
-    return F.inline(F.array(*pairs))
-
-
 def _is_null(column: str) -> Column:
     return F.col(column).isNull()
 
 
+def _present(column: str) -> Column:
+    return F.col(column).isNotNull()
+
+
+def _outside(column: str, values: list[str]) -> Column:
+    return ~F.col(column).isin(values)
+
+
 def _leaks(tables: Tables) -> DataFrame:
     return q.leak_counts(tables["fct_contributions"], tables["dim_policies"])
 
