@@ -1,10 +1,12 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Passages are windows of words, weighted by TF-IDF over all documents. A randomised singular value
+Passages are the lines of all documents, weighted by TF-IDF. A randomised singular value
 decomposition, whose products with the matrix of passages are sums over Spark tasks, gives a latent
-space for the terms of the benchmark. Windows of documents that come close to an item there are
-candidates; the longest common subsequence of words, and whether the item's answer, its last
-sentence, is there too, decide. So inserted, left out or replaced words don't hide an item.
+space for the terms of the benchmark, completed by what the items have outside it. A stretch of a
+document is a candidate if its product with an item there is at least what the decision needs; the
+longest common subsequence of words, and whether the item's answer, its last sentence, is there too,
+decide. As the space holds the items whole and words add up, no stretch that the decision would
+accept stays unchecked, whatever words were put in, left out or replaced.
 """
 
 from __future__ import annotations
@@ -24,15 +26,11 @@ from martwright.llm import tables, words
 @dataclass(frozen=True)
 class LeakParams:
     """``items`` bounds the benchmark items of one pass over the documents, further ones take further
-    passes; ``sample`` is about how many documents give passages to the latent space. A window is
-    looked at if terms of the benchmark make up a share ``known`` of its weight."""
+    passes. The space has ``rank`` dimensions of the passages and one for each item of the pass."""
 
     bits: int = 18
     rank: int = 128
-    items: int = 2000
-    sample: int = 200
-    known: float = 0.5
-    cosine: float = 0.6
+    items: int = 256
     overlap: float = 0.8
     overlap_with_answer: float = 0.55
     answer: float = 0.8
@@ -84,7 +82,9 @@ def document_frequencies(docs: DataFrame, bits: int) -> np.ndarray:
         for batch in batches:
             for _, _, data, places in words.blocks(batch):
                 found, _, bucket = _buckets(data, places, bits)
-                counts += np.bincount(np.unique((found.text << bits) | bucket) & ((1 << bits) - 1), minlength=1 << bits)
+                keys = np.sort((found.text << bits) | bucket)
+                new = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
+                counts += np.bincount(keys[new] & ((1 << bits) - 1), minlength=1 << bits)
         if counts.any():
             values = [counts[a : a + _PART].astype(np.int32).tobytes() for a in range(0, 1 << bits, _PART)]
             parts = pa.array(range(len(values)), pa.int32())
@@ -94,38 +94,63 @@ def document_frequencies(docs: DataFrame, bits: int) -> np.ndarray:
     return counts if len(counts) else np.zeros(1 << bits)
 
 
-def _products(passages: DataFrame, idf: Broadcast, terms: np.ndarray, basis: np.ndarray, params: LeakParams) -> np.ndarray:
-    """``A' A basis`` for the matrix A of passages, whose rows have length one."""
-    shipped = tables.ship(passages.sparkSession, {"terms": terms.tobytes(), "basis": basis.astype("f4").tobytes()})
-    width = basis.shape[1]
+def passages(docs: DataFrame, idf: Broadcast, terms: np.ndarray, params: LeakParams) -> DataFrame:
+    """The matrix of the lines of all documents, in blocks ``sizes, terms, norms``: per line the number
+    of its words that are terms and the length of its vector over all its words, and those terms."""
+    shipped = tables.ship(docs.sparkSession, {"terms": terms.tobytes()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = np.full(1 << params.bits, -1)
+        index = np.full(1 << params.bits, -1, np.int32)
         known = np.frombuffer(shipped.value["terms"], np.int64)
         index[known] = np.arange(len(known))
-        basis = np.frombuffer(shipped.value["basis"], "f4").reshape(len(known), width)
         weight = np.frombuffer(idf.value["idf"], "f4")
-        total = np.zeros((len(known), width), np.float64)
         for batch in batches:
             for _, _, data, places in words.blocks(batch):
-                found, _, bucket = _buckets(data, places, params.bits)
+                lines = np.sort(np.concatenate([places, np.flatnonzero(data == 10) + 1]))
+                found, _, bucket = _buckets(data, lines, params.bits)
                 norm = np.sqrt(words.sums_by(weight[bucket] ** 2, found.first)) + 1e-9
-                inside = index[bucket] >= 0
-                term, row = index[bucket[inside]], found.text[inside]
-                value = (weight[bucket] / norm[found.text])[inside]
-                for a, b in zip(*_spans(row, 20_000)):
-                    part, near = value[a:b, None].astype("f4"), row[a:b]
-                    some, first, own = np.unique(near, return_index=True, return_inverse=True)
-                    image = np.add.reduceat(basis[term[a:b]] * part, first, axis=0)
+                term = index[bucket]
+                inside = np.append(0, np.cumsum(term >= 0))
+                sizes = np.diff(inside[found.first])
+                some = sizes > 0
+                arrays = sizes[some].astype("i4"), term[term >= 0], norm[some].astype("f4")
+                values = [pa.array([x.tobytes()], pa.binary()) for x in arrays]
+                yield pa.RecordBatch.from_arrays(values, ["sizes", "terms", "norms"])
+
+    return docs.select("text").mapInArrow(run, "sizes binary, terms binary, norms binary")
+
+
+def _products(matrix: DataFrame, weight: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """``A' A basis`` for the matrix A of ``passages``, whose rows have length one; ``weight`` is that of terms."""
+    basis = basis.astype("f4")
+    shipped = tables.ship(matrix.sparkSession, {"weight": weight.astype("f4").tobytes(), "basis": basis.tobytes()})
+    width = basis.shape[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight = np.frombuffer(shipped.value["weight"], "f4")
+        weighted = np.frombuffer(shipped.value["basis"], "f4").reshape(-1, width) * weight[:, None]
+        total = np.zeros(weighted.shape, np.float64)
+        for batch in batches:
+            for block in batch.to_pylist():
+                sizes, term = np.frombuffer(block["sizes"], "i4"), np.frombuffer(block["terms"], "i4")
+                scale = np.frombuffer(block["norms"], "f4") ** -2
+                first = np.concatenate([[0], np.cumsum(sizes)])
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                for a, b in zip(*_spans(row, 4_000)):
+                    low, high = row[a], row[b - 1] + 1
+                    image = np.add.reduceat(weighted[term[a:b]], first[low:high] - a, axis=0)
+                    image *= scale[low:high, None]
                     order = np.argsort(term[a:b], kind="stable")
-                    distinct, first = np.unique(term[a:b][order], return_index=True)
-                    total[distinct] += np.add.reduceat((image[own] * part)[order], first, axis=0)
+                    sorted_ = term[a:b][order]
+                    begins = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
+                    total[sorted_[begins]] += np.add.reduceat(image[row[a:b][order] - low], begins, axis=0)
         if total.any():
-            parts = [total[a : a + _PART].astype("f4").tobytes() for a in range(0, len(known), _PART)]
+            total *= weight[:, None]
+            parts = [total[a : a + _PART].astype("f4").tobytes() for a in range(0, len(total), _PART)]
             numbers = pa.array(range(len(parts)), pa.int32())
             yield pa.RecordBatch.from_arrays([numbers, pa.array(parts, pa.binary())], ["part", "values"])
 
-    product = _sum_parts(passages.select("text").mapInArrow(run, "part int, values binary"), "f4")
+    product = _sum_parts(matrix.mapInArrow(run, "part int, values binary"), "f4")
     return product.reshape(-1, width) if len(product) else np.zeros(basis.shape)
 
 
@@ -135,16 +160,25 @@ def _spans(row: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return edges, np.append(edges[1:], len(row))
 
 
-def latent_space(passages: DataFrame, idf: Broadcast, terms: np.ndarray, params: LeakParams) -> np.ndarray:
-    """Randomised decomposition: right singular vectors of the passages, one row per term."""
-    width = min(params.rank + 8, len(terms))
-    basis = np.random.default_rng(2).normal(size=(len(terms), width))
+def latent_space(matrix: DataFrame, weight: np.ndarray, items: np.ndarray, params: LeakParams) -> np.ndarray:
+    """Randomised decomposition: right singular vectors of the passages, one row per term, and after
+    them what the columns of ``items`` have outside these."""
+    width = min(params.rank + 8, len(weight))
+    basis = np.random.default_rng(2).normal(size=(len(weight), width))
     for _ in range(2):
-        basis = np.linalg.qr(_products(passages, idf, terms, basis, params))[0]
-    small = basis.T @ _products(passages, idf, terms, basis, params)
+        basis = np.linalg.qr(_products(matrix, weight, basis) + 1e-9 * basis)[0]
+    small = basis.T @ _products(matrix, weight, basis)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     order = np.argsort(-values)[: params.rank]
-    return (basis @ vectors[:, order]).astype(np.float32)
+    return np.linalg.qr(np.hstack([basis @ vectors[:, order], items]))[0].astype(np.float32)
+
+
+def item_vectors(index: np.ndarray, idf: np.ndarray, bucket: np.ndarray, first: np.ndarray, terms: int) -> np.ndarray:
+    """TF-IDF of each item, a column of ``terms`` rows."""
+    vectors = np.zeros((terms, len(first) - 1))
+    of = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    np.add.at(vectors, (index[bucket], of), idf[bucket])
+    return vectors
 
 
 def common_subsequence(places: dict[int, int], size: int, text: list[int]) -> int:
@@ -165,6 +199,26 @@ def _bits(hashed: list[int]) -> dict[int, int]:
     return places
 
 
+def least_share(gain: np.ndarray, answer: int, params: LeakParams) -> float:
+    """The least sum of ``gain``, a value per word of an item, the last ``answer`` of which are its
+    answer's, over any words of it that are enough for the decision."""
+    size = len(gain)
+    if size < params.least_words:
+        return float(gain.sum())
+    whole = np.sort(gain)[: _enough(params.overlap, size)].sum()
+    # With the answer: the lightest words of it that are enough, then the lightest of all others.
+    own = np.sort(gain[size - answer :])
+    taken = _enough(params.answer, answer)
+    others = np.sort(np.concatenate([gain[: size - answer], own[taken:]]))
+    more = max(0, _enough(params.overlap_with_answer, size) - taken)
+    return float(min(whole, own[:taken].sum() + others[:more].sum()))
+
+
+def _enough(share: float, size: int) -> int:
+    """The least number whose share of ``size`` reaches ``share``."""
+    return next(n for n in range(size + 1) if n / size >= share)
+
+
 @dataclass
 class Item:
     number: int
@@ -174,6 +228,11 @@ class Item:
     answer_size: int
 
 
+#: What rounding may take from a share.
+_SLACK = 1e-3
+_ONE = np.uint64(1)
+
+
 class Searcher:
     """Finds the items of one pass in texts. Made once per task from what was shipped."""
 
@@ -187,64 +246,151 @@ class Searcher:
         data, places = np.frombuffer(model["texts"], np.uint8), np.concatenate([[0], np.cumsum(sizes)])
         found, hashed, bucket = _buckets(data, places, params.bits)
         ends = np.concatenate([[0], np.cumsum(_ENDS[data])])
-        self.items, latent, lengths = [], [], []
-        for i, (a, b) in enumerate(zip(found.first, found.first[1:])):
+        self.weight = self.idf[terms]
+        vectors = item_vectors(self.index, self.idf, bucket, found.first, len(terms))
+        self.images = self.space.T @ vectors
+        squares = np.maximum((self.images**2).sum(axis=0), 1e-9)
+        # What a word adds to the share of an item that is there. A text with all words has 1.
+        self.gain = ((self.space @ self.images) * self.weight[:, None] / squares).astype("f4")
+        self.vocabulary, word = np.unique(hashed, return_inverse=True)
+        self.masks = np.zeros((len(found.first) - 1, len(self.vocabulary)), np.uint64)
+        self.items, least = [], []
+        for i, (a, b) in enumerate(zip(found.first.tolist(), found.first[1:].tolist())):
             opens = np.flatnonzero(ends[found.starts[a + 1 : b]] > ends[found.ends[a : b - 1]])
             answer = hashed[a + 1 + opens[-1] if len(opens) else a : b].tolist()
-            self.items.append(Item(i, int(b - a), _bits(hashed[a:b].tolist()), _bits(answer), len(answer)))
-            weight = self.idf[bucket[a:b]]
-            image = (self.space[self.index[bucket[a:b]]] * weight[:, None]).sum(axis=0)
-            # A text that holds the item word by word has a score of 1, whatever the space leaves out.
-            latent.append(image * np.sqrt((weight**2).sum()) / max(float(image @ image), 1e-9))
-            lengths.append(1 << int(b - a).bit_length() - 1 if b > a else 0)
-        self.latent, self.lengths = np.array(latent).reshape(len(latent), -1), np.array(lengths)
+            self.items.append(Item(i, b - a, _bits(hashed[a:b].tolist()), _bits(answer), len(answer)))
+            np.bitwise_or.at(self.masks[i], word[a : min(b, a + 64)], _ONE << np.arange(min(b - a, 64), dtype=np.uint64))
+            at = self.index[bucket[a:b]]
+            own = vectors[at, i] * self.idf[bucket[a:b]] / max(float((vectors[:, i] ** 2).sum()), 1e-9)
+            least.append(least_share(own, len(answer), params) - _SLACK)
+        self.least, self.sizes = np.where(np.diff(found.first) > 0, least, np.inf), np.diff(found.first)
+        self.lengths = np.array([1 << n.bit_length() - 1 if n else 1 for n in self.sizes.tolist()])
+        # The items each term is of, and how often.
+        at, self.holders = np.nonzero(vectors)
+        self.held, self.holder_gain = np.searchsorted(at, np.arange(len(terms) + 1)), self.gain[at, self.holders]
+        self.times = np.rint(vectors[at, self.holders] / np.maximum(self.weight[at], 1e-9)).astype(np.int64)
+        share = min(params.overlap, params.overlap_with_answer)
+        self.least_count = np.array([_enough(share, n) if n >= params.least_words else n for n in self.sizes.tolist()])
 
     def search(self, data: np.ndarray, places: np.ndarray) -> list[list[dict]]:
         """For each text, the items it holds."""
         found, hashed, bucket = _buckets(data, places, self.params.bits)
         out: list[list[dict]] = [[] for _ in range(len(places) - 1)]
         term = self.index[bucket]
-        weight = self.idf[bucket]
-        squares = np.concatenate([[0], np.cumsum(weight**2, dtype=np.float64)])
-        known = np.concatenate([[0], np.cumsum(weight**2 * (term >= 0), dtype=np.float64)])
-        for length in np.unique(self.lengths[self.lengths > 0]):
-            begin, end, text = _windows(found.first, int(length))
-            mass = squares[end] - squares[begin]
-            near = known[end] - known[begin] >= self.params.known * mass
-            begin, end, text, mass = begin[near], end[near], text[near], mass[near]
-            of_length = np.flatnonzero(self.lengths == length)
-            best: dict[tuple[int, int], tuple[float, int, int]] = {}
-            for a in range(0, len(begin), 2048):
-                images = self._images(term, weight, begin[a : a + 2048], end[a : a + 2048])
-                scores = images @ self.latent[of_length].T / np.sqrt(mass[a : a + 2048, None] + 1e-9)
-                for window, item in zip(*np.nonzero(scores >= self.params.cosine)):
-                    key, score = (int(text[a + window]), int(of_length[item])), float(scores[window, item])
-                    if score > best.get(key, (0,))[0]:
-                        best[key] = (score, int(begin[a + window]), int(end[a + window]))
-            for (at, item), (score, a, b) in sorted(best.items()):
-                leak = self._compare(self.items[item], hashed, found, at, a, b)
-                if leak:
-                    low = places[at]
-                    first = len(data[low : found.starts[leak["a"]]].tobytes().decode())
-                    last = len(data[low : found.ends[leak["b"] - 1]].tobytes().decode())
-                    own = {"item": item, "cosine": score, "overlap": leak["overlap"], "answer": leak["answer"]}
-                    out[at].append(own | {"begin": first, "end": last})
+        count = np.concatenate([[0], np.cumsum(term >= 0)])
+        known, of = term[term >= 0], found.text[term >= 0]
+        text, item = np.divmod(np.flatnonzero(self._possible(known, of, len(out))), len(self.items))
+        sizes = np.diff(count[found.first])[text]
+        maybe = []
+        for low, high in zip(*_spans(np.cumsum(sizes) // 200_000, 1)):
+            maybe.append(self._windows(text[low:high], item[low:high], found.first, count, known))
+        if maybe:
+            self._check([np.concatenate(x) for x in zip(*maybe)], found, hashed, term, data, places, out)
         return out
 
-    def _images(self, term: np.ndarray, weight: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Places of windows in the space, which are the sums of those of their words."""
-        sizes = end - begin
-        ends = np.cumsum(sizes)
-        at = np.repeat(begin - (ends - sizes), sizes) + np.arange(ends[-1])
-        known = term[at]
-        inside = np.flatnonzero(known >= 0)
-        window = np.searchsorted(ends, inside, "right")
-        rows = self.space[known[inside]] * weight[at[inside], None]
-        images = np.zeros((len(begin), self.space.shape[1]), np.float32)
-        some, first = np.unique(window, return_index=True)
-        if len(some):
-            images[some] = np.add.reduceat(rows, first, axis=0)
-        return images
+    def _possible(self, known: np.ndarray, text: np.ndarray, texts: int) -> np.ndarray:
+        """Whether a text has enough of an item's words, by share and by number, each as often as the
+        item at most; no stretch of it has more."""
+        share, number = np.zeros((2, texts * len(self.items)))
+        keys = np.sort(text * len(self.weight) + known)
+        begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        often = np.diff(np.append(begins, len(keys)))
+        text, known = np.divmod(keys[begins], len(self.weight))
+        for low in range(0, len(known), 50_000):
+            at = known[low : low + 50_000]
+            sizes = np.diff(self.held)[at]
+            place = np.repeat(self.held[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            first = int(text[low]) * len(self.items)
+            key = np.repeat(text[low : low + 50_000] * len(self.items) - first, sizes) + self.holders[place]
+            times = np.minimum(np.repeat(often[low : low + 50_000], sizes), self.times[place])
+            for total, values in ((share, times * self.holder_gain[place]), (number, times)):
+                some = np.bincount(key, values)
+                total[first : first + len(some)] += some
+        share, number = share.reshape(texts, -1), number.reshape(texts, -1)
+        return (share >= self.least) & (number >= self.least_count)
+
+    def _windows(
+        self, text: np.ndarray, item: np.ndarray, first: np.ndarray, count: np.ndarray, known: np.ndarray
+    ) -> list[np.ndarray]:
+        """``text, item, begin, end, share`` of the windows, a quarter of a window apart, that with as many
+        words on both sides as the item has may hold it."""
+        sizes = count[first[text + 1]] - count[first[text]]
+        base = np.cumsum(sizes) - sizes
+        at = np.repeat(count[first[text]] - base, sizes) + np.arange(sizes.sum())
+        sums = np.concatenate([[0], np.cumsum(self.gain[known[at], np.repeat(item, sizes)], dtype=np.float64)])
+        length = self.lengths[item]
+        step, left = np.maximum(1, length // 4), np.maximum(0, first[text + 1] - first[text] - length)
+        windows = 1 + -(-left // step)
+        pair = np.repeat(np.arange(len(text)), windows)
+        number = np.arange(len(pair)) - np.repeat(np.cumsum(windows) - windows, windows)
+        begin = first[text[pair]] + np.minimum(number * step[pair], left[pair])
+        end = np.minimum(begin + length[pair], first[text[pair] + 1])
+        low, high = self._stretch(text[pair], item[pair], begin, end, first)
+        shift = (base - count[first[text]])[pair]
+        share = sums[count[high] + shift] - sums[count[low] + shift]
+        near = share >= self.least[item[pair]]
+        return [x[near] for x in (text[pair], item[pair], begin, end, share)]
+
+    def _stretch(self, text, item, begin, end, first) -> tuple[np.ndarray, np.ndarray]:
+        size = self.sizes[item]
+        return np.maximum(begin - size, first[text]), np.minimum(end + size, first[text + 1])
+
+    def _check(
+        self,
+        maybe: list[np.ndarray],
+        found: words.Words,
+        hashed: np.ndarray,
+        term: np.ndarray,
+        data: np.ndarray,
+        places: np.ndarray,
+        out: list[list[dict]],
+    ) -> None:
+        """Compares all windows that may hold an item with it, the best first, until one does."""
+        text, item, begin, end, share = maybe
+        size = self.sizes[item]
+        low, high = self._stretch(text, item, begin, end, found.first)
+        overlap = self._overlaps(item, low, high, hashed, term) / size
+        near = np.flatnonzero((overlap >= min(self.params.overlap, self.params.overlap_with_answer)) | (size > 64))
+        order = near[np.lexsort((begin[near], -share[near], item[near], text[near]))]
+        done = None
+        for k in order.tolist():
+            at, number, a, b = int(text[k]), int(item[k]), int(begin[k]), int(end[k])
+            if (at, number) == done:
+                continue
+            leak = self._compare(self.items[number], hashed, found, at, a, b)
+            if leak:
+                done, start = (at, number), places[at]
+                first = len(data[start : found.starts[leak["a"]]].tobytes().decode())
+                last = len(data[start : found.ends[leak["b"] - 1]].tobytes().decode())
+                own = {"item": number, "overlap": leak["overlap"], "answer": leak["answer"]}
+                out[at].append(own | {"cosine": self._cosine(term[a:b], number), "begin": first, "end": last})
+
+    def _overlaps(self, item: np.ndarray, low: np.ndarray, high: np.ndarray, hashed: np.ndarray, term: np.ndarray) -> np.ndarray:
+        """``common_subsequence`` of each item and its stretch of words, for items of at most 64 words."""
+        inside = np.flatnonzero(term >= 0)
+        word = np.searchsorted(self.vocabulary, hashed[inside])
+        same = self.vocabulary[np.minimum(word, len(self.vocabulary) - 1)] == hashed[inside]
+        inside, word = inside[same], word[same]
+        left, right = np.searchsorted(inside, low), np.searchsorted(inside, high)
+        order = np.argsort(left - right, kind="stable")
+        item, left, count = item[order], left[order], (right - left)[order]
+        full = ~np.uint64(0) >> (np.uint64(64) - np.minimum(self.sizes, 64).astype(np.uint64))[item]
+        free = full.copy()
+        for n in range(int(count[0]) if len(count) else 0):
+            k = int(np.searchsorted(-count, -n, "left"))  # those with more than n words
+            some = free[:k]
+            taken = some & self.masks[item[:k], word[left[:k] + n]]
+            free[:k] = (some + taken | some & ~taken) & full[:k]
+        out = np.zeros(len(order), np.int64)
+        out[order] = np.minimum(self.sizes, 64)[item] - np.bitwise_count(free)
+        return out
+
+    def _cosine(self, term: np.ndarray, item: int) -> float:
+        """Of a window and an item, in the space."""
+        known = term[term >= 0]
+        image = self.weight[known] @ self.space[known]
+        norms = float(np.linalg.norm(image) * np.linalg.norm(self.images[:, item]))
+        return float(image @ self.images[:, item]) / norms if norms else 0.0
 
     def _compare(self, item: Item, hashed: np.ndarray, found: words.Words, text: int, a: int, b: int) -> dict | None:
         params = self.params
@@ -260,16 +406,6 @@ class Searcher:
         return None
 
 
-def _windows(first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of the windows of each text, a quarter of a window apart, and their text."""
-    step, sizes = max(1, length // 4), np.diff(first)
-    counts = np.where(sizes > 0, 1 + np.maximum(0, -(-(sizes - length) // step)), 0)
-    text = np.repeat(np.arange(len(sizes)), counts)
-    number = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
-    begin = np.minimum(first[text] + number * step, np.maximum(first[text + 1] - length, first[text]))
-    return begin, np.minimum(begin + length, first[text + 1]), text
-
-
 def find_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakParams()) -> DataFrame:
     """All rows and columns of ``docs``, and ``leaks``, the items found in each text, as structs of
     ``item_id, cosine, overlap, answer, begin, end``.
@@ -286,13 +422,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakP
     counts = document_frequencies(narrow, params.bits)
     idf = np.log((total + 1) / (counts + 1)).astype("f4") + np.float32(0.05)
     shipped = tables.ship(spark, {"idf": idf.tobytes()})
-    every = F.pmod(F.xxhash64("text"), F.lit(max(1, total // params.sample))) == 0
-    work = tables.Workspace(spark)
-    passages = F.explode(F.split("text", r"\n")).alias("text")
-    # Copies of a text have the same hash; one of them is enough, however many there are.
-    sample = work.store(narrow.filter(every).distinct().select(passages))
     items = benchmark.filter("text is not null").select("item_id", "text")
     passes = max(1, -(-items.count() // params.items))
+    work = tables.Workspace(spark)
     span = "item_id: bigint, cosine: double, overlap: double, answer: double, begin: bigint, end: bigint"
     out = docs.withColumn(name, F.expr(f"cast(array() as array<struct<{span}>>)"))
     for number in range(passes):
@@ -301,12 +433,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakP
         data = np.frombuffer(b"".join(t for _, t in rows), np.uint8)
         sizes = np.array([len(t) for _, t in rows], np.int64)
         places = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        terms = np.unique(_buckets(data, places, params.bits)[2])
+        found, _, bucket = _buckets(data, places, params.bits)
+        terms = np.unique(bucket)
         if not len(terms):
             continue
-        # Items count several times, so that the space leaves none of them out.
-        wanted = chosen.select("text").withColumn("_copies", F.explode(F.sequence(F.lit(1), F.lit(4)))).drop("_copies")
-        space = latent_space(work.store(wanted.unionByName(sample)), shipped, terms, params)
+        vectors = item_vectors(np.searchsorted(terms, np.arange(1 << params.bits)), idf, bucket, found.first, len(terms))
+        matrix = work.store(passages(narrow, shipped, terms, params))
+        space = latent_space(matrix, idf[terms], vectors, params)
+        work.drop(matrix)
         model = {"terms": terms.tobytes(), "space": space.tobytes(), "texts": data.tobytes(), "sizes": sizes.tobytes()}
         out = _searched(out, tables.ship(spark, model | {"idf": idf.tobytes()}), [i for i, _ in rows], params)
     return out

@@ -279,6 +279,62 @@ def test_decontamination_finds_every_item_of_the_given_tables(spark, odd):
     assert kept.columns[:-1] == odd.columns and kept.count() == odd.count()
 
 
+def rarely_replaced(text, share, seed):
+    """The text with a share of its words replaced by words that occur nowhere else."""
+    rng, made = random.Random(seed), text.split()
+    for n, i in enumerate(rng.sample(range(len(made)), int(share * len(made)))):
+        made[i] = f"zq{seed}x{n}"
+    return " ".join(made)
+
+
+def plain_leaks(texts, items, params):
+    """``(text, item)`` where a window of the text, with as many words around it as the item has, holds it."""
+    def split(text):
+        return regex.findall(r"[a-z0-9]+", text.lower())
+
+    out = set()
+    for i, item in items:
+        size, answer = len(split(item)), split([x for x in item.split(".") if split(x)][-1])
+        whole, last = decontamination._bits(split(item)), decontamination._bits(answer)
+        length = 1 << size.bit_length() - 1
+        for d, text in texts:
+            made = split(text)
+            left = max(0, len(made) - length)
+            for begin in [*range(0, left, max(1, length // 4)), left]:
+                region = made[max(0, begin - size) : begin + length + size]
+                overlap = decontamination.common_subsequence(whole, size, region) / size
+                own = decontamination.common_subsequence(last, len(answer), region) / len(answer)
+                if overlap >= params.overlap or overlap >= params.overlap_with_answer and own >= params.answer:
+                    out.add((d, i))
+                    break
+    return out
+
+
+def leaks_in_long_documents(spark, shares, params):
+    """What is found, and by comparing all windows, in long documents with items, words of them replaced."""
+    items = [(i, f"{prose(i, 30)} {prose(900 + i, 8)}") for i in range(120)]
+    texts = []
+    for d in range(5):
+        parts = [prose(4000 + d, 80)]
+        for n in range(12):
+            text = rarely_replaced(items[12 * d + n][1], shares[n % len(shares)], 100 * d + n)
+            # Words of the item out of order stand elsewhere in the document, twice.
+            loose = random.Random(n).sample(text.split(), 18)
+            parts += [" ".join(loose + loose), prose(5000 + 20 * d + n, 70), text, prose(6000 + 20 * d + n, 70)]
+        texts.append((d, " ".join(parts)))
+    rows = texts + [(1000 + i, prose(7000 + i, 60)) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.decontaminate(docs, benchmark, params).collect()
+    assert len({(r.doc_id, r.item_id) for r in found}) == len(found)
+    return {(r.doc_id, r.item_id) for r in found if r.doc_id < 1000}, plain_leaks(texts, items, params)
+
+
+def test_decontamination_checks_all_windows_of_long_documents(spark):
+    found, expected = leaks_in_long_documents(spark, (0,), decontamination.LeakParams(rank=32))
+    assert found == expected and {(n // 12, n) for n in range(60)} <= found
+
+
 def test_arrays_are_summed_in_levels(spark, monkeypatch):
     def arrays(batches):
         for batch in batches:
