@@ -335,6 +335,24 @@ def test_decontamination_checks_all_windows_of_long_documents(spark):
     assert found == expected and {(n // 12, n) for n in range(60)} <= found
 
 
+def test_decontamination_finds_items_with_rare_words_in_them(spark):
+    found, expected = leaks_in_long_documents(spark, (0.1, 0.15, 0.2), decontamination.LeakParams())
+    assert found == expected and {(n // 12, n) for n in range(60)} <= found
+
+
+def test_least_share_is_the_least_of_all_choices():
+    params, rng = decontamination.LeakParams(least_words=3), np.random.default_rng(5)
+    for _ in range(20):
+        gain, answer = rng.random(9), int(rng.integers(1, 9))
+        sums = []
+        for chosen in range(1 << 9):
+            taken = np.array([chosen >> i & 1 for i in range(9)], bool)
+            share, own = taken.mean(), taken[9 - answer :].mean()
+            if share >= params.overlap or share >= params.overlap_with_answer and own >= params.answer:
+                sums.append(gain[taken].sum())
+        assert np.isclose(decontamination.least_share(gain, answer, params), min(sums))
+
+
 def test_arrays_are_summed_in_levels(spark, monkeypatch):
     def arrays(batches):
         for batch in batches:
