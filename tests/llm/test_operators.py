@@ -353,6 +353,27 @@ def test_least_share_is_the_least_of_all_choices():
         assert np.isclose(decontamination.least_share(gain, answer, params), min(sums))
 
 
+def test_space_is_made_from_the_lines_of_all_documents(spark):
+    params = decontamination.LeakParams(bits=12)
+    texts = [f"{prose(i, 12)}\n{prose(3000 + i, 7)}" for i in range(450)]
+    docs = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "text string")
+    idf = np.random.default_rng(1).random(1 << 12).astype("f4") + np.float32(0.1)
+    terms = np.arange(0, 1 << 12, 3)
+    plain = np.zeros((900, 1 << 12))
+    for row, line in enumerate(x for t in texts for x in t.split("\n")):
+        data = np.frombuffer(line.encode(), np.uint8)
+        bucket = decontamination._buckets(data, np.array([0, len(data)]), 12)[2]
+        np.add.at(plain[row], bucket, idf[bucket] / np.sqrt((idf[bucket] ** 2).sum()))
+    shipped = tables.ship(spark, {"idf": idf.tobytes()})
+    matrix = tables.Workspace(spark).store(decontamination.passages(docs, shipped, terms, params))
+    basis = np.random.default_rng(2).normal(size=(len(terms), 5))
+    got = decontamination._products(matrix, idf[terms], basis)
+    assert np.allclose(got, plain[:, terms].T @ (plain[:, terms] @ basis), atol=1e-3)
+    items = np.random.default_rng(3).random((len(terms), 4))
+    space = decontamination.latent_space(matrix, idf[terms], items, params)
+    assert space.shape[1] == params.rank + 4 and np.allclose(space @ (space.T @ items), items, atol=1e-3)
+
+
 def test_arrays_are_summed_in_levels(spark, monkeypatch):
     def arrays(batches):
         for batch in batches:
