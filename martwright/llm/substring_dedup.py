@@ -1,7 +1,8 @@
 """Substring dedup: units of lines are hashed, and repeated stretches of them removed.
 
-A line is cut into units at ends of sentences and after anchor words, which a hash of the word
-picks; so a passage falls into equal units wherever it stands in a line. Units are normalised to
+A line is cut into units at ends of sentences and after anchor words, those with the smallest hash of
+any ``anchors`` neighbouring words of a sentence; so a passage falls into equal units wherever it
+stands in a line, but for its first and last words, and no unit is longer than that. Units are normalised to
 their letters and digits in lower case and grouped by a 96-bit digest over all documents. The
 occurrence that ranks first, by document id and place, stays. Runs of neighbouring repeats with
 enough words are removed; shorter ones, such as common phrases, are left alone.
@@ -22,10 +23,11 @@ from martwright.llm import tables, words
 
 @dataclass(frozen=True)
 class DedupParams:
-    """A run of repeats is removed from ``least_words`` on; one word in ``anchors`` ends a unit."""
+    """A run of repeats is removed from ``least_words`` on; of any ``anchors`` neighbouring words of a
+    sentence one at least ends a unit."""
 
     least_words: int = 20
-    anchors: int = 16
+    anchors: int = 8
 
 
 #: Bytes that end a sentence or a line.
@@ -46,11 +48,25 @@ def cut_units(data: np.ndarray, places: np.ndarray, params: DedupParams) -> tupl
     ends = np.concatenate([[0], np.cumsum(_ENDS[data])])
     opens = np.ones(len(hashed), bool)
     opens[1:] = ends[found.starts[1:]] > ends[found.ends[:-1]]
-    opens[1:] |= hashed[:-1] % np.uint64(params.anchors) == 0
     opens[found.first[:-1][np.diff(found.first) > 0]] = True
+    opens[1:] |= anchor_words(hashed, np.cumsum(opens), params.anchors)[:-1]
     return found, hashed, np.append(np.flatnonzero(opens), len(hashed))
 
 
+def anchor_words(hashed: np.ndarray, sentence: np.ndarray, width: int) -> np.ndarray:
+    """Whether a word has the smallest hash, the last of equal ones, of ``width`` neighbours in its sentence."""
+    out, count = np.zeros(len(hashed), bool), len(hashed) - width + 1
+    if count > 0:
+        mixed = words.mix(hashed + np.uint64(53))
+        least, at = mixed[:count].copy(), np.zeros(count, np.int64)
+        for n in range(1, width):
+            lower = mixed[n : n + count] <= least
+            least[lower], at[lower] = mixed[n : n + count][lower], n
+        begin = np.flatnonzero(sentence[:count] == sentence[width - 1 :])
+        out[begin + at[begin]] = True
+    return out
+
+
 def prints(data: np.ndarray, places: np.ndarray) -> np.ndarray:
     """A hash of each whole text in the upper half of 64 bits."""
     whole = words.Words(places[:-1], places[1:], np.arange(len(places)))

@@ -77,6 +77,35 @@ def test_passage_inside_lines_is_cut_and_clean_text_stays(spark):
         assert left <= 24 and prose(50 + i, 40)[-60:] in cut[i]
 
 
+def unpunctuated(seed, size, alphabet):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices(alphabet, k=rng.randint(2, 7))) for _ in range(size))
+
+
+def test_passages_of_50_words_without_sentence_ends_are_cut_in_all_scripts(spark):
+    rows, kept = [], {}
+    for a, alphabet in enumerate(("etaoinshrdlu", "enisratäöüßdh", "esaitnruloéèç", "eaosrnidñóíl", "оеаинтсрвл")):
+        for n in range(20):
+            key = 1000 * a + 10 * n
+            passage = unpunctuated(key, 50, alphabet)
+            for i in (0, 1):
+                made = [unpunctuated(90_000 + key + 3 * i, 30, alphabet), passage, unpunctuated(95_000 + key + 3 * i, 30, alphabet)]
+                rows.append((key + i, " ".join(made)))
+            kept[key + 1] = made[0], passage, made[2]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cut = {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs).collect()}
+    for key, (before, passage, after) in kept.items():
+        assert cut[key].startswith(before) and cut[key].endswith(after)
+        assert len(cut[key].split()) <= 60 + 50 - 20
+        # All places where 20 words of the passage stand in both documents, by comparing them.
+        runs = {tuple(passage.split()[i : i + 31]) for i in range(20)}
+        left = cut[key].split()
+        assert not any(tuple(left[i : i + 31]) in runs for i in range(len(left)))
+    data = np.frombuffer(rows[0][1].encode(), np.uint8)
+    cuts = substring_dedup.cut_units(data, np.array([0, len(data)]), substring_dedup.DedupParams())[2]
+    assert np.diff(cuts).max() <= 16
+
+
 def test_substring_dedup_of_odd_rows(spark, odd):
     out = substring_dedup.remove_repeats(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
