@@ -25,8 +25,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without stretches of text that an earlier place has; ``n_chars`` follows."""
-    cut = substring_dedup.remove_repeats(docs)
+    """All documents, without stretches and lines that an earlier place has; ``n_chars`` follows."""
+    cut = substring_dedup.remove_repeats(docs, substring_dedup.DedupParams(least_line_words=3))
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -25,7 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.removed_spans(read(spark, sf_dir, "documents"))
+    return substring_dedup.removed_spans(read(spark, sf_dir, "documents"), substring_dedup.DedupParams(least_line_words=3))
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

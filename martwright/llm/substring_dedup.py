@@ -5,7 +5,8 @@ any ``anchors`` neighbouring words of a sentence; so a passage falls into equal
 stands in a line, but for its first and last words, and no unit is longer than that. Units are normalised to
 their letters and digits in lower case and grouped by a 96-bit digest over all documents. The
 occurrence that ranks first, by document id and place, stays. Runs of neighbouring repeats with
-enough words are removed; shorter ones, such as common phrases, are left alone.
+enough words are removed; shorter ones, such as common phrases, are left alone, unless they are whole
+lines, which are grouped by a digest of their own.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ from martwright.llm import tables, words
 @dataclass(frozen=True)
 class DedupParams:
     """A run of repeats is removed from ``least_words`` on; of any ``anchors`` neighbouring words of a
-    sentence one at least ends a unit."""
+    sentence one at least ends a unit. A line that repeats a whole line is removed from
+    ``least_line_words`` on; 0 leaves lines to the rule for runs."""
 
     least_words: int = 20
     anchors: int = 8
+    least_line_words: int = 0
 
 
 #: Bytes that end a sentence or a line.
@@ -36,7 +39,7 @@ _ENDS = np.isin(np.arange(256), np.frombuffer(ENDS, np.uint8))
 #: Rank of a document without an id: after all others.
 _LAST = (1 << 63) - 1
 
-UNITS = "high long, low int, rank long, place long, words int, begin int, end int"
+UNITS = "high long, low int, rank long, place long, words int, begin int, end int, last int"
 
 
 def cut_units(data: np.ndarray, places: np.ndarray, params: DedupParams) -> tuple[words.Words, np.ndarray, np.ndarray]:
@@ -92,17 +95,35 @@ def units(docs: DataFrame, params: DedupParams) -> DataFrame:
                 first = np.searchsorted(text, np.arange(len(places)))
                 chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
                 unit = np.arange(len(text)) - first[text]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "high": words.stretches(hashed, cuts[:-1], cuts[1:]).view(np.int64),
-                        "low": words.stretches(words.mix(hashed + np.uint64(97)), cuts[:-1], cuts[1:]).astype(np.int32),
-                        "rank": ids[row + text],
-                        "place": prints(data, places)[text] | unit,
-                        "words": np.diff(cuts).astype(np.int32),
-                        "begin": (chars[found.starts[cuts[:-1]]] - chars[places[text]]).astype(np.int32),
-                        "end": (chars[found.ends[cuts[1:] - 1]] - chars[places[text]]).astype(np.int32),
-                    }
-                )
+                printed = prints(data, places)
+
+                def rows(hashed: np.ndarray, a: np.ndarray, b: np.ndarray, lines: bool) -> pa.RecordBatch:
+                    """Of the stretches from the first word of unit a to the last one before unit b."""
+                    begin, end, of = cuts[a], cuts[b], text[a]
+                    return pa.RecordBatch.from_pydict(
+                        {
+                            "high": words.stretches(hashed, begin, end).view(np.int64),
+                            "low": words.stretches(words.mix(hashed + np.uint64(97)), begin, end).astype(np.int32),
+                            "rank": ids[row + of],
+                            "place": printed[of] | unit[a],
+                            "words": (end - begin).astype(np.int32),
+                            "begin": (chars[found.starts[begin]] - chars[places[of]]).astype(np.int32),
+                            "end": (chars[found.ends[end - 1]] - chars[places[of]]).astype(np.int32),
+                            "last": pa.array(unit[b - 1], pa.int32()) if lines else pa.nulls(len(a), pa.int32()),
+                        }
+                    )
+
+                yield rows(hashed, np.arange(len(text)), np.arange(1, len(cuts)), False)
+                if params.least_line_words:
+                    breaks = np.concatenate([[0], np.cumsum(data == 10)])
+                    opens = breaks[found.starts[cuts[1:-1]]] > breaks[found.ends[cuts[1:-1] - 1]]
+                    opens |= text[1:] != text[:-1]
+                    a = np.flatnonzero(np.append(True, opens))
+                    b = np.append(a[1:], len(text))
+                    # Those with as many words as a run needs are removed as runs.
+                    sizes = cuts[b] - cuts[a]
+                    some = (sizes >= params.least_line_words) & (sizes < params.least_words)
+                    yield rows(words.mix(hashed + np.uint64(31)), a[some], b[some], True)
 
     ranked = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("rank"), "text")
     return ranked.mapInArrow(run, UNITS)
@@ -123,16 +144,25 @@ def repeats(docs: DataFrame, params: DedupParams, spans: bool) -> DataFrame:
     later = all_units.join(firsts, digest).filter(F.struct("rank", "place") > F.struct("first.rank", "first.place"))
     print_, unit = F.expr("shiftright(place, 32)").alias("print"), F.expr("place & 4294967295").alias("unit")
     kept = ["begin", "end", F.struct("first.rank", "first.begin").alias("kept")] if spans else []
-    found = later.select("rank", print_, unit, "words", *kept)
+    found = later.select("rank", print_, unit, "words", F.col("last").isNotNull().alias("line"), "last", *kept)
     # One shuffle by document serves all that follows. Repeated rows give a unit more than once.
-    by_unit = Window.partitionBy("rank", "print").orderBy("unit")
-    found = found.withColumn("before", F.lag("unit").over(by_unit)).filter("before is null or before <> unit")
-    # Neighbouring units differ from their number among the repeats of a document by the same amount.
-    runs = found.withColumn("run", F.col("unit") - F.row_number().over(by_unit)).groupBy("rank", "print", "run")
-    measures = [F.min("unit").alias("first_unit"), F.max("unit").alias("last_unit"), F.sum("words").alias("words")]
+    by_unit = Window.partitionBy("rank", "print").orderBy("line", "unit")
+    found = found.withColumn("before", F.lag(F.struct("line", "unit")).over(by_unit))
+    found = found.filter(F.col("before").isNull() | (F.col("before") != F.struct("line", "unit")))
+    # Neighbouring units differ from their number among the repeats of a document by the same amount,
+    # -1 or more; each line is by itself.
+    run = F.when(F.col("line"), -2 - F.col("unit")).otherwise(F.col("unit") - F.row_number().over(by_unit))
+    runs = found.withColumn("run", run).groupBy("rank", "print", "run")
+    last = F.max(F.coalesce("last", "unit")).alias("last_unit")
+    measures = [F.min("unit").alias("first_unit"), last, F.sum("words").alias("words"), F.max("line").alias("line")]
     if spans:
         measures += [F.min("begin").alias("begin"), F.max("end").alias("end"), F.min_by("kept", "unit").alias("kept")]
-    return runs.agg(*measures).filter(F.col("words") >= params.least_words).drop("run")
+    out = runs.agg(*measures).filter(F.col("line") | (F.col("words") >= params.least_words)).drop("run")
+    if params.least_line_words:  # the units of a repeated line are repeats, so a run has all of them or none
+        earlier = Window.partitionBy("rank", "print").orderBy("first_unit", F.desc("last_unit"))
+        covered = F.max("last_unit").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+        out = out.withColumn("covered", covered).filter("covered is null or covered < last_unit").drop("covered")
+    return out.drop("line")
 
 
 def removed_spans(docs: DataFrame, params: DedupParams = DedupParams()) -> DataFrame:

@@ -106,6 +106,24 @@ def test_passages_of_50_words_without_sentence_ends_are_cut_in_all_scripts(spark
     assert np.diff(cuts).max() <= 16
 
 
+def test_repeated_short_lines_are_removed(spark):
+    params = substring_dedup.DedupParams(least_line_words=3)
+    short, whole = "Read more about this here.", prose(7, 40)
+    texts = [f"{prose(i, 12)}\n{short}\n{prose(50 + i, 9)}\nMore here\n{short}" for i in range(40)]
+    texts += [f"{prose(90, 5)}\n{whole}\n{short}", f"{prose(91, 5)}\n{whole}\n{short}\nsays: {short}"]
+    docs = spark.createDataFrame([*enumerate(texts), (None, short)], "doc_id long, text string")
+    seen, expected = set(), {}
+    for i, text in [*enumerate(texts), (None, short)]:
+        lines = text.split("\n")
+        keep = [x if len(x.split()) < 3 or x not in seen and not lines[:n].count(x) else "" for n, x in enumerate(lines)]
+        seen |= set(lines)
+        expected[i] = [x.rstrip(".") for x in keep if x]
+    for i, r in {r.doc_id: r for r in substring_dedup.remove_repeats(docs, params).collect()}.items():
+        assert [x.strip().rstrip(".") for x in r.text.split("\n") if x.strip(" .\n")] == expected[i]
+    spans = sorted((str(r.doc_id), r.begin, r.end) for r in substring_dedup.removed_spans(docs, params).collect())
+    assert all(a[0] != b[0] or a[2] <= b[1] for a, b in zip(spans, spans[1:]))
+
+
 def test_substring_dedup_of_odd_rows(spark, odd):
     out = substring_dedup.remove_repeats(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
