@@ -1,6 +1,6 @@
 """Licence scans: a trained paragraph classifier, confirmed against templates.
 
-Paragraphs are lines. A softmax regression over hashed words, pairs and triples of words tells the
+Paragraphs are lines, and neighbouring lines over which a notice is wrapped. A softmax regression over hashed words, pairs and triples of words tells the
 licence families apart and from everything else, the unknown class. It is trained on the templates,
 whole, in part and with words lost or replaced, and on paragraphs of a bounded sample of documents;
 its temperature is fitted on examples held back. What it takes for a licence is compared with the
@@ -72,7 +72,8 @@ FAMILIES = list(TEMPLATES)
 
 @dataclass(frozen=True)
 class LicenseParams:
-    """``sample`` is about how many documents the unknown class is learned from."""
+    """``sample`` is about how many documents the unknown class is learned from; a notice is looked for
+    over up to ``most_lines`` lines."""
 
     sample: int = 300
     bits: int = 16
@@ -80,6 +81,7 @@ class LicenseParams:
     rounds: int = 50
     threshold: float = 0.5
     least_match: float = 0.75
+    most_lines: int = 16
 
 
 def template_words(text: str) -> list[bytes]:
@@ -122,6 +124,33 @@ def paragraphs(data: np.ndarray, places: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([places, np.flatnonzero(data == 10) + 1]))
 
 
+def wrapped(found: words.Words, hashed: np.ndarray, text: np.ndarray, params: LicenseParams) -> list[tuple[int, int]]:
+    """First and after the last line of neighbouring lines of a text that may hold a template which none
+    of them holds alone, by the number of its words; no blank line is among them."""
+    templates = [" ".join(map(bytes.decode, template_words(t))).encode() for ts in TEMPLATES.values() for t in ts]
+    ends = np.concatenate([[0], np.cumsum([len(t) for t in templates])])
+    own, keys = _hashed(np.frombuffer(b"".join(templates), np.uint8), ends)
+    vocabulary = np.unique(keys)
+    # One more row, of zeros, for words of no template.
+    table = np.zeros((len(vocabulary) + 1, len(templates)), np.int32)
+    table[np.searchsorted(vocabulary, keys), own.text] = 1
+    at = np.minimum(np.searchsorted(vocabulary, hashed), len(vocabulary) - 1)
+    at[vocabulary[at] != hashed] = len(vocabulary)
+    per_line = words.sums_by(table[at], found.first)
+    counts = np.concatenate([np.zeros((1, len(templates))), np.cumsum(per_line, axis=0)])
+    blank = np.concatenate([[0], np.cumsum(np.diff(found.first) == 0)])
+    least = params.least_match * np.diff(own.first)
+    out = []
+    for lines in range(2, min(params.most_lines, len(text)) + 1):
+        low = np.arange(len(text) - lines + 1)
+        low = low[(text[low] == text[low + lines - 1]) & (blank[low] == blank[low + lines])]
+        # The first and the last line have words of the template, else fewer lines do.
+        enough = counts[low + lines] - counts[low] >= least
+        enough &= (per_line[low] > 0) & (per_line[low + lines - 1] > 0)
+        out += [(a, a + lines) for a in low[enough.any(axis=1)].tolist()]
+    return out
+
+
 def _hashed(data: np.ndarray, places: np.ndarray) -> tuple[words.Words, np.ndarray]:
     found = words.find_words(data, places, words.ALNUM)
     return found, words.hash_words(data, found, lower=True)[0]
@@ -185,7 +214,8 @@ def train(docs: DataFrame, params: LicenseParams = LicenseParams()) -> dict[str,
     """
     texts = docs.select("text")
     every = max(1, texts.count() // params.sample)
-    chosen = texts.filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).limit(2 * params.sample)
+    # Copies of a text have the same hash; one of them is taken.
+    chosen = texts.filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).distinct().limit(2 * params.sample)
     return tables.fit_in_one_task(chosen, lambda batches: fit(batches, params))
 
 
@@ -193,7 +223,8 @@ def scan(docs: DataFrame, model: dict[str, bytes], params: LicenseParams = Licen
     """``doc_id, paragraph, begin, end, family, probability, similarity, confirmed``, one row per
     paragraph that the classifier takes for a licence.
 
-    ``paragraph`` counts lines from 0; ``begin`` and ``end`` are its places in characters.
+    ``paragraph`` counts lines from 0; ``begin`` and ``end`` are its places in characters. A notice over
+    several lines is one paragraph, that of its first line, and its lines aren't reported on their own.
     ``confirmed`` says whether the paragraph has, in order, at least ``least_match`` of a template of
     the family. NULL and empty texts have no paragraphs; repeated rows are reported repeatedly.
     """
@@ -207,6 +238,16 @@ def scan(docs: DataFrame, model: dict[str, bytes], params: LicenseParams = Licen
         weights = np.frombuffer(shipped.value["weights"], np.float32).reshape(-1, len(FAMILIES) + 1)
         bias = np.frombuffer(shipped.value["bias"])
         templates = {f: [template_words(t) for t in ts] for f, ts in TEMPLATES.items()}
+
+        def judge(data: np.ndarray, found: words.Words, chance: np.ndarray, at: int, to: int) -> dict:
+            """Of the lines from ``at`` to before ``to``, compared with the templates of the likeliest family."""
+            family, own = FAMILIES[int(chance[1:].argmax())], slice(found.first[at], found.first[to])
+            plain = [data[a:b].tobytes().lower() for a, b in zip(found.starts[own], found.ends[own])]
+            similarity = max(match(plain, t) for t in templates[family])
+            confirmed = similarity >= params.least_match
+            out = {"at": at, "to": to, "family": family, "probability": float(chance[1:].max())}
+            return out | {"similarity": similarity, "confirmed": confirmed}
+
         for batch in batches:
             rows: dict[str, list] = {name: [] for name in ("row", *_names)}
             for first, _, data, places in words.blocks(batch):
@@ -215,27 +256,32 @@ def scan(docs: DataFrame, model: dict[str, bytes], params: LicenseParams = Licen
                 x = _grams(hashed, found.first, params.bits)
                 chance = linear.softmax(bias + words.sums_by(weights[x.index] * x.value[:, None], x.first))
                 chance[np.diff(found.first) == 0] = 0
-                for at in np.flatnonzero(chance[:, 1:].max(axis=1, initial=0) >= params.threshold):
-                    family = FAMILIES[int(chance[at, 1:].argmax())]
-                    text = int(np.searchsorted(places, lines[at], "right")) - 1
-                    plain = [
-                        data[a:b].tobytes().lower()
-                        for a, b in zip(
-                            found.starts[found.first[at] : found.first[at + 1]],
-                            found.ends[found.first[at] : found.first[at + 1]],
-                        )
-                    ]
-                    similarity = max(match(plain, t) for t in templates[family])
+                of = np.searchsorted(places, lines[:-1], "right") - 1
+                judged = [judge(data, found, x, at, at + 1) for at, x in enumerate(chance) if x[1:].max() >= params.threshold]
+                alone = {r["at"] for r in judged if r["confirmed"]}
+                several = [(a, b) for a, b in wrapped(found, hashed, of, params) if alone.isdisjoint(range(a, b))]
+                if several:
+                    sizes = [found.first[b] - found.first[a] for a, b in several]
+                    joined = np.concatenate([hashed[found.first[a] : found.first[b]] for a, b in several])
+                    x = _grams(joined, np.concatenate([[0], np.cumsum(sizes)]), params.bits)
+                    whole = linear.softmax(bias + words.sums_by(weights[x.index] * x.value[:, None], x.first))
+                    notices = [judge(data, found, x, *ab) for x, ab in zip(whole, several) if x[1:].max() >= params.threshold]
+                    # The most of a template first, then the fewest lines; no line is in two notices.
+                    taken: set[int] = set()
+                    notices = [r for r in notices if r["confirmed"]]
+                    for r in sorted(notices, key=lambda r: (-r["similarity"], r["to"] - r["at"], r["at"])):
+                        if taken.isdisjoint(range(r["at"], r["to"])):
+                            taken |= set(range(r["at"], r["to"]))
+                            judged = [j for j in judged if not r["at"] <= j["at"] < r["to"]] + [r]
+                for r in sorted(judged, key=lambda r: r["at"]):
+                    at, end = r.pop("at"), r.pop("to")
+                    text = int(of[at])
                     begin = len(data[places[text] : lines[at]].tobytes().decode())
-                    shown = data[lines[at] : lines[at + 1]].tobytes().decode().rstrip("\n")
-                    rows["row"].append(first + text)
-                    rows["paragraph"].append(int(at - np.searchsorted(lines, places[text])))
-                    rows["begin"].append(begin)
-                    rows["end"].append(begin + len(shown))
-                    rows["family"].append(family)
-                    rows["probability"].append(float(chance[at, 1:].max()))
-                    rows["similarity"].append(similarity)
-                    rows["confirmed"].append(similarity >= params.least_match)
+                    shown = data[lines[at] : lines[end]].tobytes().decode().rstrip("\n")
+                    line = int(at - np.searchsorted(lines, places[text]))
+                    r |= {"row": first + text, "paragraph": line, "begin": begin, "end": begin + len(shown)}
+                    for name, value in r.items():
+                        rows[name].append(value)
             ids = batch.column(batch.schema.get_field_index("doc_id")).take(pa.array(rows.pop("row"), pa.int64()))
             values = [pa.array(rows[name], kind) for name, kind in _names.items()]
             yield pa.RecordBatch.from_arrays([ids, *values], ["doc_id", *_names])

@@ -192,6 +192,24 @@ def test_license_scan(spark):
     assert license_scan.license_scan(docs.limit(0)).count() == 0
 
 
+def test_wrapped_license_notices_are_found_whole(spark):
+    rows, families = [], {}
+    for family, templates in license_scan.TEMPLATES.items():
+        for t in (t for t in templates if len(t.split()) >= 18):
+            for width in (6, 11):
+                made = t.split()
+                lines = [" ".join(["#", *made[i : i + width]]) for i in range(0, len(made), width)]
+                families[len(rows)] = family, "\n".join(lines)
+                rows.append((len(rows), f"{prose(len(rows), 40)}\n\n" + "\n".join(lines) + f"\n\n{prose(60 + len(rows), 40)}"))
+    plain = [(100 + i, "\n".join(prose(300 + 9 * i + k, 8) for k in range(9))) for i in range(20)]
+    docs = spark.createDataFrame(rows + plain, "doc_id long, text string")
+    confirmed = {r.doc_id: r for r in license_scan.license_scan(docs).collect() if r.confirmed}
+    assert set(confirmed) == set(families) and len(families) >= 6
+    for i, (family, notice) in families.items():
+        r = confirmed[i]
+        assert r.family == family and r.paragraph == 2 and rows[i][1][r.begin : r.end] == notice
+
+
 def accuracy(scored, labels, label):
     rows = scored.filter("held_out").join(labels, "doc_id").select(label, "predicted").collect()
     return sum(r[0] == r[1] for r in rows) / len(rows)
