@@ -12,8 +12,11 @@ from martwright.llm import (
     jaccard_join,
     license_scan,
     packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
+    source_divergence,
+    source_mixing,
     substring_dedup,
     token_counts,
     toxicity,
@@ -65,9 +68,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mixing.words_taken(read(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.source_divergence(read(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = periodic_runs.plant(read(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.periodic_runs(planted))
+
+
 def registry() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
 
 def oracle() -> dict[str, str]:
-    return {"op8_url_filters": url_filter.oracle_sql()}
+    return {
+        "op8_url_filters": url_filter.oracle_sql(),
+        "op11_source_mixing": source_mixing.oracle_sql(),
+        "op12_source_divergence": source_divergence.oracle_sql(),
+    }
