@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 import warnings
 from datetime import date
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from martwright.functions.frames import for_each
+from martwright.sources import records
 
 # Fixed value: the day folder directly above the file.
 EXTRACT_DATE = r"/([0-9]{4}-[0-9]{2}-[0-9]{2})/[^/]+$"
@@ -35,8 +35,7 @@ def extract_date(path: Column | None = None) -> Column:
 def land(df: DataFrame, root: str, table: str, run_date: date | str, rows_per_file: int = 1_000_000) -> str:
     """Write one day's extract. The same day is replaced, other days stay.
 
-    A quoted value may hold a newline, and such a file can't be split between tasks; files are
-    kept small instead.
+    ``rows_per_file`` bounds what a task that fails writes again.
     """
     path = f"{root}/{table}/{run_date}"
     writer = df.write.mode("overwrite").options(**_DIALECT, **_KEEP_SPACES)
@@ -104,7 +103,7 @@ def latest_day(spark: SparkSession, root: str, table: str) -> tuple[str, DataFra
         header = _header(spark, days[day])
         if header:
             scan, taken = _read(spark, header, days[day]), day
-            if not scan.isEmpty():
+            if not _by_line(spark, header, days[day]).isEmpty():  # a line after the header is enough
                 if day != newest:
                     warnings.warn(f"{table}: no rows found in the folder of {newest}; the extract of {day} is taken")
                 return day, scan
@@ -143,28 +142,23 @@ def _read(spark: SparkSession, header: tuple[str, ...], folders: list[str]) -> D
     """Folders that share ``header``. Spark maps CSV columns by position, so a file whose header
     differs must raise (``enforceSchema`` off) rather than swap its columns silently.
 
-    A file in which a record spans lines is read as a whole, by one task; any other is split between
-    tasks. What a file holds decides, not its size, and each file for itself.
+    All files are split between tasks. Quotes are counted first; where a record spans lines, the file's
+    records are put together by ``records.spanning_records``, all others are read line by line. What a
+    file holds decides, not its size, and each file for itself.
     """
+    columns = [F.col(f"`{name}`") for name in header]
+    lines = records.raw_lines(spark, folders, **_FILES)
+    ranges = records.spanning_ranges(lines)
+    spanning_files = ranges.select(F.col("path").alias("__file")).distinct()
+    by_line = _by_line(spark, header, folders).select(*columns, F.col("_metadata.file_path").alias("__file"))
+    by_line = by_line.join(F.broadcast(spanning_files), "__file", "left_anti")
+    quoting = {name: _DIALECT[name] for name in ("quote", "escape")}
+    spanning = records.parsed(records.spanning_records(lines, ranges), header, **quoting)
+    return by_line.unionByName(spanning).select(
+        *columns, F.col("__file").alias("filename"), extract_date(F.col("__file")).alias("extract_date")
+    )
+
+
+def _by_line(spark: SparkSession, header: tuple[str, ...], folders: list[str]) -> DataFrame:
     schema = StructType([StructField(name, StringType()) for name in header])
-    reader = spark.read.options(**_DIALECT, **_FILES, enforceSchema=False).schema(schema)
-    path, columns = F.col("_metadata.file_path"), [F.col(f"`{name}`") for name in header]
-    named = [*columns, path.alias("filename"), extract_date().alias("extract_date")]
-    whole = _spanning_files(spark, folders)
-    if not whole:
-        return reader.csv(folders).select(*named)
-    split = reader.csv(folders).filter(~path.isin(whole)).select(*named)
-    return split.unionByName(reader.csv([unquote(file) for file in whole], multiLine=True).select(*named))
-
-
-def _spanning_files(spark: SparkSession, folders: list[str]) -> list[str]:
-    """Files that can't be read line by line, which a plain scan by all tasks finds.
-
-    A record that goes on in the next line leaves a line with an odd number of quotes; a CR within a
-    line would be taken for its end. Files that ``land`` wrote are bounded, so the names of such
-    files are few beside their rows.
-    """
-    lines = spark.read.options(**_FILES, lineSep="\n").text(folders).select("value", "_metadata.file_path")
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    spanning = lines.filter((quotes % 2 == 1) | F.col("value").rlike("\r(?!$)"))
-    return sorted(row[0] for row in spanning.select("file_path").distinct().collect())
+    return spark.read.options(**_DIALECT, **_FILES, enforceSchema=False).schema(schema).csv(folders)
