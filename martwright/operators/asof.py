@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 #: Versions of one key from which ``asof_join_by_day`` pays off. Comparing a fact with each of so
 #: many versions costs more than joining it a second time.
 LONG_HISTORY = 500
+#: Keys with long histories that may be broadcast; at 64 bytes a key, some 6 MB.
+MOST_LONG = 100_000
 
 AsofJoin = Callable[[DataFrame, DataFrame, str, str, list[str]], DataFrame]
 
@@ -51,17 +53,33 @@ def asof_join_by_day(fact: DataFrame, dim: DataFrame, key: str, date_col: str, t
     return fact.join(resolved, [key, date_col], "left").select(*fact.columns, *take)
 
 
-def asof_join_split(
-    fact: DataFrame, dim: DataFrame, key: str, date_col: str, take: list[str], long_history: int = LONG_HISTORY
-) -> DataFrame:
-    """Same result as ``asof_join``, each key by the form that suits it.
+def choose_asof_join(dim: DataFrame, key: str, long_history: int = LONG_HISTORY, most_long: int = MOST_LONG) -> AsofJoin:
+    """The as-of join that suits ``dim``, which is aggregated once to find out.
 
-    Keys with more than ``long_history`` versions are found by an aggregate over ``dim`` and joined,
-    never listed, and go through ``asof_join_by_day``; one such key leaves the plan of all others as
-    it is, and where there is none, AQE drops that branch. Both read ``fact``, which should be stored.
+    Without a key of more than ``long_history`` versions it is ``asof_join``. Else those keys go through
+    ``asof_join_by_day``; up to ``most_long`` of them are broadcast to tell the facts apart, since a join on
+    the key that shuffles would keep AQE from splitting a hot key of the as-of join after it. Where there are
+    more, all facts go through ``asof_join_by_day``. The fact is read twice in the second case, so it
+    should be stored.
     """
-    versions = dim.groupBy(key).agg(F.count("*").alias("__versions"))
+    versions = dim.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__versions"))
     long = versions.filter(F.col("__versions") > long_history).select(key)
-    usual = asof_join(fact.join(long, key, "left_anti"), dim, key, date_col, take)
-    many = asof_join_by_day(fact.join(long, key, "left_semi"), dim, key, date_col, take)
-    return usual.unionByName(many).select(*fact.columns, *take)
+    found = long.limit(most_long + 1).count()
+    if not found:
+        return asof_join
+    if found > most_long:
+        return asof_join_by_day
+
+    def split(fact: DataFrame, dim: DataFrame, key: str, date_col: str, take: list[str]) -> DataFrame:
+        usual = asof_join(fact.join(F.broadcast(long), key, "left_anti"), dim, key, date_col, take)
+        many = asof_join_by_day(fact.join(F.broadcast(long), key, "left_semi"), dim, key, date_col, take)
+        return usual.unionByName(many).select(*fact.columns, *take)
+
+    return split
+
+
+def asof_join_split(
+    fact: DataFrame, dim: DataFrame, key: str, date_col: str, take: list[str], long_history: int = LONG_HISTORY
+) -> DataFrame:
+    """Same result as ``asof_join``, each key by the form that suits it."""
+    return choose_asof_join(dim, key, long_history)(fact, dim, key, date_col, take)

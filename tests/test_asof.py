@@ -4,7 +4,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from martwright.operators.asof import asof_join, asof_join_by_day, asof_join_split
+from martwright.operators.asof import asof_join, asof_join_by_day, asof_join_split, choose_asof_join
 
 DIM = "k string, sk string, valid_from timestamp_ntz, valid_to timestamp_ntz"
 
@@ -74,32 +74,63 @@ def test_large_sides_are_merged_by_key_not_broadcast_or_nested(spark, two):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_aqe_splits_a_hot_key_of_the_fact_side(spark):
-    """A third of the facts has one key; with thresholds scaled to the test, its partition is split."""
-    scaled = {
+@pytest.fixture
+def scaled(spark):
+    """Thresholds of AQE scaled to the test: no broadcast by size, skew from 64 kB on."""
+    settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
     }
-    before = {name: spark.conf.get(name, None) for name in scaled}
-    for name, value in scaled.items():
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
         spark.conf.set(name, value)
-    try:
-        rows = spark.range(0, 200_000, 1, 8).select(
-            F.col("id").cast("int").alias("id"),
-            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("k"),
-            F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 60).cast("int")).alias("day"),
-        )
-        keys = [("hot", "h", datetime(1900, 1, 1), datetime(9999, 12, 31))]
-        keys += [(f"k{i}", f"s{i}", datetime(1900, 1, 1), datetime(9999, 12, 31)) for i in range(500)]
-        joined = asof_join(rows, versions(spark, keys), "k", "day", ["sk"])
-        assert len(joined.collect()) == 200_000
-        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def hot_facts(spark):
+    """A third has one key."""
+    return spark.range(0, 200_000, 1, 8).select(
+        F.col("id").cast("int").alias("id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("k"),
+        F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 60).cast("int")).alias("day"),
+    )
+
+
+def hot_versions(spark, long: int):
+    """One version per key, and one key with ``long`` of them."""
+    keys = [(k, k, datetime(1900, 1, 1), datetime(9999, 12, 31)) for k in ["hot", *(f"k{i}" for i in range(500))]]
+    begin = datetime(1900, 1, 1)
+    keys += [("long", f"v{i}", begin + timedelta(days=i), begin + timedelta(days=i + 1)) for i in range(long)]
+    return versions(spark, keys)
+
+
+def test_aqe_splits_a_hot_key_of_the_fact_side(spark, scaled):
+    joined = asof_join(hot_facts(spark), hot_versions(spark, 0), "k", "day", ["sk"])
+    assert len(joined.collect()) == 200_000
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("long", [0, 30])
+def test_hot_keys_are_split_whatever_histories_other_keys_have(spark, scaled, long):
+    dim = hot_versions(spark, long)
+    joined = asof_join_split(hot_facts(spark), dim, "k", "day", ["sk"], long_history=20)
+    assert joined.filter("sk = k").count() == 200_000
+    joined.collect()
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys_with_long_histories_are_split_by_day(spark, scaled):
+    """All keys are long, more than may be broadcast: facts are joined by key and day."""
+    dim = hot_versions(spark, 0)
+    resolve = choose_asof_join(dim, "k", long_history=0, most_long=100)
+    assert resolve is asof_join_by_day
+    joined = resolve(hot_facts(spark), dim, "k", "day", ["sk"])
+    assert joined.filter("sk = k").count() == 200_000
 
 
 @pytest.mark.parametrize("long_history", [0, 1, 2, 500])
