@@ -11,8 +11,11 @@ from martwright.operators.history import (
     first_load,
     mark_first,
     merge_open,
+    next_seen,
     scd2_merge,
     scd2_replay,
+    scd2_splice,
+    splice_changes,
 )
 from martwright.plans.dimensions import type2_dimension
 
@@ -159,3 +162,82 @@ def test_null_keys_stay_out_of_the_joins(spark):
     plan = merge_open(first_load(rows, "k", at(0)), rows, "k", ["status"], at(1))._jdf.queryExecution().optimizedPlan()
     sides = [line for line in plan.toString().split("\n") if "Filter" in line]
     assert any("isnotnull" in line for line in sides)
+
+
+LATE = "k string, status string, note string"
+
+
+def late_extracts(seed, days=6, keys=150):
+    rng = random.Random(seed)
+    return {
+        d: [(f"k{i}", rng.choice(["a", "b", None]), f"n{d}") for i in range(keys) if rng.random() < 0.6]
+        + ([(None, "x", f"n{d}")] if d % 3 == 0 else [])
+        for d in range(days)
+    }
+
+
+@pytest.mark.parametrize("order", [[5, 4, 3, 2, 1, 0], [2, 0, 5, 1, 4, 3], [0, 3, 1, 2, 5, 4]])
+def test_extracts_in_any_order_give_the_history_of_the_replay(spark, order, tmp_path):
+    extracts, done, history = late_extracts(sum(order[:3])), [], None
+
+    def all_of(days):
+        rows = [(*r, at(d + 1)) for d in days for r in extracts[d]]
+        return spark.createDataFrame(rows, f"{LATE}, run_ts timestamp_ntz")
+
+    for n, d in enumerate(order):
+        day = spark.createDataFrame(extracts[d], LATE)
+        if history is None:
+            history = first_load(day, "k", at(d + 1))
+        elif d > max(done):
+            history = scd2_merge(history, day, "k", ["status"], at(d + 1))
+        else:
+            following = next_seen(all_of(done), day, "k", "run_ts", at(d + 1))
+            history = scd2_splice(history, day, following, "k", ["status"], at(d + 1))
+        history.write.parquet(f"{tmp_path}/{n}")
+        history = spark.read.parquet(f"{tmp_path}/{n}")
+        done.append(d)
+    expected = scd2_replay(all_of(range(len(extracts))), "k", ["status"], "run_ts")
+    assert sorted(map(str, history.select(*expected.columns).collect())) == sorted(map(str, expected.collect()))
+
+
+def test_a_late_extract_touches_neighbouring_versions_only(spark):
+    rows = [("x", "a", "1", at(1)), ("x", "b", "2", at(3)), ("x", "a", "3", at(9)), ("y", "a", "4", at(1))]
+    extracts = spark.createDataFrame(rows, f"{LATE}, run_ts timestamp_ntz")
+    history = scd2_replay(extracts, "k", ["status"], "run_ts")
+    late = spark.createDataFrame([("x", "c", "late")], LATE)
+    following = next_seen(extracts, late, "k", "run_ts", at(2))
+    changes = splice_changes(history, late, following, "k", ["status"], at(2)).collect()
+    assert sorted((r.removed, r.status, r.dbt_valid_from, r.dbt_valid_to) for r in changes) == [
+        (False, "a", at(1), at(2)),
+        (False, "c", at(2), at(3)),
+        (True, "a", at(1), at(3)),
+    ]
+    same = spark.createDataFrame([("x", "b", "late"), ("y", "a", "late")], LATE)
+    following = next_seen(extracts, same, "k", "run_ts", at(4))
+    assert splice_changes(history, same, following, "k", ["status"], at(4)).count() == 0
+
+
+def test_an_extract_of_a_time_that_has_versions_is_refused(spark):
+    extracts = spark.createDataFrame([("x", "a", "1", at(1))], f"{LATE}, run_ts timestamp_ntz")
+    history, late = scd2_replay(extracts, "k", ["status"], "run_ts"), spark.createDataFrame([("x", "b", "2")], LATE)
+    with pytest.raises(Exception, match="already has a version"):
+        scd2_splice(history, late, next_seen(extracts, late, "k", "run_ts", at(1)), "k", ["status"], at(1)).collect()
+
+
+def test_first_versions_are_found_with_a_join_that_can_be_split(spark):
+    scaled = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k"}
+    before = {name: spark.conf.get(name, None) for name in scaled}
+    for name, value in scaled.items():
+        spark.conf.set(name, value)
+    try:
+        key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500))
+        since = F.timestamp_seconds(F.col("id")).cast("timestamp_ntz")
+        rows = spark.range(0, 200_000, 1, 8).select(key.alias("k"), since.alias("dbt_valid_from"), F.md5(F.col("id").cast("string")).alias("dbt_scd_id"))
+        marked = mark_first(rows, "k")
+        assert sum(r.is_first_version for r in marked.collect()) == 501
+        assert "skew=true" in marked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
