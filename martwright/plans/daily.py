@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from martwright.functions.audit import utc_naive
+from martwright.functions.audit import timestamp, utc_naive
 from martwright.functions.frames import for_each
-from martwright.operators.asof import asof_join_split
+from martwright.operators.asof import choose_asof_join
 from martwright.operators.history import assert_unique_key, first_load, merge_open, scd2_replay
 from martwright.plans.dimensions import NATURAL_KEYS, TRACKED, dim_date, dim_participants, dim_policies, dim_product
-from martwright.plans.facts import FACTS, build_fact
+from martwright.plans.facts import FACTS
+from martwright.plans.increments import MONTH, refresh_fact
 from martwright.plans.suite import GateError, checks, count_violations, gate
-from martwright.schemas import MARTS, SOURCES, TIMESTAMP, conform
+from martwright.schemas import MARTS, SOURCES, TIMESTAMP, VALID_FROM, conform
 from martwright.sources.landing import extract_days, land, latest_day, scan_extracts
 from martwright.sources.publish import export_audit, load_jdbc
 from martwright.sources.store import Store
@@ -38,12 +39,15 @@ def run_daily(
     sources: dict[str, DataFrame] | None = None,
     loaded_at: datetime | None = None,
     jdbc_url: str | None = None,
-    audit_copy: bool = True,
+    audit_copy: bool = False,
+    part_formats: dict[str, str] | None = None,
 ) -> Run:
     """One day, under ``root``. ``sources`` are landed first; without them, what lies in
     ``{root}/raw`` is taken. Raises ``GateError``, with nothing published, if a check fails.
 
-    The marts of every run are kept anyway; ``audit_copy`` puts a second copy into dated folders.
+    Facts are refreshed by part, see ``increments``; ``part_formats`` says how long one is, by fact (a
+    month). The marts of every run are kept anyway; ``audit_copy``
+    puts a second copy into dated folders.
     """
     store = Store(spark, root)
     before = store.last_commit()
@@ -66,7 +70,7 @@ def run_daily(
 
     extracts = dict(zip(SOURCES, for_each(SOURCES, take_in)))
     staged = {table: store.staging(run, table) for table in SOURCES}
-    _build_marts(store, run, staged, {t: store.history(run, t) for t in NATURAL_KEYS}, run_ts)
+    _build_marts(store, run, staged, {t: store.history(run, t) for t in NATURAL_KEYS}, run_ts, last, part_formats)
 
     passed = _check(store, run, staged)
     if audit_copy:
@@ -151,17 +155,28 @@ def _keep_history(store: Store, run: str, last: str | None, table: str, run_ts:
 
 
 def _build_marts(
-    store: Store, run: str, staged: dict[str, DataFrame], histories: dict[str, DataFrame], run_ts: datetime
+    store: Store,
+    run: str,
+    staged: dict[str, DataFrame],
+    histories: dict[str, DataFrame],
+    run_ts: datetime,
+    last: str | None = None,
+    part_formats: dict[str, str] | None = None,
 ) -> None:
-    """Facts read the policies as written, so the dimension isn't computed once per fact."""
+    """Facts read the policies as written, so the dimension isn't computed once per fact. They are built upon
+    those of the run ``last``, or anew."""
 
     def policies_and_facts() -> None:
         store.write_mart(run, "dim_policies", dim_policies(histories["policies"], run_ts))
         policies = store.mart(run, "dim_policies")
-        facts = {
-            f: build_fact(f, staged[source], policies, run_ts, asof_join_split) for f, (source, _) in FACTS.items()
-        }
-        for_each(facts, lambda fact: store.write_mart(run, fact, facts[fact]))
+        resolve = choose_asof_join(policies, "policy_id")
+        opened = store.open_versions(run, "policies").filter(F.col(VALID_FROM) == timestamp(run_ts))
+
+        def refresh(fact: str) -> None:
+            part_format = (part_formats or {}).get(fact, MONTH)
+            refresh_fact(store, run, last, fact, staged[FACTS[fact][0]], policies, opened, run_ts, resolve, part_format)
+
+        for_each(FACTS, refresh)
 
     def participants() -> None:
         dim = dim_participants(histories["participants"], staged["participants"], run_ts)

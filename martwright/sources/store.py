@@ -6,11 +6,12 @@ failed, or lost executors half-way, leaves nothing anyone reads.
 
     staging/run=<id>/<table>           conformed extracts
     history/<table>/run=<id>/kept_as=*   versions left open, and versions closed in the run
-    marts/run=<id>/<mart>
+    marts/run=<id>/<mart>              dimensions; facts in parts, part=<month>, those the run wrote
+    parts/run=<id>/<fact>              the parts of a fact as of the run, and the run that wrote each
     commits/                           run id, run time, load time, the extract day taken of each source
 
 A closed version never changes. A run rewrites the open versions only; the closed ones, which
-grow for ever, are read but not copied.
+grow for ever, are read but not copied. The same holds for parts of facts that a run doesn't touch.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType
 
 from martwright.functions.audit import utc_naive, with_loaded_at
 from martwright.schemas import MARTS, SOURCES, TIMESTAMP, VALID_TO, history_schema
@@ -35,6 +36,16 @@ _COMMITS = StructType(
     ]
 )
 
+_PARTS = StructType(
+    [
+        StructField("part", StringType()),
+        StructField("rows", LongType()),
+        StructField("digest", StringType()),
+        StructField("written_by", StringType()),
+        StructField("dbt_run_started_at", TIMESTAMP),
+    ]
+)
+
 
 @dataclass(frozen=True)
 class Commit:
@@ -99,10 +110,31 @@ class Store:
     def write_mart(self, run: str, mart: str, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/marts/run={run}/{mart}")
 
+    def write_fact(self, run: str, mart: str, df: DataFrame) -> None:
+        """Keep the parts of a fact that a run wrote; ``df`` has ``part`` and no stamps.
+
+        Rows are dealt by part, so that a part has few files; AQE splits a large one between tasks."""
+        path = f"{self.root}/marts/run={run}/{mart}"
+        df.hint("rebalance", F.col("part")).write.mode("overwrite").partitionBy("part").parquet(path)
+
+    def write_parts(self, run: str, mart: str, manifest: DataFrame) -> None:
+        manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/parts/run={run}/{mart}")
+
+    def parts(self, run: str, mart: str) -> DataFrame:
+        """``part, rows, digest, written_by`` of a fact as of a run, and the run's stamp."""
+        return self._read(_PARTS, f"{self.root}/parts/run={run}/{mart}")
+
     def mart(self, run: str, mart: str) -> DataFrame:
-        """A mart as the run built it, without load stamp."""
+        """A mart as the run built it, without load stamp. All rows of a fact get the stamp of the run, also
+        those an earlier one wrote."""
         schema = StructType([f for f in MARTS[mart].fields if f.name != "etl_loaded_at"])
-        return self._read(schema, f"{self.root}/marts/run={run}/{mart}")
+        parts = self.parts(run, mart).collect()  # one row a month
+        if not parts:
+            return self._read(schema, f"{self.root}/marts/run={run}/{mart}")
+        rows = StructType([f for f in schema.fields if f.name != "dbt_run_started_at"])
+        paths = [f"{self.root}/marts/run={p.written_by}/{mart}/part={p.part}" for p in parts]
+        stamp = F.lit(parts[0].dbt_run_started_at.isoformat(sep=" ")).cast(TIMESTAMP).alias("dbt_run_started_at")
+        return self.spark.read.schema(rows).parquet(*paths).select(*rows.names, stamp)
 
     def published(self) -> dict[str, DataFrame]:
         """The marts of the last run that passed, stamped with its load time."""

@@ -33,7 +33,7 @@ def without_stamps(df):
 
 
 def test_first_run_publishes_all_marts(spark, clean, tmp_path):
-    run = run_daily(spark, str(tmp_path), DAYS[0], RUNS[0], clean, loaded_at=datetime(2024, 2, 1, 2, 5))
+    run = run_daily(spark, str(tmp_path), DAYS[0], RUNS[0], clean, loaded_at=datetime(2024, 2, 1, 2, 5), audit_copy=True)
     assert run.checks_passed == 50
     for name, schema in MARTS.items():
         assert run.marts[name].schema.names == schema.names
