@@ -245,6 +245,30 @@ CTES = {
     "daily_fct_agency_commissions": _asof(
         "agency_transactions", _COMMISSIONS, "transaction_date", "daily_dim_policies"
     ),
+    "daily_fct_claims": _asof(
+        "claims",
+        """f.claim_id, f.policy_id, d.policy_sk, f.claim_type, f.claim_date, f.claim_amount, f.fund_type, f.status,
+           f.approval_date""",
+        "claim_date",
+        "daily_dim_policies",
+    ),
+    # three daily runs over sources that grow
+    "growing_policies": f"""
+    SELECT {POLICY_COLUMNS}, run_ts FROM events JOIN daily_runs ON ts < run_ts - INTERVAL 2 HOUR
+    QUALIFY row_number() OVER (PARTITION BY user_id, run_ts ORDER BY ts DESC, event_id DESC) = 1""",
+    "growing_policies_history": _versions(
+        "growing_policies", "policy_id", "status", "agent_id", "contribution_amount"
+    ),
+    "growing_dim_policies": _dimension("growing_policies_history", "policy_id", "policy_sk", _POLICY_ATTRIBUTES),
+    "growing_facts": """
+    SELECT run_ts, mart, cast(ts AS date) AS day, user_id AS key
+    FROM events JOIN daily_runs ON ts < run_ts - INTERVAL 2 HOUR, (VALUES ('fct_contributions'), ('fct_claims')) m(mart)
+    UNION ALL
+    SELECT run_ts, 'fct_agency_commissions', cast(date_trunc('month', o_orderdate) AS date), o_custkey // 10
+    FROM orders, daily_runs""",
+    "first_seen": """
+    SELECT user_id AS key, min(run_ts) AS seen FROM events JOIN daily_runs ON ts < run_ts - INTERVAL 2 HOUR
+    GROUP BY user_id""",
     # faulty copies
     "x_stg_participants": """
     SELECT * REPLACE (CASE WHEN cast(participant_id AS bigint) % 200 = 9 THEN NULL ELSE participant_id END AS participant_id)
@@ -476,6 +500,17 @@ QUERIES = {
     SELECT p.product_category, p.status, {_FUND_SUMS}
     FROM fct_contributions f LEFT JOIN dim_policies p ON f.policy_sk = p.policy_sk GROUP BY ALL""",
     "land_roundtrip": "SELECT * FROM policies",
+    "scan_dirty_text": f"""
+    SELECT cast(event_id AS varchar) AS event_id,
+           CASE event_id % 8
+             WHEN 0 THEN 'line one' || chr(10) || chr(10) || chr(10) || 'line "four"' || chr(10) || p
+             WHEN 1 THEN 'a' || chr(13) || 'b, c' || chr(13) || chr(10) || 'd,' || p || chr(13) || chr(10)
+             WHEN 2 THEN '"' || replace(p, ':', '"' || chr(10) || ',"')
+             WHEN 3 THEN nullif(replace(p, '"', '"' || chr(10) || '"'), '')
+             WHEN 4 THEN '",' || chr(10) || '",'
+             WHEN 5 THEN ' spaced ' WHEN 6 THEN nullif(p, '') END AS text,
+           event_type AS last, '2024-01-30' AS extract_date
+    FROM (SELECT *, coalesce(props, '') AS p FROM events)""",
     "landed_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{day}' AS extract_date, count(*) AS row_count FROM {t}{older}"
         for t in ("participants", "policies", "contributions", "claims", "agency_transactions")
@@ -498,10 +533,21 @@ QUERIES = {
         f"stg_{t}": f"SELECT * FROM {t}"
         for t in ("participants", "policies", "contributions", "claims", "agency_transactions")
     },
+    "raw_rejects": """
+    SELECT policy_id, column_name, value, reason
+    FROM (SELECT policy_id, cast(policy_id AS bigint) AS n FROM policies), (VALUES
+        ('start_date', 4, 0, '2024-02-31', 'no such day'), ('start_date', 4, 1, 'soon', 'not a date'),
+        ('has_pif', 6, 1, 'perhaps', 'not a boolean'),
+        ('term_years', 7, 2, '12.5', 'not whole'), ('term_years', 7, 3, '99999999999', 'out of range'),
+        ('term_years', 7, 4, 'ten', 'not a number'),
+        ('contribution_amount', 9, 0, '12345678901.00', 'out of range'),
+        ('contribution_amount', 9, 1, 'RM 5', 'not a number')) bad(column_name, m, k, value, reason)
+    WHERE n % m = k""",
     "policies_history": "SELECT * FROM policies_history",
     "participants_history": "SELECT * FROM participants_history",
     "scd2_merge": "SELECT * FROM policies_history",
     "scd2_replay": "SELECT * FROM customer_versions",
+    "scd2_late": "SELECT * FROM policies_history",
     "surrogate_key": f"""
     SELECT event_id, {_sk('event_id')} AS one,
            {_sk('user_id', 'CASE WHEN event_id % 3 > 0 THEN c_mktsegment END', 'ts')} AS three
@@ -519,7 +565,26 @@ QUERIES = {
         f"daily_{mart}": f"SELECT *, {LOADED_AT} AS etl_loaded_at FROM daily_{mart}"
         for mart in ("dim_policies", "dim_participants", "fct_contributions", "fct_agency_commissions")
     },
-    "rebuild_dim_policies": "SELECT * FROM daily_dim_policies",
+    **{
+        f"rebuild_{mart}": f"SELECT * FROM daily_{mart}"
+        for mart in ("dim_policies", "dim_participants", "fct_contributions", "fct_claims", "fct_agency_commissions")
+    },
+    "incremental_fct_contributions": f"""
+    SELECT *, {LOADED_AT} AS etl_loaded_at
+    FROM ({_asof("contributions", _CONTRIBUTIONS, "contribution_date", "growing_dim_policies")})""",
+    "incremental_fct_agency_commissions": f"""
+    SELECT *, {LOADED_AT} AS etl_loaded_at
+    FROM ({_asof("agency_transactions", _COMMISSIONS, "transaction_date", "growing_dim_policies")})""",
+    # A day, or month, is written again if it has new facts, or facts of a key that appears.
+    "incremental_rows_written": """
+    SELECT run_ts, mart, count(*) AS parts, count(*) FILTER (written) AS parts_written,
+           cast(sum(n) AS bigint) AS rows, cast(coalesce(sum(n) FILTER (written), 0) AS bigint) AS rows_written
+    FROM (SELECT run_ts, mart, day, n,
+                 appears OR n IS DISTINCT FROM lag(n) OVER (PARTITION BY mart, day ORDER BY run_ts) AS written
+          FROM (SELECT f.run_ts, f.mart, f.day, count(*) AS n,
+                       coalesce(bool_or(s.seen = f.run_ts), false) AS appears
+                FROM growing_facts f LEFT JOIN first_seen s USING (key) GROUP BY f.run_ts, f.mart, f.day))
+    GROUP BY run_ts, mart""",
     "stg_view_sql": """
     SELECT p.product_category, c.status, count(*) AS claims
     FROM claims c JOIN policies p ON c.policy_id = p.policy_id GROUP BY p.product_category, c.status""",
@@ -595,7 +660,8 @@ QUERIES = {
 # Times that may be the end of time are shown as text.
 _ENDS_AS_TEXT = {
     **dict.fromkeys(
-        ["dim_policies", "dim_participants", "daily_dim_policies", "daily_dim_participants", "rebuild_dim_policies"]
+        ["dim_policies", "dim_participants", "daily_dim_policies", "daily_dim_participants"]
+        + ["rebuild_dim_policies", "rebuild_dim_participants"]
         + ["scd2_replay"]
         + [f"dq_not_null_dim_policies_{c}" for c in ("policy_sk", "policy_id")]
         + [f"dq_not_null_dim_participants_{c}" for c in ("participant_sk", "participant_id")],

@@ -3,22 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import shapes as s
-from martwright.functions.audit import run_stamp, with_loaded_at
+from martwright.functions.audit import run_stamp, timestamp, with_loaded_at
 from martwright.functions.frames import for_each, union_all
 from martwright.functions.keys import surrogate_key
 from martwright.operators import quality as q
 from martwright.operators.asof import asof_join, asof_join_by_day, asof_join_split
-from martwright.operators.history import scd2_merge, scd2_replay
+from martwright.operators.history import next_seen, scd2_merge, scd2_replay, scd2_splice
 from martwright.plans import reports
 from martwright.plans.daily import rebuild, run_daily
 from martwright.plans.dimensions import TRACKED
 from martwright.plans.facts import FACTS, build_fact
+from martwright.plans.increments import written_rows
 from martwright.plans.suite import checks, summarize
 from martwright.schemas import HISTORY_COLUMNS, SOURCES, conform
 from martwright.sources import landing, publish, raw
@@ -64,6 +66,13 @@ def land_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(landing.scan_extracts(spark, root, "policies"), SOURCES["policies"])
 
 
+def scan_dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free text in which records span lines, landed and scanned."""
+    root = s.work_folder(spark)
+    landing.land(s.dirty_text(spark, sf_dir), root, "notes", s.SECOND_DAY)
+    return landing.scan_extracts(spark, root, "notes").drop("filename")
+
+
 def landed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = landed_root(spark, sf_dir)
     counts = [landing.landed_counts(spark, root, t).select(F.lit(t).alias("table_name"), "*") for t in SOURCES]
@@ -98,6 +107,23 @@ def raw_tolerant_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def raw_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text policies with cells of the wrong type, loaded in one pass; the cells that were left out, and why."""
+    text = s.as_text(s.policies(spark, sf_dir))
+    number = F.col("policy_id").cast("bigint")
+    bad = {
+        "start_date": F.when(number % 4 == 0, "2024-02-31").when(number % 4 == 1, "soon"),
+        "end_date": F.when(number % 5 == 0, ""),
+        "has_pif": F.when(number % 6 == 1, "perhaps"),
+        "term_years": F.when(number % 7 == 2, "12.5").when(number % 7 == 3, "99999999999").when(number % 7 == 4, "ten"),
+        "contribution_amount": F.when(number % 9 == 0, "12345678901.00").when(number % 9 == 1, "RM 5"),
+    }
+    text = text.withColumns({c: F.coalesce(value, F.col(c)) for c, value in bad.items()})
+    path = f"{s.work_folder(spark)}/raw/policies"
+    raw.write_tolerant(text, SOURCES["policies"], path)
+    return raw.read_rejects(spark, path, "policy_id")
+
+
 def staged(source: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(landing.scan_latest(spark, landed_root(spark, sf_dir), source), SOURCES[source])
 
@@ -128,6 +154,24 @@ def merged_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reference_columns(scd2_merge(before, newest, key, tracked, last), "policies")
 
 
+LATE_DAYS = ("2024-01-20", "2024-01-05", "2024-01-12")
+
+
+def late_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracts of three days come after all others, in no order: the same history."""
+    extracts, key, tracked = s.policy_extracts(spark, sf_dir), "policy_id", TRACKED["policies"]
+    root, day = s.work_folder(spark), F.to_date("run_ts").cast("string")
+    history, taken = scd2_replay(extracts.filter(~day.isin(*LATE_DAYS)), key, tracked, "run_ts"), []
+    for late in LATE_DAYS:
+        missing = [d for d in LATE_DAYS if d not in taken]
+        rows, at = extracts.filter(day == late).drop("run_ts"), s.run_time(late) - timedelta(days=1)
+        following = next_seen(extracts.filter(~day.isin(*missing)), rows, key, "run_ts", at)
+        scd2_splice(history, rows, following, key, tracked, at).write.parquet(f"{root}/after={late}")
+        history = spark.read.parquet(f"{root}/after={late}")
+        taken.append(late)
+    return reference_columns(history, "policies")
+
+
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = s.table(spark, sf_dir, "events").join(
         s.table(spark, sf_dir, "customer"), F.col("user_id") == F.col("c_custkey"), "left"
@@ -295,9 +339,41 @@ def daily_mart(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return Store(spark, daily_root(spark, sf_dir)).published()[name]
 
 
+_growing: dict[tuple[str, str], str] = {}
+
+
+def growing_root(spark: SparkSession, sf_dir: str) -> str:
+    """Three daily runs over sources that grow, with facts of policies in parts of a day; once per application."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _growing:
+        root = s.work_folder(spark)
+        for day in s.DAILY_RUNS:
+            found = s.growing_sources(spark, sf_dir, day)
+            run_daily(spark, root, day, s.run_time(day), found, s.LOADED_AT, part_formats=s.PARTS)
+        _growing[at] = root
+    return _growing[at]
+
+
+def growing_mart(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Store(spark, growing_root(spark, sf_dir)).published()[name]
+
+
+def rows_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of the three runs kept of the facts and what it wrote again."""
+    store = Store(spark, growing_root(spark, sf_dir))
+    runs = {store.run_id(s.run_time(day)): s.run_time(day) for day in s.DAILY_RUNS}
+    return union_all([written_rows(store, run).select(timestamp(at).alias("run_ts"), "*") for run, at in runs.items()])
+
+
+_rebuilt: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 def rebuilt_mart(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mart again, from the raw zone and the commit log."""
-    return rebuild(spark, daily_root(spark, sf_dir))[name]
+    """The mart again, from the raw zone and the commit log; once per application."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _rebuilt:
+        _rebuilt[at] = rebuild(spark, daily_root(spark, sf_dir))
+    return _rebuilt[at][name]
 
 
 def views(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,16 +493,19 @@ def registry() -> dict[str, Query]:
     found: dict[str, Query] = {
         "fund_totals_asof": fund_totals,
         "land_roundtrip": land_roundtrip,
+        "scan_dirty_text": scan_dirty_text,
         "landed_counts": landed_counts,
         "scan_union_by_name": scan_union_by_name,
         "extract_date": extract_dates,
         "latest_extract": latest_extract,
         "raw_tolerant_dates": raw_tolerant_dates,
+        "raw_rejects": raw_rejects,
         **{f"stg_{source}": partial(staged, source) for source in SOURCES},
         "policies_history": policies_history,
         "participants_history": participants_history,
         "scd2_replay": customer_versions,
         "scd2_merge": merged_history,
+        "scd2_late": late_history,
         "surrogate_key": surrogate_keys,
         "dim_policies": partial(fact, "dim_policies"),
         "dim_participants": partial(fact, "dim_participants"),
@@ -447,7 +526,10 @@ def registry() -> dict[str, Query]:
         "daily_dim_participants": partial(daily_mart, "dim_participants"),
         "daily_fct_contributions": partial(daily_mart, "fct_contributions"),
         "daily_fct_agency_commissions": partial(daily_mart, "fct_agency_commissions"),
-        "rebuild_dim_policies": partial(rebuilt_mart, "dim_policies"),
+        "incremental_fct_contributions": partial(growing_mart, "fct_contributions"),
+        "incremental_fct_agency_commissions": partial(growing_mart, "fct_agency_commissions"),
+        "incremental_rows_written": rows_written,
+        **{f"rebuild_{mart}": partial(rebuilt_mart, mart) for mart in ("dim_policies", "dim_participants", *FACTS)},
         "stg_view_sql": views,
         "star_fact_view": partial(star, "fct_contributions"),
         "star_claims_view": partial(star, "fct_claims"),

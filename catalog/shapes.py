@@ -27,6 +27,9 @@ FIRST_DAY, SECOND_DAY = "2024-01-15", "2024-01-30"
 #: Days of three daily runs, and the last digit of the ids that are away on each.
 DAILY_RUNS = {"2024-01-10": "1", "2024-01-20": "2", "2024-01-30": None}
 
+#: Facts that are kept by day rather than by month.
+PARTS = {"fct_contributions": "yyyy-MM-dd", "fct_claims": "yyyy-MM-dd"}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -250,6 +253,33 @@ def sources_of_day(spark: SparkSession, sf_dir: str, day: str) -> dict[str, Data
     return found
 
 
+def growing_sources(spark: SparkSession, sf_dir: str, day: str) -> dict[str, DataFrame]:
+    """Sources at the end of a day: what happened until then, nobody away."""
+    found = sources(spark, sf_dir)
+    found["participants"] = participants(spark, sf_dir, second=day > FIRST_DAY)
+    found["policies"] = policies(spark, sf_dir, until=day)
+    for name, date_col in (("contributions", "contribution_date"), ("claims", "claim_date")):
+        found[name] = found[name].filter(F.col(date_col) <= F.lit(day).cast("date"))
+    return found
+
+
+def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Properties of events as free text: with newlines, CRs, blank lines, quotes and delimiters put in."""
+    n, props = F.col("event_id") % 8, F.coalesce("props", F.lit(""))
+    text = (
+        F.when(n == 0, F.concat(F.lit("line one\n\n\nline \"four\"\n"), props))
+        .when(n == 1, F.concat(F.lit("a\rb, c\r\nd,"), props, F.lit("\r\n")))
+        .when(n == 2, F.concat(F.lit('"'), F.replace(props, F.lit(":"), F.lit('"\n,"'))))
+        .when(n == 3, F.replace(props, F.lit('"'), F.lit('"\n"')))
+        .when(n == 4, F.lit('",\n",'))
+        .when(n == 5, F.lit(" spaced "))
+        .when(n == 6, props)
+    )
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"), text.alias("text"), F.col("event_type").alias("last")
+    )
+
+
 # --- histories and marts ------------------------------------------------------------------
 
 
