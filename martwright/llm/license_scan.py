@@ -1,19 +1,26 @@
 """Licence scans: a trained paragraph classifier, confirmed against templates.
 
-Paragraphs are lines, and neighbouring lines over which a notice is wrapped. A softmax regression over hashed words, pairs and triples of words tells the
-licence families apart and from everything else, the unknown class. It is trained on the templates,
-whole, in part and with words lost or replaced, and on paragraphs of a bounded sample of documents;
-its temperature is fitted on examples held back. What it takes for a licence is compared with the
-templates of that family, word by word in order, and confirmed or not.
+Paragraphs are lines, and neighbouring lines over which a notice is wrapped. A softmax regression over
+hashed words, pairs and triples of words tells the licence families apart and from everything else, the
+unknown class. It is trained on the templates, whole, in part and with words lost or replaced, and on
+paragraphs of a bounded sample of documents; its temperature is fitted on examples held back. What it takes
+for a licence is compared with the templates of that family, word by word in order, and confirmed or not.
+
+Wrapped notices are looked for around anchors: of a template, the rarest words that together are more than
+a notice may lack. Every notice has one of them, and other text hardly any, so only the lines around
+anchors are compared with the template.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,8 +79,9 @@ FAMILIES = list(TEMPLATES)
 
 @dataclass(frozen=True)
 class LicenseParams:
-    """``sample`` is about how many documents the unknown class is learned from; a notice is looked for
-    over up to ``most_lines`` lines."""
+    """``sample`` is about how many documents the unknown class is learned from. A notice over several lines
+    has at most ``spread`` times the words of its template; ``batch_words`` bounds how many words are
+    classified at a time."""
 
     sample: int = 300
     bits: int = 16
@@ -81,7 +89,8 @@ class LicenseParams:
     rounds: int = 50
     threshold: float = 0.5
     least_match: float = 0.75
-    most_lines: int = 16
+    spread: int = 2
+    batch_words: int = 100_000
 
 
 def template_words(text: str) -> list[bytes]:
@@ -124,30 +133,92 @@ def paragraphs(data: np.ndarray, places: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([places, np.flatnonzero(data == 10) + 1]))
 
 
-def wrapped(found: words.Words, hashed: np.ndarray, text: np.ndarray, params: LicenseParams) -> list[tuple[int, int]]:
-    """First and after the last line of neighbouring lines of a text that may hold a template which none
-    of them holds alone, by the number of its words; no blank line is among them."""
-    templates = [" ".join(map(bytes.decode, template_words(t))).encode() for ts in TEMPLATES.values() for t in ts]
-    ends = np.concatenate([[0], np.cumsum([len(t) for t in templates])])
-    own, keys = _hashed(np.frombuffer(b"".join(templates), np.uint8), ends)
-    vocabulary = np.unique(keys)
-    # One more row, of zeros, for words of no template.
-    table = np.zeros((len(vocabulary) + 1, len(templates)), np.int32)
-    table[np.searchsorted(vocabulary, keys), own.text] = 1
-    at = np.minimum(np.searchsorted(vocabulary, hashed), len(vocabulary) - 1)
-    at[vocabulary[at] != hashed] = len(vocabulary)
-    per_line = words.sums_by(table[at], found.first)
-    counts = np.concatenate([np.zeros((1, len(templates))), np.cumsum(per_line, axis=0)])
-    blank = np.concatenate([[0], np.cumsum(np.diff(found.first) == 0)])
-    least = params.least_match * np.diff(own.first)
+@dataclass(frozen=True)
+class Template:
+    """Words of a template as hashes, where each stands, as bits, and those that are its anchors."""
+
+    size: int
+    places: dict[int, int]
+    anchors: list[int]
+
+
+def read_templates(rarity: dict[bytes, int], least_match: float) -> list[Template]:
+    """All templates; ``rarity`` has how often each of their words occurs elsewhere."""
     out = []
-    for lines in range(2, min(params.most_lines, len(text)) + 1):
-        low = np.arange(len(text) - lines + 1)
-        low = low[(text[low] == text[low + lines - 1]) & (blank[low] == blank[low + lines])]
-        # The first and the last line have words of the template, else fewer lines do.
-        enough = counts[low + lines] - counts[low] >= least
-        enough &= (per_line[low] > 0) & (per_line[low + lines - 1] > 0)
-        out += [(a, a + lines) for a in low[enough.any(axis=1)].tolist()]
+    for own in (template_words(t) for ts in TEMPLATES.values() for t in ts):
+        hashes = dict(zip(own, _hashed_words(own)))
+        places: dict[int, int] = {}
+        for i, word in enumerate(own):
+            places[hashes[word]] = places.get(hashes[word], 0) | 1 << i
+        lacking, anchors = len(own) - math.ceil(least_match * len(own) - 1e-9), []
+        for word in sorted(set(own), key=lambda w: (rarity.get(w, 0), w)):
+            if lacking < 0:
+                break
+            anchors.append(hashes[word])
+            lacking -= own.count(word)
+        out.append(Template(len(own), places, anchors))
+    return out
+
+
+def _hashed_words(own: list[bytes]) -> list[int]:
+    data = b" ".join(own)
+    return _hashed(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[1].tolist()
+
+
+def wrapped(
+    found: words.Words, hashed: np.ndarray, text: np.ndarray, templates: list[Template], params: LicenseParams
+) -> list[tuple[int, int]]:
+    """First and after the last line of neighbouring lines of a text that hold most of a template; no blank
+    line is among them. For each first line and template the window that holds most of it, the shortest of
+    those."""
+    line = found.text
+    blank = np.diff(found.first) == 0
+    new_text = np.append(False, text[1:] != text[:-1])
+    stretch = np.cumsum(blank | new_text)[line]  # neighbouring lines of a text without a blank one between
+    anchors = np.unique(np.array([a for t in templates for a in t.anchors], np.uint64))
+    at = np.minimum(np.searchsorted(anchors, hashed), len(anchors) - 1)
+    hits = np.flatnonzero(anchors[at] == hashed)
+    out: set[tuple[int, int]] = set()
+    for template in templates:
+        own = hits[np.isin(hashed[hits], np.array(template.anchors, np.uint64))]
+        most = params.spread * template.size
+        for begin, end in _around(own, most, stretch):
+            # Whole lines.
+            begin, end = int(found.first[line[begin]]), int(found.first[line[end - 1] + 1])
+            bits = [template.places.get(h, 0) for h in hashed[begin:end].tolist()]
+            out.update(_windows(bits, line[begin:end].tolist(), template.size, most, params.least_match))
+    return sorted(out)
+
+
+def _around(hits: np.ndarray, most: int, stretch: np.ndarray) -> list[tuple[int, int]]:
+    """Words up to ``most`` away from hits, in the same stretch, as ranges that don't overlap."""
+    out: list[tuple[int, int]] = []
+    for hit in hits.tolist():
+        begin = max(hit - most, int(np.searchsorted(stretch, stretch[hit])))
+        end = min(hit + most + 1, int(np.searchsorted(stretch, stretch[hit], "right")))
+        if out and begin < out[-1][1]:
+            begin = out.pop()[0]
+        out.append((begin, end))
+    return out
+
+
+def _windows(bits: list[int], line: list[int], size: int, most: int, least_match: float) -> list[tuple[int, int]]:
+    """Windows of two lines or more. ``bits`` has the places of each word in the template, ``line`` its line."""
+    full = (1 << size) - 1
+    needed = math.ceil(least_match * size - 1e-9)
+    out = []
+    for i, own in enumerate(line):
+        if i and line[i - 1] == own:
+            continue
+        free, best = full, (needed - 1, 0)
+        for j in range(i, min(i + most, len(bits))):
+            taken = free & bits[j]
+            if taken:  # bits that turn 0 count the longest common subsequence
+                free = (free + taken | free - taken) & full
+            if line[j] > own and (j + 1 == len(line) or line[j + 1] > line[j]) and size - free.bit_count() > best[0]:
+                best = size - free.bit_count(), line[j] + 1
+        if best[1]:
+            out.append((own, best[1]))
     return out
 
 
@@ -177,14 +248,18 @@ def training_lines(params: LicenseParams) -> tuple[list[bytes], list[int]]:
 
 def fit(batches: Iterator[pa.RecordBatch], params: LicenseParams) -> dict[str, bytes]:
     lines, y = training_lines(params)
-    templates = {line for line, _ in zip(lines, y)}
+    templates = [template_words(t) for ts in TEMPLATES.values() for t in ts]
+    named, trained = {w for t in templates for w in t}, set(lines)
+    rarity: Counter = Counter(dict.fromkeys(named, 0))
     for batch in batches:
-        for line in {x for text in words.column(batch, "text").to_pylist() for x in text.encode().split(b"\n")}:
+        for line in sorted({x for text in words.column(batch, "text").to_pylist() for x in text.encode().split(b"\n")}):
             plain = template_words(line.decode())
-            nearest = max((match(plain, template_words(t)) for ts in TEMPLATES.values() for t in ts), default=0)
-            if plain and nearest < 0.5 and b" ".join(plain) not in templates:
+            own = named.intersection(plain)
+            nearest = max((match(plain, t) for t in templates), default=0) if own else 0
+            if plain and nearest < 0.5 and b" ".join(plain) not in trained:
                 lines.append(line)
                 y.append(0)
+                rarity.update(own)
     data = np.frombuffer(b"".join(lines), np.uint8)
     places = np.concatenate([[0], np.cumsum([len(x) for x in lines])])
     found, hashed = _hashed(data, places)
@@ -201,6 +276,7 @@ def fit(batches: Iterator[pa.RecordBatch], params: LicenseParams) -> dict[str, b
     return {
         "weights": (weights / temperature).astype(np.float32).tobytes(),
         "bias": (bias / temperature).tobytes(),
+        "rarity": b"\n".join(b"%s %d" % x for x in sorted(rarity.items())),
     }
 
 
@@ -215,7 +291,8 @@ def train(docs: DataFrame, params: LicenseParams = LicenseParams()) -> dict[str,
     texts = docs.select("text")
     every = max(1, texts.count() // params.sample)
     # Copies of a text have the same hash; one of them is taken.
-    chosen = texts.filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).distinct().limit(2 * params.sample)
+    chosen = texts.filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).distinct()
+    chosen = chosen.orderBy(F.xxhash64(F.lit(1), "text"), "text").limit(2 * params.sample)
     return tables.fit_in_one_task(chosen, lambda batches: fit(batches, params))
 
 
@@ -226,18 +303,40 @@ def scan(docs: DataFrame, model: dict[str, bytes], params: LicenseParams = Licen
     ``paragraph`` counts lines from 0; ``begin`` and ``end`` are its places in characters. A notice over
     several lines is one paragraph, that of its first line, and its lines aren't reported on their own.
     ``confirmed`` says whether the paragraph has, in order, at least ``least_match`` of a template of
-    the family. NULL and empty texts have no paragraphs; repeated rows are reported repeatedly.
+    the family. NULL and empty texts have no paragraphs; repeated rows, and rows with the same or no id, are
+    rows of their own; other columns aren't read, and an empty table gives none. Of notices that overlap, the
+    one with most of a template counts, then the one over fewest lines, then the first.
     """
     shipped = tables.ship(docs.sparkSession, model)
     narrow = docs.select("doc_id", "text")
     ddl = (
         "paragraph int, begin long, end long, family string, probability double, similarity double, confirmed boolean"
     )
+    return narrow.mapInArrow(scanner(shipped, params), tables.arrow_fields(narrow.select("doc_id"), ddl))
+
+
+def scanner(shipped: Broadcast, params: LicenseParams) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What a task of ``scan`` does with its rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = np.frombuffer(shipped.value["weights"], np.float32).reshape(-1, len(FAMILIES) + 1)
         bias = np.frombuffer(shipped.value["bias"])
         templates = {f: [template_words(t) for t in ts] for f, ts in TEMPLATES.items()}
+        counted = (row.split() for row in shipped.value["rarity"].split(b"\n"))
+        anchored = read_templates({word: int(n) for word, n in counted}, params.least_match)
+
+        def chances(hashed: np.ndarray, first: np.ndarray) -> np.ndarray:
+            x = _grams(hashed, first, params.bits)
+            return linear.softmax(bias + words.sums_by(weights[x.index] * x.value[:, None], x.first))
+
+        def whole(windows: list[tuple[int, int]], found: words.Words, hashed: np.ndarray) -> Iterator[tuple]:
+            """Windows and their chances, some ``batch_words`` words at a time."""
+            while windows:
+                sizes = np.cumsum([found.first[b] - found.first[a] for a, b in windows])
+                some = max(1, int(np.searchsorted(sizes, params.batch_words, "right")))
+                own, windows = windows[:some], windows[some:]
+                joined = np.concatenate([hashed[found.first[a] : found.first[b]] for a, b in own])
+                yield from zip(chances(joined, np.concatenate([[0], sizes[:some]])), own)
 
         def judge(data: np.ndarray, found: words.Words, chance: np.ndarray, at: int, to: int) -> dict:
             """Of the lines from ``at`` to before ``to``, compared with the templates of the likeliest family."""
@@ -253,19 +352,16 @@ def scan(docs: DataFrame, model: dict[str, bytes], params: LicenseParams = Licen
             for first, _, data, places in words.blocks(batch):
                 lines = paragraphs(data, places)
                 found, hashed = _hashed(data, lines)
-                x = _grams(hashed, found.first, params.bits)
-                chance = linear.softmax(bias + words.sums_by(weights[x.index] * x.value[:, None], x.first))
+                chance = chances(hashed, found.first)
                 chance[np.diff(found.first) == 0] = 0
                 of = np.searchsorted(places, lines[:-1], "right") - 1
                 judged = [judge(data, found, x, at, at + 1) for at, x in enumerate(chance) if x[1:].max() >= params.threshold]
                 alone = {r["at"] for r in judged if r["confirmed"]}
-                several = [(a, b) for a, b in wrapped(found, hashed, of, params) if alone.isdisjoint(range(a, b))]
+                several = wrapped(found, hashed, of, anchored, params) if len(hashed) else []
+                several = [(a, b) for a, b in several if alone.isdisjoint(range(a, b))]
                 if several:
-                    sizes = [found.first[b] - found.first[a] for a, b in several]
-                    joined = np.concatenate([hashed[found.first[a] : found.first[b]] for a, b in several])
-                    x = _grams(joined, np.concatenate([[0], np.cumsum(sizes)]), params.bits)
-                    whole = linear.softmax(bias + words.sums_by(weights[x.index] * x.value[:, None], x.first))
-                    notices = [judge(data, found, x, *ab) for x, ab in zip(whole, several) if x[1:].max() >= params.threshold]
+                    likely = (x for x in whole(several, found, hashed) if x[0][1:].max() >= params.threshold)
+                    notices = [judge(data, found, x, *ab) for x, ab in likely]
                     # The most of a template first, then the fewest lines; no line is in two notices.
                     taken: set[int] = set()
                     notices = [r for r in notices if r["confirmed"]]
@@ -286,7 +382,7 @@ def scan(docs: DataFrame, model: dict[str, bytes], params: LicenseParams = Licen
             values = [pa.array(rows[name], kind) for name, kind in _names.items()]
             yield pa.RecordBatch.from_arrays([ids, *values], ["doc_id", *_names])
 
-    return narrow.mapInArrow(run, tables.arrow_fields(narrow.select("doc_id"), ddl))
+    return run
 
 
 _names = {
@@ -301,4 +397,5 @@ _names = {
 
 
 def license_scan(docs: DataFrame, params: LicenseParams = LicenseParams()) -> DataFrame:
+    """``train`` and ``scan`` of the same documents; see there for odd rows."""
     return scan(docs, train(docs, params), params)
