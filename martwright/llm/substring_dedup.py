@@ -36,8 +36,10 @@ class DedupParams:
 #: Bytes that end a sentence or a line.
 ENDS = b".!?\n"
 _ENDS = np.isin(np.arange(256), np.frombuffer(ENDS, np.uint8))
-#: Rank of a document without an id: after all others.
-_LAST = (1 << 63) - 1
+#: Ranks from here on belong to documents without an id, which come after all others, by a hash of the text.
+#: With the print that makes 63 bits by which such documents are told apart.
+_LAST = (1 << 63) - (1 << 31)
+_RANK = f"coalesce(cast(doc_id AS bigint), {_LAST} + (xxhash64(text) & {(1 << 31) - 1}))"
 
 UNITS = "high long, low int, rank long, place long, words int, begin int, end int, last int"
 
@@ -79,7 +81,7 @@ def prints(data: np.ndarray, places: np.ndarray) -> np.ndarray:
 def units(docs: DataFrame, params: DedupParams) -> DataFrame:
     """One row per unit of every text, with its place in characters.
 
-    ``rank`` is the id, or the largest number for NULL. ``place`` has half of a hash of the whole
+    ``rank`` is the id, or a number above all ids for NULL. ``place`` has half of a hash of the whole
     text above the number of the unit, so that two texts under one id are two documents, and a
     repeated row is the same one.
     """
@@ -125,8 +127,8 @@ def units(docs: DataFrame, params: DedupParams) -> DataFrame:
                     some = (sizes >= params.least_line_words) & (sizes < params.least_words)
                     yield rows(words.mix(hashed + np.uint64(31)), a[some], b[some], True)
 
-    ranked = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("rank"), "text")
-    return ranked.mapInArrow(run, UNITS)
+    ranked = docs.select(F.expr(_RANK).alias("rank"), "text")
+    return ranked.mapInArrow(words.released(run), UNITS)
 
 
 def repeats(docs: DataFrame, params: DedupParams, spans: bool) -> DataFrame:
@@ -172,7 +174,7 @@ def removed_spans(docs: DataFrame, params: DedupParams = DedupParams()) -> DataF
     document, and reported once; NULL ids rank last, those with the same text as one document. NULL
     and empty texts and texts without a letter or digit have no units.
     """
-    known = lambda c: F.when(F.col(c) != _LAST, F.col(c))
+    known = lambda c: F.when(F.col(c) < _LAST, F.col(c))
     return repeats(docs, params, spans=True).select(
         known("rank").alias("doc_id"),
         F.col("begin").cast("long").alias("begin"),
@@ -203,8 +205,8 @@ def remove_repeats(docs: DataFrame, params: DedupParams = DedupParams()) -> Data
         .groupBy(F.col("rank").alias(rank), F.col("print").alias(print_))
         .agg(F.sort_array(F.collect_list(F.struct("first_unit", "last_unit"))).alias(spans))
     )
-    keyed = docs.mapInArrow(printed, tables.arrow_fields(docs, f"`{print_}` long"))
-    keyed = keyed.withColumn(rank, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)))
+    keyed = docs.mapInArrow(words.released(printed), tables.arrow_fields(docs, f"`{print_}` long"))
+    keyed = keyed.withColumn(rank, F.expr(_RANK))
     joined = keyed.join(cuts, [rank, print_], "left").select(*columns, spans)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,15 +218,18 @@ def remove_repeats(docs: DataFrame, params: DedupParams = DedupParams()) -> Data
                     texts[i] = _without(texts[i].encode(), [s.values() for s in stretches], params)
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.column(at).type)).select(columns)
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(words.released(cut), schema)
 
 
 def _without(text: bytes, stretches: list, params: DedupParams) -> str:
-    """The text without runs of units, given by the first and the last of each, in order."""
+    """The text without runs of units, given by the first and the last of each, in order. Runs of another text
+    with the same id and print, which can lie beyond the end, are passed over."""
     data = np.frombuffer(text, np.uint8)
     found, _, cuts = cut_units(data, np.array([0, len(data)]), params)
     kept, at = [], 0
     for first, last in stretches:
+        if last + 1 >= len(cuts):
+            continue
         kept.append(text[at : found.starts[cuts[first]]])
         at = found.ends[cuts[last + 1] - 1]
     return b"".join([*kept, text[at:]]).decode()

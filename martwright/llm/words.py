@@ -7,8 +7,10 @@ stretch of bytes has its hash by one subtraction and one product modulo 2^64.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -71,6 +73,21 @@ def _free() -> None:
     pa.default_memory_pool().release_unused()
 
 
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, a function of a task, which gives memory back to the system when the task ends: a worker that
+    waits for the next task, perhaps of another operator, holds no arrays of this one."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            _free()
+            with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 @dataclass
 class Words:
     """Words of some texts: where they begin and end, and ``first[i]``, the first word of text i."""

@@ -130,6 +130,16 @@ def test_substring_dedup_of_odd_rows(spark, odd):
     assert substring_dedup.removed_spans(odd.limit(0)).count() == 0
 
 
+def test_texts_without_an_id_are_told_apart_by_more_than_their_print(spark, monkeypatch):
+    """With prints that are all equal, documents without an id are still documents of their own."""
+    monkeypatch.setattr(substring_dedup, "prints", lambda data, places: np.zeros(len(places) - 1, np.int64))
+    repeated = prose(5, 40)
+    rows = [(None, f"{prose(6, 200)}\n{repeated}"), (None, prose(7, 12)), (None, repeated), (None, prose(8, 300)), (1, repeated)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = substring_dedup.remove_repeats(docs).collect()
+    assert sorted(r.text.strip() for r in left) == sorted([prose(6, 200), prose(7, 12), "", prose(8, 300), repeated])
+
+
 def near(text, seed, changes):
     rng, words = random.Random(seed), text.split()
     for _ in range(changes):
