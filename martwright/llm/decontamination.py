@@ -161,16 +161,26 @@ def _spans(row: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def latent_space(matrix: DataFrame, weight: np.ndarray, items: np.ndarray, params: LeakParams) -> np.ndarray:
-    """Randomised decomposition: right singular vectors of the passages, one row per term, and after
-    them what the columns of ``items`` have outside these."""
+    """Right singular vectors of the passages, one row per term, and after them what the columns of ``items``
+    have outside these."""
+    return np.linalg.qr(np.hstack([singular_vectors(matrix, weight, params), items]))[0].astype(np.float32)
+
+
+def singular_vectors(matrix: DataFrame, weight: np.ndarray, params: LeakParams) -> np.ndarray:
+    """Randomised decomposition in two passes over the passages.
+
+    The first finds a basis near the leading vectors. The product of the second, Y, with the basis Q gives the
+    Nyström form ``Y (Q' Y)^-1 Y'`` of ``A' A``, whose vectors are those of Y divided by the root of the core:
+    as exact as a further pass that only projected."""
     width = min(params.rank + 8, len(weight))
     basis = np.random.default_rng(2).normal(size=(len(weight), width))
-    for _ in range(2):
-        basis = np.linalg.qr(_products(matrix, weight, basis) + 1e-9 * basis)[0]
-    small = basis.T @ _products(matrix, weight, basis)
-    values, vectors = np.linalg.eigh((small + small.T) / 2)
-    order = np.argsort(-values)[: params.rank]
-    return np.linalg.qr(np.hstack([basis @ vectors[:, order], items]))[0].astype(np.float32)
+    basis = np.linalg.qr(_products(matrix, weight, basis) + 1e-9 * basis)[0]
+    product = _products(matrix, weight, basis)
+    product += (1e-6 * np.linalg.norm(product) + 1e-9) * basis  # keeps the core positive
+    core = basis.T @ product
+    values, vectors = np.linalg.eigh((core + core.T) / 2)
+    root = vectors / np.sqrt(np.maximum(values, 1e-12))
+    return np.linalg.svd(product @ root, full_matrices=False)[0][:, : params.rank]
 
 
 def item_vectors(index: np.ndarray, idf: np.ndarray, bucket: np.ndarray, first: np.ndarray, terms: int) -> np.ndarray:

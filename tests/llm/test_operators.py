@@ -444,6 +444,12 @@ def test_space_is_made_from_the_lines_of_all_documents(spark):
     basis = np.random.default_rng(2).normal(size=(len(terms), 5))
     got = decontamination._products(matrix, idf[terms], basis)
     assert np.allclose(got, plain[:, terms].T @ (plain[:, terms] @ basis), atol=1e-3)
+    # The vectors hold nearly as much of the passages as the best ones would.
+    found = decontamination.singular_vectors(matrix, idf[terms], params)
+    best = np.linalg.svd(plain[:, terms], compute_uv=False)[: params.rank]
+    assert np.allclose(found.T @ found, np.eye(params.rank), atol=1e-6)
+    held, chance = (((plain[:, terms] @ v) ** 2).sum() / (best**2).sum() for v in (found, np.linalg.qr(np.random.default_rng(4).normal(size=found.shape))[0]))
+    assert held > 0.85 > 2 * chance
     items = np.random.default_rng(3).random((len(terms), 4))
     space = decontamination.latent_space(matrix, idf[terms], items, params)
     assert space.shape[1] == params.rank + 4 and np.allclose(space @ (space.T @ items), items, atol=1e-3)
