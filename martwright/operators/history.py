@@ -44,15 +44,16 @@ def merge_open(
     opened. A new key: a first version is opened. One full outer join; each joined pair gives
     its one or two versions in place, so the join isn't repeated per case. A NULL key matches
     nothing: its open versions stay and its staged rows open first ones. Such rows go around the
-    join, where they would all meet in one task.
+    join, where they would all meet in one task. The key is joined as a column of its own, so open versions
+    that are stored in buckets by key are read where they are, and only ``staged`` is shuffled.
     """
     keyless = open_versions.filter(F.col(key).isNull()), staged.filter(F.col(key).isNull())
     open_versions, staged = (df.filter(F.col(key).isNotNull()) for df in (open_versions, staged))
     now, attrs = timestamp(run_ts), staged.columns
     columns = [*attrs, VALID_FROM, VALID_TO, VERSION_ID, FIRST_VERSION]
-    old = open_versions.select(F.struct(*columns).alias("old"))
-    new = staged.select(F.struct(*attrs).alias("new"))
-    pairs = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
+    old = open_versions.select(F.col(key).alias("__old"), F.struct(*columns).alias("old"))
+    new = staged.select(F.col(key).alias("__new"), F.struct(*attrs).alias("new"))
+    pairs = old.join(new, F.col("__old") == F.col("__new"), "full_outer")
 
     def opened(first: bool) -> Column:
         return F.struct(*[F.col(f"new.{c}").alias(c) for c in attrs], *_opened(F.col(f"new.{key}"), now, first))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from martwright.functions.audit import timestamp, utc_naive
-from martwright.functions.frames import for_each
+from martwright.functions.frames import counted, for_each
 from martwright.operators.asof import choose_asof_join
 from martwright.operators.history import assert_unique_key, first_load, merge_open, scd2_replay
 from martwright.plans.dimensions import NATURAL_KEYS, TRACKED, dim_date, dim_participants, dim_policies, dim_product
@@ -56,26 +56,31 @@ def run_daily(
     run, raw = store.run_id(run_ts), f"{store.root}/raw"
     last = before.run if before else None
 
+    rows: dict[str, int] = {}
+
     def take_in(table: str) -> str:
         if sources:
-            land(sources[table], raw, table, run_date)
+            landed, seen = counted(sources[table])
+            land(landed, raw, table, run_date)
+            rows[f"landed.{table}"] = seen()
         newest = max(extract_days(spark, raw, table))
         if newest > str(run_date):
             warnings.warn(f"{table}: extract of {newest} stays the latest until that day has passed")
-        day, rows = latest_day(spark, raw, table)
-        store.write_staging(run, table, conform(rows, SOURCES[table]))
+        day, extract = latest_day(spark, raw, table)
+        rows[f"staged.{table}"] = store.write_staging(run, table, conform(extract, SOURCES[table]))
         if table in NATURAL_KEYS:
             _keep_history(store, run, last, table, run_ts)
         return day
 
     extracts = dict(zip(SOURCES, for_each(SOURCES, take_in)))
     staged = {table: store.staging(run, table) for table in SOURCES}
-    _build_marts(store, run, staged, {t: store.history(run, t) for t in NATURAL_KEYS}, run_ts, last, part_formats)
+    histories = {t: store.history(run, t) for t in NATURAL_KEYS}
+    rows |= _build_marts(store, run, staged, histories, run_ts, last, part_formats)
 
     passed = _check(store, run, staged)
     if audit_copy:
         for_each(MARTS, lambda mart: export_audit(store.mart(run, mart), f"{store.root}/audit", mart, run_date))
-    store.commit(run_ts, loaded_at or datetime.now(timezone.utc), extracts)
+    store.commit(run_ts, loaded_at or datetime.now(timezone.utc), extracts, rows)
     if jdbc_url:
         load_published(spark, root, jdbc_url)
     return Run(run, passed, store.published())
@@ -112,7 +117,7 @@ def rebuild(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         store.write_staging(run, table, staged)
         if table in NATURAL_KEYS:
             replayed = scd2_replay(taken.drop("run"), NATURAL_KEYS[table], TRACKED[table], "run_ts")
-            store.write_versions(run, table, replayed)
+            store.write_versions(run, table, replayed, NATURAL_KEYS[table])
 
     for_each(SOURCES, take_again)
     staged = {table: store.staging(run, table) for table in SOURCES}
@@ -148,10 +153,10 @@ def _keep_history(store: Store, run: str, last: str | None, table: str, run_ts:
     key, staged = NATURAL_KEYS[table], store.staging(run, table)
     assert_unique_key(staged, key)
     if last:
-        versions = merge_open(store.open_versions(last, table), staged, key, TRACKED[table], run_ts)
+        versions = merge_open(store.open_versions(last, table, key), staged, key, TRACKED[table], run_ts)
     else:
         versions = first_load(staged, key, run_ts)
-    store.write_versions(run, table, versions)
+    store.write_versions(run, table, versions, key, last)
 
 
 def _build_marts(
@@ -162,31 +167,39 @@ def _build_marts(
     run_ts: datetime,
     last: str | None = None,
     part_formats: dict[str, str] | None = None,
-) -> None:
-    """Facts read the policies as written, so the dimension isn't computed once per fact. They are built upon
+) -> dict[str, int]:
+    """Rows of all marts, written. Facts read the policies as written, so the dimension isn't computed once per fact. They are built upon
     those of the run ``last``, or anew."""
 
+    rows: dict[str, int] = {}
+
+    def write(mart: str, df: DataFrame) -> None:
+        rows[f"mart.{mart}"] = store.write_mart(run, mart, df)
+
     def policies_and_facts() -> None:
-        store.write_mart(run, "dim_policies", dim_policies(histories["policies"], run_ts))
+        write("dim_policies", dim_policies(histories["policies"], run_ts))
         policies = store.mart(run, "dim_policies")
         resolve = choose_asof_join(policies, "policy_id")
         opened = store.open_versions(run, "policies").filter(F.col(VALID_FROM) == timestamp(run_ts))
 
         def refresh(fact: str) -> None:
             part_format = (part_formats or {}).get(fact, MONTH)
-            refresh_fact(store, run, last, fact, staged[FACTS[fact][0]], policies, opened, run_ts, resolve, part_format)
+            rows[f"mart.{fact}"] = refresh_fact(
+                store, run, last, fact, staged[FACTS[fact][0]], policies, opened, run_ts, resolve, part_format
+            )
 
         for_each(FACTS, refresh)
 
     def participants() -> None:
         dim = dim_participants(histories["participants"], staged["participants"], run_ts)
-        store.write_mart(run, "dim_participants", dim)
+        write("dim_participants", dim)
 
     def product_and_date() -> None:
-        store.write_mart(run, "dim_product", dim_product(staged["policies"], run_ts))
-        store.write_mart(run, "dim_date", dim_date(store.spark, run_ts))
+        write("dim_product", dim_product(staged["policies"], run_ts))
+        write("dim_date", dim_date(store.spark, run_ts))
 
     for_each([policies_and_facts, participants, product_and_date], lambda build: build())
+    return rows
 
 
 def _check(store: Store, run: str, staged: dict[str, DataFrame]) -> int:

@@ -65,11 +65,11 @@ def refresh_fact(
     run_ts: datetime,
     resolve: AsofJoin = asof_join,
     part_format: str = MONTH,
-) -> None:
+) -> int:
     """Write the touched parts of a fact and the manifest of ``run``, which follows ``last``.
 
     Without a ``last``, or a manifest of it, all parts are written; so they are if ``part_format`` has changed.
-    A part that is empty now is left out."""
+    A part that is empty now is left out. Returns the rows of the fact: those written and those kept."""
     date_col = FACTS[mart][1]
     part = part_of(date_col, part_format)
     now = part_digests(staged, part)
@@ -86,7 +86,9 @@ def refresh_fact(
     # The list of parts grows by one a month.
     chosen = staged.withColumn("part", part).join(F.broadcast(written), "part", "left_semi")
     resolved = build_fact(mart, chosen.select(*staged.columns), policies, run_ts, resolve)
-    store.write_fact(run, mart, resolved.drop("dbt_run_started_at").withColumn("part", part))
+    new = store.write_fact(run, mart, resolved.drop("dbt_run_started_at").withColumn("part", part))
+    kept_rows = store.parts(run, mart).filter(F.col("written_by") != run).agg(F.sum("rows")).first()[0]
+    return new + (kept_rows or 0)
 
 
 def written_rows(store: Store, run: str) -> DataFrame:

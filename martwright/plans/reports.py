@@ -106,3 +106,26 @@ def _count_each(tables: Marts) -> DataFrame:
     return union_all(
         [df.agg(F.count("*").alias("n")).select(F.lit(t).alias("table_name"), "n") for t, df in tables.items()]
     )
+
+
+def reconciliation(log: DataFrame) -> DataFrame:
+    """``table_name, landed, staged, published, agrees`` of the last run in a commit log.
+
+    The numbers are those that the writes of the run saw, so no table is scanned. ``landed`` is NULL for
+    extracts that the run found; a dimension's versions aren't compared."""
+    last = log.orderBy(F.desc("run_ts")).limit(1).select("rows")
+    named = {"participants": "dim_participants", "policies": "dim_policies"} | {source: fact for fact, (source, _) in FACTS.items()}
+    rows = [
+        F.struct(
+            F.lit(source).alias("table_name"),
+            F.col("rows")[f"landed.{source}"].alias("landed"),
+            F.col("rows")[f"staged.{source}"].alias("staged"),
+            F.col("rows")[f"mart.{mart}"].alias("published"),
+            F.lit(mart in FACTS).alias("fact"),
+        )
+        for source, mart in named.items()
+    ]
+    found = last.select(F.inline(F.array(*rows)))
+    same = F.coalesce(F.col("landed") == F.col("staged"), F.lit(True))
+    agrees = same & (~F.col("fact") | (F.col("staged") == F.col("published")))
+    return found.select("table_name", "landed", "staged", "published", agrees.alias("agrees"))

@@ -162,3 +162,30 @@ def test_settings_follow_the_size_of_the_shuffle():
     assert cluster_settings(2 * 1024**4)[name] == "8192"
     assert cluster_settings(100 * 1024**4)[name] == str(100 * 4096)
     assert object_store_settings("http://store", "k", "s")["spark.hadoop.fs.s3a.path.style.access"] == "true"
+
+
+def test_removing_old_runs_keeps_what_later_runs_and_a_rebuild_need(spark, clean, tmp_path):
+    """Three runs; the parts of the facts that the second and third didn't touch are where the first wrote them."""
+    root = str(tmp_path / "a")
+    policies = clean["policies"]
+    statuses = ["Lapsed", "Active", "Matured", "Active"]
+    days = [clean | {"policies": policies.withColumn("status", F.lit(s))} for s in statuses]
+    for day, at, sources in list(zip(DAYS, RUNS, days))[:3]:
+        run_daily(spark, root, day, at, sources)
+    store = Store(spark, root)
+    store.write_staging("r19990101000000000000", "claims", store.staging(store.run_id(RUNS[0]), "claims"))  # of a run that failed
+    published = {name: rows(df) for name, df in store.published().items()}
+    rebuilt = {name: rows(df) for name, df in rebuild(spark, root).items()}
+    gone = store.remove_runs(RUNS[2])
+    old = [store.run_id(r) for r in RUNS[:2]]
+    assert f"staging/run={old[0]}" in gone and "staging/run=r19990101000000000000" in gone
+    assert f"marts/run={old[1]}/dim_policies" in gone and not any("kept_as=closed" in g for g in gone)
+    assert not any(g.startswith(f"marts/run={old[0]}/fct_agency") for g in gone)  # still in use
+    assert {name: rows(df) for name, df in store.published().items()} == published
+    assert {name: rows(df) for name, df in rebuild(spark, root).items()} == rebuilt
+    again = run_daily(spark, root, "2024-02-04", RUNS[3], days[3])
+    assert again.marts["dim_policies"].count() == 4 * policies.count()
+    full = rebuild(spark, root)
+    for name in MARTS:
+        assert rows(without_stamps(again.marts[name])) == rows(without_stamps(full[name]))
+    assert store.remove_runs(RUNS[2]) == [] or all("rebuild" not in g for g in store.remove_runs(RUNS[2]))

@@ -29,10 +29,10 @@ def claims(spark, rows):
 def take(store, run, last, staged, facts, run_ts):
     """What a daily run does for one fact."""
     if last:
-        versions = merge_open(store.open_versions(last, "policies"), staged, "policy_id", TRACKED["policies"], run_ts)
+        versions = merge_open(store.open_versions(last, "policies", "policy_id"), staged, "policy_id", TRACKED["policies"], run_ts)
     else:
         versions = first_load(staged, "policy_id", run_ts)
-    store.write_versions(run, "policies", versions)
+    store.write_versions(run, "policies", versions, "policy_id", last)
     store.commit(run_ts, run_ts, {})
     dim = dim_policies(store.history(run, "policies"), run_ts)
     opened = store.open_versions(run, "policies").filter(F.col(VALID_FROM) == timestamp(run_ts))
