@@ -41,7 +41,9 @@ _ENDS = np.isin(np.arange(256), np.frombuffer(ENDS, np.uint8))
 _LAST = (1 << 63) - (1 << 31)
 _RANK = f"coalesce(cast(doc_id AS bigint), {_LAST} + (xxhash64(text) & {(1 << 31) - 1}))"
 
-UNITS = "high long, low int, rank long, place long, words int, begin int, end int, last int"
+#: ``info``: words in the lower 24 bits; above, for a line, one more than the number of its last unit.
+UNITS = "high long, low int, rank long, place long, info long, begin int, end int"
+_WORDS, _LINE = 0xFFFFFF, 24
 
 
 def cut_units(data: np.ndarray, places: np.ndarray, params: DedupParams) -> tuple[words.Words, np.ndarray, np.ndarray]:
@@ -108,10 +110,9 @@ def units(docs: DataFrame, params: DedupParams) -> DataFrame:
                             "low": words.stretches(words.mix(hashed + np.uint64(97)), begin, end).astype(np.int32),
                             "rank": ids[row + of],
                             "place": printed[of] | unit[a],
-                            "words": (end - begin).astype(np.int32),
+                            "info": np.minimum(end - begin, _WORDS) | ((unit[b - 1] + 1) << _LINE if lines else 0),
                             "begin": (chars[found.starts[begin]] - chars[places[of]]).astype(np.int32),
                             "end": (chars[found.ends[end - 1]] - chars[places[of]]).astype(np.int32),
-                            "last": pa.array(unit[b - 1], pa.int32()) if lines else pa.nulls(len(a), pa.int32()),
                         }
                     )
 
@@ -142,10 +143,12 @@ def repeats(docs: DataFrame, params: DedupParams, spans: bool) -> DataFrame:
     all_units, digest = units(docs, params), ["high", "low"]
     more = ["begin"] if spans else []
     first = F.min(F.struct("rank", "place", *more)).alias("first")
-    firsts = all_units.groupBy(*digest).agg(first, F.count("*").alias("n")).filter("n > 1").drop("n")
+    firsts = all_units.groupBy(*digest).agg(first)
     later = all_units.join(firsts, digest).filter(F.struct("rank", "place") > F.struct("first.rank", "first.place"))
     print_, unit = F.expr("shiftright(place, 32)").alias("print"), F.expr("place & 4294967295").alias("unit")
     kept = ["begin", "end", F.struct("first.rank", "first.begin").alias("kept")] if spans else []
+    last = F.nullif(F.shiftright("info", _LINE), F.lit(0).cast("long")) - 1
+    later = later.withColumn("last", last).withColumn("words", F.col("info").bitwiseAND(F.lit(_WORDS)).cast("int"))
     found = later.select("rank", print_, unit, "words", F.col("last").isNotNull().alias("line"), "last", *kept)
     # One shuffle by document serves all that follows. Repeated rows give a unit more than once.
     by_unit = Window.partitionBy("rank", "print").orderBy("line", "unit")
