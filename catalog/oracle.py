@@ -269,6 +269,13 @@ CTES = {
     "first_seen": """
     SELECT user_id AS key, min(run_ts) AS seen FROM events JOIN daily_runs ON ts < run_ts - INTERVAL 2 HOUR
     GROUP BY user_id""",
+    # days taken in by a stream
+    "intake_policies": f"""
+    SELECT {POLICY_COLUMNS}, run_ts
+    FROM events JOIN (SELECT unnest(range(TIMESTAMP '2024-01-07 02:00:00', TIMESTAMP '2024-02-01', INTERVAL 6 DAY)) AS run_ts)
+      ON ts < run_ts - INTERVAL 2 HOUR
+    QUALIFY row_number() OVER (PARTITION BY user_id, run_ts ORDER BY ts DESC, event_id DESC) = 1""",
+    "intake_policies_history": _versions("intake_policies", "policy_id", "status", "agent_id", "contribution_amount"),
     # faulty copies
     "x_stg_participants": """
     SELECT * REPLACE (CASE WHEN cast(participant_id AS bigint) % 200 = 9 THEN NULL ELSE participant_id END AS participant_id)
@@ -549,6 +556,8 @@ QUERIES = {
     "scd2_replay": "SELECT * FROM customer_versions",
     "scd2_merge_bucketed": "SELECT * FROM policies_history",
     "scd2_late": "SELECT * FROM policies_history",
+    "intake_history": """
+    SELECT *, md5(policy_id || '|' || cast(dbt_valid_from AS varchar)) AS dbt_scd_id FROM intake_policies_history""",
     "surrogate_key": f"""
     SELECT event_id, {_sk('event_id')} AS one,
            {_sk('user_id', 'CASE WHEN event_id % 3 > 0 THEN c_mktsegment END', 'ts')} AS three

@@ -21,6 +21,7 @@ from martwright.plans.daily import rebuild, run_daily
 from martwright.plans.dimensions import TRACKED
 from martwright.plans.facts import FACTS, build_fact
 from martwright.plans.increments import written_rows
+from martwright.plans.intake import Intake
 from martwright.plans.suite import checks, summarize
 from martwright.schemas import HISTORY_COLUMNS, SOURCES, conform
 from martwright.sources import landing, publish, raw
@@ -186,6 +187,17 @@ def late_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reference_columns(history, "policies")
 
 
+def intake_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day folders taken in by a stream, one of them after later ones."""
+    root = s.work_folder(spark)
+    intake = Intake(spark, root, "policies", s.run_time)
+    for wave in s.INTAKE_DAYS:
+        for day in wave:
+            landing.land(s.policies(spark, sf_dir, until=day), f"{root}/raw", "policies", day)
+        intake.run()
+    return reference_columns(intake.history(), "policies")
+
+
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = s.table(spark, sf_dir, "events").join(
         s.table(spark, sf_dir, "customer"), F.col("user_id") == F.col("c_custkey"), "left"
@@ -526,6 +538,7 @@ def registry() -> dict[str, Query]:
         "scd2_merge": merged_history,
         "scd2_merge_bucketed": bucketed_history,
         "scd2_late": late_history,
+        "intake_history": intake_history,
         "surrogate_key": surrogate_keys,
         "dim_policies": partial(fact, "dim_policies"),
         "dim_participants": partial(fact, "dim_participants"),

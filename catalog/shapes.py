@@ -27,6 +27,9 @@ FIRST_DAY, SECOND_DAY = "2024-01-15", "2024-01-30"
 #: Days of three daily runs, and the last digit of the ids that are away on each.
 DAILY_RUNS = {"2024-01-10": "1", "2024-01-20": "2", "2024-01-30": None}
 
+#: Days of extracts that a stream takes in, in the order in which their folders come.
+INTAKE_DAYS = [["2024-01-06", "2024-01-18", "2024-01-24"], ["2024-01-12", "2024-01-30"]]
+
 #: Facts that are kept by day rather than by month.
 PARTS = {"fct_contributions": "yyyy-MM-dd", "fct_claims": "yyyy-MM-dd"}
 

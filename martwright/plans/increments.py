@@ -79,16 +79,17 @@ def refresh_fact(
     compared = now.join(known, "part", "left").join(touched, "part", "left")
     kept = (F.col("digest") == F.col("__digest")) & F.col("__touched").isNull()
     writer = F.when(kept, F.col("__by")).otherwise(F.lit(run))
-    manifest = compared.select("part", "rows", "digest", writer.alias("written_by"), run_stamp(run_ts))
+    # The list of parts grows by one a month, so it may be on the driver.
+    manifest = compared.select("part", "rows", "digest", writer.alias("written_by"), run_stamp(run_ts)).collect()
     store.write_parts(run, mart, manifest)
 
-    written = store.parts(run, mart).filter(F.col("written_by") == run).select("part")
-    # The list of parts grows by one a month.
-    chosen = staged.withColumn("part", part).join(F.broadcast(written), "part", "left_semi")
+    written = [p.part for p in manifest if p.written_by == run]
+    kept_rows = sum(p["rows"] for p in manifest if p.written_by != run)
+    if manifest and not written:
+        return kept_rows
+    chosen = staged.withColumn("part", part).filter(F.col("part").isin(written))
     resolved = build_fact(mart, chosen.select(*staged.columns), policies, run_ts, resolve)
-    new = store.write_fact(run, mart, resolved.drop("dbt_run_started_at").withColumn("part", part))
-    kept_rows = store.parts(run, mart).filter(F.col("written_by") != run).agg(F.sum("rows")).first()[0]
-    return new + (kept_rows or 0)
+    return kept_rows + store.write_fact(run, mart, resolved.drop("dbt_run_started_at").withColumn("part", part))
 
 
 def written_rows(store: Store, run: str) -> DataFrame:

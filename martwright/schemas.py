@@ -181,6 +181,18 @@ TEXT_WIDTHS = {
     "payment_method": 30,
 }
 DEFAULT_TEXT_WIDTH = 20
+# Columns of the serving tables that hold text of any script.
+NATIONAL_TEXTS = {
+    "claim_type",
+    "full_name",
+    "payment_method",
+    "payment_mode",
+    "product_category",
+    "product_name",
+    "state",
+    "status",
+    "transaction_type",
+}
 
 # Columns of a history beside those of its source.
 VALID_FROM, VALID_TO, VERSION_ID = "dbt_valid_from", "dbt_valid_to", "dbt_scd_id"

@@ -12,7 +12,7 @@ import warnings
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -83,6 +83,36 @@ def scan_extracts(spark: SparkSession, root: str, table: str, dates: list[str] |
     return united.select(*data, "filename", "extract_date")
 
 
+def header_drift(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """``from_day, to_day, days, columns, came, went, moved``: the intervals of days with the same header.
+
+    ``came`` and ``went`` are columns that the interval has and the one before it hasn't, and the other way
+    round; ``moved`` are those of both that stand at another place among them. Days without a header are left
+    out. One header per day is read."""
+    days = [(day, folders) for day, folders in sorted(extract_days(spark, root, table).items()) if day]
+    headers = for_each(days, lambda day: _header(spark, day[1]))
+    rows = [(day, list(header)) for (day, _), header in zip(days, headers) if header]
+    named = spark.createDataFrame(rows, "day string, columns array<string>")
+    by_day = Window.orderBy("day")  # a row per day
+    opens = ~F.lag("columns").over(by_day).eqNullSafe(F.col("columns"))
+    spans = named.withColumn("span", F.sum(opens.cast("int")).over(by_day)).groupBy("span", "columns")
+    found = spans.agg(F.min("day").alias("from_day"), F.max("day").alias("to_day"), F.count("*").alias("days"))
+    before = F.coalesce(F.lag("columns").over(Window.orderBy("from_day")), F.col("columns"))
+    both = found.withColumn("before", before).withColumns(
+        {"now": F.array_intersect("columns", "before"), "then": F.array_intersect("before", "columns")}
+    )
+    moved = F.filter("now", lambda c: F.array_position("now", c) != F.array_position("then", c))
+    return both.select(
+        "from_day",
+        "to_day",
+        "days",
+        "columns",
+        F.array_except("columns", "before").alias("came"),
+        F.array_except("before", "columns").alias("went"),
+        moved.alias("moved"),
+    )
+
+
 def scan_latest(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Rows of the newest day that has rows.
 

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType
 
@@ -170,8 +170,9 @@ class Store:
         Rows are dealt by part, so that a part has few files; AQE splits a large one between tasks."""
         return self._write(df.hint("rebalance", F.col("part")), f"{self.root}/marts/run={run}/{mart}", "part")
 
-    def write_parts(self, run: str, mart: str, manifest: DataFrame) -> None:
-        manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/parts/run={run}/{mart}")
+    def write_parts(self, run: str, mart: str, manifest: list[Row]) -> None:
+        rows = self.spark.createDataFrame(manifest, _PARTS).coalesce(1)
+        rows.write.mode("overwrite").parquet(f"{self.root}/parts/run={run}/{mart}")
 
     def parts(self, run: str, mart: str) -> DataFrame:
         """``part, rows, digest, written_by`` of a fact as of a run, and the run's stamp."""

@@ -12,7 +12,7 @@ from martwright.plans.suite import GateError
 from martwright.schemas import MARTS
 from martwright.session import cluster_settings, object_store_settings
 from martwright.sources.landing import land
-from martwright.sources.publish import export_audit, jdbc_column_types, jdbc_options, publish
+from martwright.sources.publish import export_audit, jdbc_column_types, jdbc_options, publish, serving_table
 from martwright.sources.store import Store
 
 DAYS = ["2024-02-01", "2024-02-02", "2024-02-03"]
@@ -156,6 +156,16 @@ def test_serving_table_options():
     )
 
 
+def test_serving_tables_take_names_of_any_script():
+    assert serving_table("dim_participants") == (
+        "CREATE TABLE marts.dim_participants (participant_sk VARCHAR(64) PRIMARY KEY, participant_id VARCHAR(20), "
+        "full_name NVARCHAR(200), ic_number VARCHAR(20), state NVARCHAR(50), date_of_birth DATE, gender VARCHAR(1), "
+        "join_date DATE, valid_from DATETIME2, valid_to DATETIME2, is_current BIT, dbt_run_started_at DATETIME2, "
+        "etl_loaded_at DATETIME2)"
+    )
+    assert "commission_rate DECIMAL(5,2)" in serving_table("fct_agency_commissions", "s") and "term_years INT" in serving_table("dim_policies")
+
+
 def test_settings_follow_the_size_of_the_shuffle():
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert cluster_settings(10)[name] == "200"

@@ -56,6 +56,19 @@ def test_one_scan_per_header_not_per_day(spark, root):
     assert df.count() == 9
 
 
+def test_headers_that_drift(spark, root):
+    headers = {"01": "id,a,b", "02": "id,a,b", "03": "id,b,a", "05": "id,b,c", "06": "", "07": "id,b,c", "08": "id,a,b"}
+    for day, header in headers.items():
+        put(root, "t", f"2024-01-{day}", f"{header}\n" if header else "")
+    found = landing.header_drift(spark, root, "t").orderBy("from_day").collect()
+    assert [(r.from_day[-2:], r.to_day[-2:], r.days, r.came, r.went, r.moved) for r in found] == [
+        ("01", "02", 2, [], [], []),
+        ("03", "03", 1, [], [], ["b", "a"]),
+        ("05", "07", 2, ["c"], ["a"], []),
+        ("08", "08", 1, ["a"], ["c"], []),
+    ]
+
+
 def test_files_of_a_day_must_share_their_header(spark, root):
     put(root, "t", "2024-01-01", "id,status\n1,a\n", "part-0")
     put(root, "t", "2024-01-01", "status,id\na,2\n", "part-1")
