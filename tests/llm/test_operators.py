@@ -57,10 +57,15 @@ def plain_spans(texts, params):
     return out
 
 
-def test_substring_dedup_equals_plain_version(spark):
+@pytest.mark.parametrize("places, group_bytes", [(16, 8 * 1024**2), (1, 8 * 1024**2), (1, 1), (2, 1)])
+def test_substring_dedup_equals_plain_version(spark, monkeypatch, places, group_bytes):
+    """Whichever places are grouped by digest, and with all rows given twice."""
+    monkeypatch.setattr(substring_dedup, "PLACES", places)
+    monkeypatch.setattr(substring_dedup, "GROUP_BYTES", group_bytes)
     docs = documents(spark, LARGER)
-    got = substring_dedup.removed_spans(docs).collect()
+    got = substring_dedup.removed_spans(docs.unionByName(docs)).collect()
     texts = {r.doc_id: r.text for r in docs.collect()}
+    assert len(got) == len(set(got))
     assert {(r.doc_id, r.begin, r.end, r.n_words, r.kept_doc_id, r.kept_begin) for r in got} == plain_spans(
         texts, substring_dedup.DedupParams()
     )
