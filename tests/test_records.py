@@ -119,3 +119,18 @@ def test_a_header_that_differs_raises_in_spanning_files_too(spark, tmp_path):
     put(str(tmp_path), "2024-01-01", 'text,id,last\n"a\nb",1,c\n', "two")
     with pytest.raises(Exception, match="(?i)header"):
         landing.scan_latest(spark, str(tmp_path), "t").collect()
+
+
+def test_without_spanning_records_rows_come_from_one_scan(spark, tmp_path):
+    put(str(tmp_path), "2024-01-01", f"{HEADER}\n1,a\r\n2,\"b, \"\"c\"\"\",d\n")
+    plan = landing.scan_latest(spark, str(tmp_path), "t")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("line", ['1,"a', "1,a\rb,c", '1,"a\nb",c'])
+def test_a_line_that_spans_is_seen_in_any_file(spark, tmp_path, line):
+    put(str(tmp_path), "2024-01-01", f"{HEADER}\n1,a,b\n", "plain")
+    assert not records.any_spanning(records.raw_lines(spark, [f"{tmp_path}/t/2024-01-01"]))
+    put(str(tmp_path), "2024-01-01", f"{HEADER}\n{line}\n", "odd")
+    lines = records.raw_lines(spark, [f"{tmp_path}/t/2024-01-01"])
+    assert records.any_spanning(lines) and records.spanning_ranges(lines).count() == 1
