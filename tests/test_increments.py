@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from martwright.functions.audit import timestamp
 from martwright.operators.history import first_load, merge_open
+from martwright.plans import increments
 from martwright.plans.dimensions import TRACKED, dim_policies
 from martwright.plans.facts import build_fact
 from martwright.plans.increments import part_digests, part_of, refresh_fact, written_rows
 from martwright.schemas import SOURCES, VALID_FROM, conform
-from martwright.sources.store import Store
+from martwright.sources.store import LARGE_PART, Store
 
 MART = "fct_claims"
 
@@ -101,3 +102,34 @@ def test_empty_facts(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     none = claims(spark, []).limit(0)
     assert take(store, store.run_id(run_at(0)), None, policies(spark, [("p", "Active")]), none, run_at(0)) == (0, 0, 0, 0)
+
+
+def test_digests_are_the_same_by_date_first(spark):
+    rows = [(f"c{i}", f"p{i % 3}", date(2024, 1 + i % 2, 1 + i % 9) if i % 5 else None, "s") for i in range(50)]
+    staged, part = claims(spark, rows), part_of("claim_date")
+    by_date = part_digests(staged, part, "claim_date")
+    assert sorted(map(tuple, by_date.collect())) == sorted(map(tuple, part_digests(staged, part).collect()))
+
+
+def test_versions_are_joined_only_if_a_part_may_be_kept(spark, tmp_path, monkeypatch):
+    def joined(*_):
+        raise AssertionError("no part is as it was")
+
+    monkeypatch.setattr(increments, "touched_parts", joined)
+    store, known = Store(spark, str(tmp_path)), policies(spark, [("p0", "Active"), ("p1", "Active")])
+    facts = [(f"c{i}", f"p{i % 2}", date(2023, 1 + i % 3, 3), "s") for i in range(12)]
+    runs = [store.run_id(run_at(d)) for d in (0, 1)]
+    assert take(store, runs[0], None, known, claims(spark, facts), run_at(0)) == (3, 3, 12, 12)
+    other = [(*f[:3], "other") for f in facts]
+    assert take(store, runs[1], runs[0], known, claims(spark, other), run_at(1)) == (3, 3, 12, 12)
+
+
+def test_rows_of_large_parts_are_not_moved(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    rows = claims(spark, [(f"c{i}", "p", date(2024, 1 + i % 2, 1), "s") for i in range(40)]).repartition(4)
+    df = rows.withColumn("part", part_of("claim_date"))
+    files = lambda run: [len(list(p.glob("*.parquet"))) for p in (tmp_path / "marts" / f"run={run}" / MART).glob("part=*")]
+    assert store.write_fact("small", MART, df, LARGE_PART - 1) == 40 and files("small") == [1, 1]
+    assert store.write_fact("large", MART, df, LARGE_PART) == 40 and files("large") == [4, 4]
+    kept = [spark.read.parquet(f"{tmp_path}/marts/run={run}/{MART}").collect() for run in ("small", "large")]
+    assert sorted(map(str, kept[0])) == sorted(map(str, kept[1]))

@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 
 from martwright.operators import quality as q
-from martwright.plans.suite import GateError, checks, count_violations, gate, summarize
+from martwright.plans.suite import GateError, _as_text, checks, count_violations, gate, summarize
 
 DIM = "k string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean"
 T0 = datetime(2024, 1, 1)
@@ -125,3 +125,24 @@ def test_summary_in_parts_and_as_one_query_agree(spark, small):
     assert count_violations(tables) == whole
     for check in checks():
         assert check.rows(tables).count() == whole[check.name]
+
+
+def test_keys_are_counted_as_they_are(spark):
+    """No array is made and taken apart per row; pairs of values that read the same together stay apart."""
+    suite = [c for c in checks() if c.name in ("unique_combination_dim_policies", "unique_dim_policies_policy_sk", "exactly_one_current_version_dim_policies")]
+    rows = [("s", "a", T0, True), ("s", None, T0, False), (None, None, T0, True), (None, None, None, True), ("t", "a", T0 + timedelta(days=1), True)]
+    table = spark.createDataFrame(rows, "policy_sk string, policy_id string, valid_from timestamp_ntz, is_current boolean")
+    df = summarize({"dim_policies": table}, suite)
+    assert df._jdf.queryExecution().executedPlan().toString().count("Generate inline") == 1  # the names
+    found = {r.check_name.split("_dim")[0]: r.violations for r in df.collect()}
+    assert found == {"unique_combination": 1, "unique": 1, "exactly_one_current_version": 2}
+    pairs = spark.createDataFrame([("a", "1:b"), ("a1:", "b"), ("a", None), (None, "a"), ("-", "-"), (None, None)], "x string, y string")
+    assert pairs.select(_as_text(("x", "y"))).distinct().count() == 6
+
+
+def test_policies_of_a_day_are_aggregated_once(spark, small):
+    from catalog.shapes import sources_of_day
+
+    found = sources_of_day(spark, small, "2024-01-20")
+    for name in ("policies", "contributions", "claims", "agency_transactions"):
+        assert "Aggregate" not in found[name]._jdf.queryExecution().executedPlan().toString()
