@@ -90,7 +90,7 @@ def document_frequencies(docs: DataFrame, bits: int) -> np.ndarray:
             parts = pa.array(range(len(values)), pa.int32())
             yield pa.RecordBatch.from_arrays([parts, pa.array(values, pa.binary())], ["part", "values"])
 
-    counts = _sum_parts(docs.select("text").mapInArrow(run, "part int, values binary"), "i4")
+    counts = _sum_parts(tables.in_batches(docs.select("text"), run, "part int, values binary"), "i4")
     return counts if len(counts) else np.zeros(1 << bits)
 
 
@@ -117,7 +117,7 @@ def passages(docs: DataFrame, idf: Broadcast, terms: np.ndarray, params: LeakPar
                 values = [pa.array([x.tobytes()], pa.binary()) for x in arrays]
                 yield pa.RecordBatch.from_arrays(values, ["sizes", "terms", "norms"])
 
-    return docs.select("text").mapInArrow(run, "sizes binary, terms binary, norms binary")
+    return tables.in_batches(docs.select("text"), run, "sizes binary, terms binary, norms binary")
 
 
 def _products(matrix: DataFrame, weight: np.ndarray, basis: np.ndarray) -> np.ndarray:
@@ -150,7 +150,7 @@ def _products(matrix: DataFrame, weight: np.ndarray, basis: np.ndarray) -> np.nd
             numbers = pa.array(range(len(parts)), pa.int32())
             yield pa.RecordBatch.from_arrays([numbers, pa.array(parts, pa.binary())], ["part", "values"])
 
-    product = _sum_parts(matrix.mapInArrow(run, "part int, values binary"), "f4")
+    product = _sum_parts(tables.in_batches(matrix, run, "part int, values binary"), "f4")
     return product.reshape(-1, width) if len(product) else np.zeros(basis.shape)
 
 
@@ -469,7 +469,7 @@ def _searched(docs: DataFrame, model: Broadcast, ids: list[int | None], params:
                     leaks[begin + i] += [{"item_id": ids[x.pop("item")]} | x for x in items]
             yield batch.set_column(at, batch.schema.field(at), pa.array(leaks, batch.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return tables.in_batches(docs, run, docs.schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakParams()) -> DataFrame:

@@ -97,7 +97,7 @@ def sketches(docs: DataFrame, params: JoinParams) -> DataFrame:
                 columns |= {c: pa.array(columns[c], pa.binary()) for c in ("key", "sketch")}
                 yield pa.RecordBatch.from_pydict(columns)
 
-    return narrow.mapInArrow(run, tables.arrow_fields(narrow.select("doc_id"), "key binary, sketch binary"))
+    return tables.in_batches(narrow, run, tables.arrow_fields(narrow.select("doc_id"), "key binary, sketch binary"))
 
 
 def _matrix(batch: pa.RecordBatch, params: JoinParams) -> np.ndarray:
@@ -126,7 +126,7 @@ def _split(rows: DataFrame, params: JoinParams, at_root: bool) -> DataFrame:
             keys = batch.column(batch.schema.get_field_index("key")).take(pa.array(row))
             yield pa.RecordBatch.from_pydict({"path": child.view(np.int64), "key": keys})
 
-    return rows.mapInArrow(run, "path long, key binary")
+    return tables.in_batches(rows, run, "path long, key binary")
 
 
 def in_groups(
@@ -161,7 +161,7 @@ def in_groups(
         if out is not None:
             yield out
 
-    return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, schema)
+    return tables.in_batches(rows.repartition(*group).sortWithinPartitions(*group), run, schema)
 
 
 def _forest(tokens: np.ndarray, least: float) -> np.ndarray:
@@ -249,7 +249,8 @@ def verified(
             column = batch.column(batch.schema.get_field_index("text"))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), column], ["key", "text"])
 
-    texts = docs.select("text").mapInArrow(keyed, "key binary, text string").join(known, F.col("key") == F.col("node"))
+    texts = tables.in_batches(docs.select("text"), keyed, "key binary, text string")
+    texts = texts.join(known, F.col("key") == F.col("node"))
     once = texts.dropDuplicates(["key"]).select("root", "size", "key", "copies", "text")
     blocks = _block_pairs(once, F.col("size"), params.block)
 
@@ -368,6 +369,7 @@ def first_of_each(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFra
     first = sets.filter("key = class_key").select(F.col("key").alias(key), F.col("rank").alias(rank))
     chosen = work.store(first)
     work.drop(rows, sets)
-    with_key = docs.mapInArrow(keyed, tables.arrow_fields(docs, f"`{key}` binary")).withColumn(rank, F.expr(_RANK))
+    with_key = tables.in_batches(docs, keyed, tables.arrow_fields(docs, f"`{key}` binary"))
+    with_key = with_key.withColumn(rank, F.expr(_RANK))
     kept = with_key.join(chosen, [key, rank]).dropDuplicates([key, rank])
     return kept.select(*schema.names).unionByName(with_key.filter(F.col(key).isNull()).select(*schema.names))

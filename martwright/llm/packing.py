@@ -43,16 +43,19 @@ def encoder(params: PackParams):
     """Text to ids, as ``tokenizers`` has them for the vocabulary.
 
     The rank file of the same vocabulary gives the same ids several times as fast; only a text with
-    the name of a special token in it, which ``tokenizers`` takes for that token, goes there.
+    the name of a special token in it, which ``tokenizers`` takes for that token, goes there. Most
+    tasks have none and don't load it.
     """
     with open(public_tokenizers.path(f"{params.vocabulary}.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    whole = Tokenizer.from_file(public_tokenizers.path(f"{params.vocabulary}.json"))
+    whole: list[Tokenizer] = []
 
     def encode(text: str) -> np.ndarray:
         if params.special in text:
-            return np.array(whole.encode(text, add_special_tokens=False).ids, "<u4")
+            if not whole:
+                whole.append(Tokenizer.from_file(public_tokenizers.path(f"{params.vocabulary}.json")))
+            return np.array(whole[0].encode(text, add_special_tokens=False).ids, "<u4")
         return np.asarray(fast.encode_to_numpy(text, disallowed_special=()), "<u4")
 
     return encode
@@ -83,7 +86,7 @@ def tokenized_pieces(docs: DataFrame, params: PackParams = PackParams()) -> Data
                 values = [pa.array(v, k) for v, k in zip((piece, start, length, crc), kinds)]
                 yield pa.RecordBatch.from_arrays([ids, *values], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return narrow.mapInArrow(run, tables.arrow_fields(narrow.select("doc_id"), PIECE))
+    return tables.in_batches(narrow, run, tables.arrow_fields(narrow.select("doc_id"), PIECE))
 
 
 def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:

@@ -170,7 +170,7 @@ def units(docs: DataFrame, params: DedupParams, spans: bool = True) -> DataFrame
             yield batch_of(waiting)
 
     ranked = docs.select(F.expr(_RANK).alias("rank"), "text")
-    return ranked.mapInArrow(words.released(run), UNITS)
+    return tables.in_batches(ranked, run, UNITS)
 
 
 _ARROW_UNITS = pa.schema(
@@ -277,7 +277,7 @@ def remove_repeats(docs: DataFrame, params: DedupParams = DedupParams()) -> Data
         .groupBy(F.col("rank").alias(rank), F.col("print").alias(print_))
         .agg(F.sort_array(F.collect_list(F.struct("first_unit", "last_unit"))).alias(spans))
     )
-    keyed = docs.mapInArrow(words.released(printed), tables.arrow_fields(docs, f"`{print_}` long"))
+    keyed = tables.in_batches(docs, printed, tables.arrow_fields(docs, f"`{print_}` long"))
     keyed = keyed.withColumn(rank, F.expr(_RANK))
     joined = keyed.join(cuts, [rank, print_], "left").select(*columns, spans)
 
@@ -290,7 +290,7 @@ def remove_repeats(docs: DataFrame, params: DedupParams = DedupParams()) -> Data
                     texts[i] = _without(texts[i].encode(), [s.values() for s in stretches], params)
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.column(at).type)).select(columns)
 
-    return joined.mapInArrow(words.released(cut), schema)
+    return tables.in_batches(joined, cut, schema)
 
 
 def _without(text: bytes, stretches: list, params: DedupParams) -> str:

@@ -151,7 +151,7 @@ def score(docs: DataFrame, model: dict[str, bytes], params: ToxicityParams = Tox
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], [*batch.schema.names, name])
 
     ddl = f"`{name}` struct<score: double, spans: array<struct<begin: bigint, end: bigint, score: double>>>"
-    return docs.mapInArrow(run, tables.arrow_fields(docs, ddl))
+    return tables.in_batches(docs, run, tables.arrow_fields(docs, ddl))
 
 
 def _scored(data: np.ndarray, places: np.ndarray, weights: np.ndarray, bias: float, params: ToxicityParams) -> list:
