@@ -40,6 +40,11 @@ class LeakParams:
 _PART = 4096
 #: Arrays that one group sums.
 _LANE = 128
+#: Terms whose entries are multiplied as dense columns, the commonest, as most words of a text are of few terms;
+#: and cells that these may have for each entry, so that short lines get fewer of such columns.
+_DENSE, _CELLS = 256, 16
+#: Segments that are summed together, entry by entry; fewer are summed one by one.
+_FEW = 16
 _ENDS = np.isin(np.arange(256), np.frombuffer(b".!?\n", np.uint8))
 
 
@@ -121,31 +126,41 @@ def passages(docs: DataFrame, idf: Broadcast, terms: np.ndarray, params: LeakPar
 
 
 def _products(matrix: DataFrame, weight: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    """``A' A basis`` for the matrix A of ``passages``, whose rows have length one; ``weight`` is that of terms."""
+    """``A' A basis`` for the matrix A of ``passages``, whose rows have length one; ``weight`` is that of terms.
+
+    Columns of at most ``_DENSE`` terms, the commonest, which have the least weight, are multiplied as dense
+    ones, all others entry by entry."""
     basis = basis.astype("f4")
     shipped = tables.ship(matrix.sparkSession, {"weight": weight.astype("f4").tobytes(), "basis": basis.tobytes()})
     width = basis.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = np.frombuffer(shipped.value["weight"], "f4")
-        weighted = np.frombuffer(shipped.value["basis"], "f4").reshape(-1, width) * weight[:, None]
+        order = np.argsort(weight, kind="stable")
+        place = np.argsort(order)
+        weighted = (np.frombuffer(shipped.value["basis"], "f4").reshape(-1, width) * weight[:, None])[order]
         total = np.zeros(weighted.shape, np.float64)
         for batch in batches:
             for block in batch.to_pylist():
-                sizes, term = np.frombuffer(block["sizes"], "i4"), np.frombuffer(block["terms"], "i4")
+                sizes, term = np.frombuffer(block["sizes"], "i4"), place[np.frombuffer(block["terms"], "i4")]
                 scale = np.frombuffer(block["norms"], "f4") ** -2
-                first = np.concatenate([[0], np.cumsum(sizes)])
                 row = np.repeat(np.arange(len(sizes)), sizes)
-                for a, b in zip(*_spans(row, 4_000)):
+                for a, b in zip(*_spans(row, 8_000)):
                     low, high = row[a], row[b - 1] + 1
-                    image = np.add.reduceat(weighted[term[a:b]], first[low:high] - a, axis=0)
+                    of, at = row[a:b] - low, term[a:b]
+                    dense = min(_DENSE, len(order), _CELLS * (b - a) // (high - low))
+                    common = at < dense
+                    cells = np.bincount(of[common] * dense + at[common], minlength=(high - low) * dense)
+                    cells = cells.reshape(-1, dense).astype("f4")
+                    of, at = of[~common], at[~common]
+                    image = cells @ weighted[:dense]
+                    _add_rows(image, of, weighted, at)
                     image *= scale[low:high, None]
-                    order = np.argsort(term[a:b], kind="stable")
-                    sorted_ = term[a:b][order]
-                    begins = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
-                    total[sorted_[begins]] += np.add.reduceat(image[row[a:b][order] - low], begins, axis=0)
+                    total[:dense] += cells.T @ image
+                    by = np.argsort(at, kind="stable")
+                    _add_rows(total, at[by], image, of[by])
         if total.any():
-            total *= weight[:, None]
+            total = total[place] * weight[:, None]
             parts = [total[a : a + _PART].astype("f4").tobytes() for a in range(0, len(total), _PART)]
             numbers = pa.array(range(len(parts)), pa.int32())
             yield pa.RecordBatch.from_arrays([numbers, pa.array(parts, pa.binary())], ["part", "values"])
@@ -154,6 +169,24 @@ def _products(matrix: DataFrame, weight: np.ndarray, basis: np.ndarray) -> np.nd
     return product.reshape(-1, width) if len(product) else np.zeros(basis.shape)
 
 
+def _add_rows(total: np.ndarray, at: np.ndarray, rows: np.ndarray, of: np.ndarray) -> None:
+    """``total[at[i]] += rows[of[i]]`` for each i; ``at`` ascends. First the first entries of all segments of
+    equal ``at`` are added, then their second ones, and so on, and at last what a few long segments have left."""
+    begins = np.flatnonzero(np.append(True, at[1:] != at[:-1])[: len(at)])
+    sizes = np.diff(np.append(begins, len(at)))
+    order = np.argsort(-sizes, kind="stable")
+    begins, sizes, n = begins[order], sizes[order], 0
+    while (left := int(np.searchsorted(-sizes, -n, "left"))) > _FEW:  # those with more than n
+        some = begins[:left]
+        total[at[some]] += rows[of[some + n]]
+        n += 1
+    if left:
+        some, sizes = begins[:left], sizes[:left] - n
+        opens = np.cumsum(sizes) - sizes
+        place = np.repeat(some + n - opens, sizes) + np.arange(sizes.sum())
+        total[at[some]] += np.add.reduceat(rows[of[place]], opens, axis=0)
+
+
 def _spans(row: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of spans of about ``size`` entries that part no row from itself."""
     edges = np.unique(np.searchsorted(row, row[::size])) if len(row) else np.zeros(0, np.int64)
@@ -262,6 +295,7 @@ class Searcher:
         squares = np.maximum((self.images**2).sum(axis=0), 1e-9)
         # What a word adds to the share of an item that is there. A text with all words has 1.
         self.gain = ((self.space @ self.images) * self.weight[:, None] / squares).astype("f4")
+        self.gain[vectors == 0] = 0  # but for rounding, as the space holds the items
         self.vocabulary, word = np.unique(hashed, return_inverse=True)
         self.masks = np.zeros((len(found.first) - 1, len(self.vocabulary)), np.uint64)
         self.items, least = [], []
@@ -279,6 +313,9 @@ class Searcher:
         at, self.holders = np.nonzero(vectors)
         self.held, self.holder_gain = np.searchsorted(at, np.arange(len(terms) + 1)), self.gain[at, self.holders]
         self.times = np.rint(vectors[at, self.holders] / np.maximum(self.weight[at], 1e-9)).astype(np.int64)
+        # Words of the longest stretch that is compared with an item, and those that begin a stretch in a piece of text.
+        self.reach = int((self.lengths + 2 * self.sizes).max(initial=1))
+        self.piece = 4 * self.reach
         share = min(params.overlap, params.overlap_with_answer)
         self.least_count = np.array([_enough(share, n) if n >= params.least_words else n for n in self.sizes.tolist()])
 
@@ -288,19 +325,33 @@ class Searcher:
         out: list[list[dict]] = [[] for _ in range(len(places) - 1)]
         term = self.index[bucket]
         count = np.concatenate([[0], np.cumsum(term >= 0)])
-        known, of = term[term >= 0], found.text[term >= 0]
-        text, item = np.divmod(np.flatnonzero(self._possible(known, of, len(out))), len(self.items))
-        sizes = np.diff(count[found.first])[text]
+        known = term[term >= 0]
+        text, number, begin, end = pieces = self._pieces(found.first)
+        sizes = count[end] - count[begin]
+        at = np.repeat(count[begin] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        of = np.repeat(np.arange(len(text)), sizes)
+        piece, item = np.divmod(np.flatnonzero(self._possible(known[at], of, len(text))), len(self.items))
         maybe = []
-        for low, high in zip(*_spans(np.cumsum(sizes) // 200_000, 1)):
-            maybe.append(self._windows(text[low:high], item[low:high], found.first, count, known))
+        for low, high in zip(*_spans(np.cumsum(sizes[piece]) // 200_000, 1)):
+            chosen = [x[piece[low:high]] for x in pieces]
+            maybe.append(self._windows(*chosen, item[low:high], found.first, count, known))
         if maybe:
             self._check([np.concatenate(x) for x in zip(*maybe)], found, hashed, term, data, places, out)
         return out
 
+    def _pieces(self, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``text, number, begin, end`` of pieces of texts. A stretch that begins among the first ``piece`` words
+        of one lies in it whole, and any stretch in the last one lies there too."""
+        sizes = np.diff(first)
+        pieces = np.maximum(1, -(-(sizes - self.reach) // self.piece))
+        text = np.repeat(np.arange(len(sizes)), pieces)
+        number = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin = first[text] + number * self.piece
+        return text, number, begin, np.minimum(begin + self.piece + self.reach, first[text + 1])
+
     def _possible(self, known: np.ndarray, text: np.ndarray, texts: int) -> np.ndarray:
-        """Whether a text has enough of an item's words, by share and by number, each as often as the
-        item at most; no stretch of it has more."""
+        """Whether a piece of a text has enough of an item's words, by share and by number, each as often as
+        the item at most; no stretch of it has more."""
         share, number = np.zeros((2, texts * len(self.items)))
         keys = np.sort(text * len(self.weight) + known)
         begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
@@ -320,26 +371,47 @@ class Searcher:
         return (share >= self.least) & (number >= self.least_count)
 
     def _windows(
-        self, text: np.ndarray, item: np.ndarray, first: np.ndarray, count: np.ndarray, known: np.ndarray
+        self,
+        text: np.ndarray,
+        number: np.ndarray,
+        opens: np.ndarray,
+        closes: np.ndarray,
+        item: np.ndarray,
+        first: np.ndarray,
+        count: np.ndarray,
+        known: np.ndarray,
     ) -> list[np.ndarray]:
-        """``text, item, begin, end, share`` of the windows, a quarter of a window apart, that with as many
-        words on both sides as the item has may hold it."""
-        sizes = count[first[text + 1]] - count[first[text]]
+        """``text, item, begin, end, share, own`` of the windows, a quarter of a window apart, that with as many
+        words on both sides as the item has may hold it, where these words begin in the piece of the text.
+        ``share`` is that of all these words, ``own`` that of the window's."""
+        sizes = count[closes] - count[opens]
         base = np.cumsum(sizes) - sizes
-        at = np.repeat(count[first[text]] - base, sizes) + np.arange(sizes.sum())
+        at = np.repeat(count[opens] - base, sizes) + np.arange(sizes.sum())
         sums = np.concatenate([[0], np.cumsum(self.gain[known[at], np.repeat(item, sizes)], dtype=np.float64)])
-        length = self.lengths[item]
-        step, left = np.maximum(1, length // 4), np.maximum(0, first[text + 1] - first[text] - length)
+        length, size = self.lengths[item], self.sizes[item]
+        words_ = first[text + 1] - first[text]
+        step, left = np.maximum(1, length // 4), np.maximum(0, words_ - length)
         windows = 1 + -(-left // step)
+
+        def before(number: np.ndarray) -> np.ndarray:
+            """How many windows of the text have stretches that begin before a piece."""
+            some = number * self.piece + size
+            return np.where(number == 0, 0, np.where(left < some, windows, -(-some // step)))
+
+        last = (number + 1) * self.piece >= words_ - self.reach
+        skipped = before(number)
+        windows = np.where(last, windows, before(number + 1)) - skipped
         pair = np.repeat(np.arange(len(text)), windows)
-        number = np.arange(len(pair)) - np.repeat(np.cumsum(windows) - windows, windows)
-        begin = first[text[pair]] + np.minimum(number * step[pair], left[pair])
+        at = np.arange(len(pair)) - np.repeat(np.cumsum(windows) - windows - skipped, windows)
+        begin = first[text[pair]] + np.minimum(at * step[pair], left[pair])
         end = np.minimum(begin + length[pair], first[text[pair] + 1])
         low, high = self._stretch(text[pair], item[pair], begin, end, first)
-        shift = (base - count[first[text]])[pair]
+        shift = (base - count[opens])[pair]
         share = sums[count[high] + shift] - sums[count[low] + shift]
         near = share >= self.least[item[pair]]
-        return [x[near] for x in (text[pair], item[pair], begin, end, share)]
+        pair, begin, end, share, shift = (x[near] for x in (pair, begin, end, share, shift))
+        own = sums[count[end] + shift] - sums[count[begin] + shift]
+        return [text[pair], item[pair], begin, end, share.round(6), own.round(6)]
 
     def _stretch(self, text, item, begin, end, first) -> tuple[np.ndarray, np.ndarray]:
         size = self.sizes[item]
@@ -355,13 +427,21 @@ class Searcher:
         places: np.ndarray,
         out: list[list[dict]],
     ) -> None:
-        """Compares all windows that may hold an item with it, the best first, until one does."""
-        text, item, begin, end, share = maybe
-        size = self.sizes[item]
+        """Compares all windows that may hold an item with it, the best first, until one does. Neighbouring
+        windows are compared as one first: what it doesn't have, none of them has."""
+        text, item, begin, end, share, own = maybe
         low, high = self._stretch(text, item, begin, end, found.first)
-        overlap = self._overlaps(item, low, high, hashed, term) / size
-        near = np.flatnonzero((overlap >= min(self.params.overlap, self.params.overlap_with_answer)) | (size > 64))
-        order = near[np.lexsort((begin[near], -share[near], item[near], text[near]))]
+        inside, word = self._vocabulary_words(low, high, hashed, term)
+        keys = np.stack([text, item, low // self.sizes[item]])
+        opens = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0))[: len(text)])
+        if len(opens):
+            near = self._near(item[opens], low[opens], np.maximum.reduceat(high, opens), inside, word)
+            near = np.repeat(near, np.diff(np.append(opens, len(text))))
+            text, item, begin, end, share, own, low, high = (
+                x[near] for x in (text, item, begin, end, share, own, low, high)
+            )
+        near = np.flatnonzero(self._near(item, low, high, inside, word))
+        order = near[np.lexsort((begin[near], -own[near], -share[near], item[near], text[near]))]
         done = None
         for k in order.tolist():
             at, number, a, b = int(text[k]), int(item[k]), int(begin[k]), int(end[k])
@@ -372,15 +452,27 @@ class Searcher:
                 done, start = (at, number), places[at]
                 first = len(data[start : found.starts[leak["a"]]].tobytes().decode())
                 last = len(data[start : found.ends[leak["b"] - 1]].tobytes().decode())
-                own = {"item": number, "overlap": leak["overlap"], "answer": leak["answer"]}
-                out[at].append(own | {"cosine": self._cosine(term[a:b], number), "begin": first, "end": last})
-
-    def _overlaps(self, item: np.ndarray, low: np.ndarray, high: np.ndarray, hashed: np.ndarray, term: np.ndarray) -> np.ndarray:
-        """``common_subsequence`` of each item and its stretch of words, for items of at most 64 words."""
-        inside = np.flatnonzero(term >= 0)
+                kept = {"item": number, "overlap": leak["overlap"], "answer": leak["answer"]}
+                out[at].append(kept | {"cosine": self._cosine(term[a:b], number), "begin": first, "end": last})
+
+    def _vocabulary_words(
+        self, low: np.ndarray, high: np.ndarray, hashed: np.ndarray, term: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the words of any item in these stretches, ascending, and which words they are."""
+        edges = np.bincount(low, minlength=len(term) + 1) - np.bincount(high, minlength=len(term) + 1)
+        inside = np.flatnonzero((np.cumsum(edges)[:-1] > 0) & (term >= 0))
         word = np.searchsorted(self.vocabulary, hashed[inside])
         same = self.vocabulary[np.minimum(word, len(self.vocabulary) - 1)] == hashed[inside]
-        inside, word = inside[same], word[same]
+        return inside[same], word[same]
+
+    def _near(self, item: np.ndarray, low: np.ndarray, high: np.ndarray, inside: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Whether a stretch of words has as much of an item as the decision asks for at least."""
+        least = min(self.params.overlap, self.params.overlap_with_answer)
+        size = self.sizes[item]
+        return (self._overlaps(item, low, high, inside, word) / size >= least) | (size > 64)
+
+    def _overlaps(self, item: np.ndarray, low: np.ndarray, high: np.ndarray, inside: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """``common_subsequence`` of each item and its stretch of words, for items of at most 64 words."""
         left, right = np.searchsorted(inside, low), np.searchsorted(inside, high)
         order = np.argsort(left - right, kind="stable")
         item, left, count = item[order], left[order], (right - left)[order]

@@ -477,6 +477,99 @@ def test_arrays_are_summed_in_levels(spark, monkeypatch):
     assert not len(decontamination._sum_parts(rows.limit(0), "i4"))
 
 
+def test_rows_are_added_where_they_belong():
+    rng = np.random.default_rng(6)
+    rows = rng.integers(0, 9, (50, 3)).astype("f4")
+    for size, segments in ((0, 5), (1, 5), (40, 400), (900, 300), (900, 20), (900, 1)):
+        at, of = np.sort(rng.integers(0, segments, size)), rng.integers(0, 50, size)
+        at[: size // 3] = at[:1]  # one long segment
+        total, expected = np.ones((segments, 3)), np.ones((segments, 3))
+        np.add.at(expected, at, rows[of])
+        decontamination._add_rows(total, at, rows, of)
+        assert (total == expected).all()
+
+
+@pytest.mark.parametrize("dense", [1, 64, 10**6])
+def test_products_do_not_depend_on_how_many_terms_are_dense(spark, monkeypatch, dense):
+    params, rng = decontamination.LeakParams(bits=10), np.random.default_rng(7)
+    texts = [f"{prose(i, 200)}\n{'word ' * 60}\n\n{prose(i % 3, 5)}" for i in range(40)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    terms, idf = np.arange(0, 1 << 10, 2), rng.random(1 << 10).astype("f4") + np.float32(0.1)
+    plain = np.zeros((160, 1 << 10))
+    for row, line in enumerate(x for t in texts for x in t.split("\n")):
+        data = np.frombuffer(line.encode(), np.uint8)
+        bucket = decontamination._buckets(data, np.array([0, len(data)]), 10)[2]
+        np.add.at(plain[row], bucket, idf[bucket] / np.sqrt((idf[bucket] ** 2).sum()))
+    basis = rng.normal(size=(len(terms), 5))
+    monkeypatch.setattr(decontamination, "_DENSE", dense)
+    matrix = decontamination.passages(docs, tables.ship(spark, {"idf": idf.tobytes()}), terms, params)
+    got = decontamination._products(matrix, idf[terms], basis)
+    assert np.allclose(got, plain[:, terms].T @ (plain[:, terms] @ basis), atol=1e-3)
+
+
+def searcher(items, more=0):
+    """Of these items, in a space of as many more dimensions, completed by the items."""
+    params, raw = decontamination.LeakParams(), [x.encode() for x in items]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    places = np.cumsum([0, *map(len, raw)])
+    found, _, bucket = decontamination._buckets(data, places, params.bits)
+    terms, idf = np.unique(bucket), np.ones(1 << params.bits, "f4")
+    index = np.searchsorted(terms, np.arange(1 << params.bits))
+    vectors = decontamination.item_vectors(index, idf, bucket, found.first, len(terms))
+    random_ = np.random.default_rng(more).normal(size=(len(terms), more))
+    space = np.linalg.qr(np.hstack([random_, vectors]))[0].astype("f4")
+    model = {"terms": terms, "space": space, "texts": data, "sizes": np.diff(places), "idf": idf}
+    return decontamination.Searcher({k: v.tobytes() for k, v in model.items()}, params)
+
+
+def test_windows_are_made_only_where_an_item_may_be(monkeypatch):
+    """A long text has the words of all items in many places, and few of them whole."""
+    items = [f"{prose(i, 30)} {prose(900 + i, 8)}" for i in range(20)]
+    rng, parts = random.Random(8), []
+    for n in range(200):
+        parts += [prose(5000 + n, 150), *rng.sample(items[n % 20].split(), 4)]
+    parts[300:300] = [items[3]]
+    text = " ".join(parts)
+    search, made, compared = searcher(items), [], []
+    stretch, overlaps = search._stretch, search._overlaps
+    monkeypatch.setattr(search, "_stretch", lambda *a: made.append(len(a[0])) or stretch(*a))
+    monkeypatch.setattr(search, "_overlaps", lambda item, low, *a: compared.append(len(low)) or overlaps(item, low, *a))
+    data = np.frombuffer(text.encode(), np.uint8)
+    found = search.search(data, np.array([0, len(data)]))
+    assert [x["item"] for x in found[0]] == [3]
+    everywhere = 20 * len(text.split()) // 8
+    assert 0 < sum(made) < 0.1 * everywhere and sum(compared) < 100
+
+
+def test_places_do_not_depend_on_the_singular_vectors():
+    """Of windows that have as much of an item the one that has most within itself is reported."""
+    items = [f"{prose(i, 30)} {prose(900 + i, 8)}" for i in range(12)]
+    texts = [f"{prose(40 + i, 90 + i)} {item} {prose(80 + i, 90)}".encode() for i, item in enumerate(items)]
+    data, places, found = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]), []
+    for more in (0, 3, 40, 41):
+        leaks = searcher(items, more).search(data, places)
+        found.append([[{k: v for k, v in x.items() if k != "cosine"} for x in text] for text in leaks])
+    assert [[x["item"] for x in text] for text in found[0]] == [[i] for i in range(12)]
+    assert all(other == found[0] for other in found)
+
+
+def test_items_are_found_wherever_pieces_of_a_text_end():
+    """The same as by comparing all windows, with the item at each place around the ends of pieces."""
+    items = [f"{prose(i, 30)} {prose(900 + i, 8)}" for i in range(3)]
+    search = searcher(items)
+    around = prose(77, 3 * search.piece).split()
+    texts = []
+    for place in [*range(search.piece - 60, search.piece + search.reach + 60, 7), len(around) - 1, len(around), 0]:
+        kept = rarely_replaced(items[place % 3], 0.1 * (place % 5 % 3), place)
+        texts.append(" ".join([*around[:place], kept, *around[place : place + (place % 4) * search.reach]]))
+    expected = plain_leaks([*enumerate(texts)], [*enumerate(items)], search.params)
+    for together in (texts, texts[::-1]):
+        raw = [t.encode() for t in together]
+        found = search.search(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        got = {(together[i], x["item"]) for i, leaks in enumerate(found) for x in leaks}
+        assert got == {(texts[i], item) for i, item in expected} and len(got) == len(texts)
+
+
 def test_common_subsequence():
     rng = random.Random(4)
     for _ in range(50):
